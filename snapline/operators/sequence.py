@@ -1,11 +1,16 @@
 """Skew-safe previous/next row of the same key.
 
 ``lag``/``lead`` over ``partitionBy(key)`` sends a whole key to one task. Here the
-order axis is cut into time buckets: the neighbour inside a ``(key, bucket)`` comes
-from a window on that pair, the neighbour across a bucket edge from a window over
-one pre-aggregated row per ``(key, bucket)``. A key that holds a third of all rows is
-spread over as many tasks as it has buckets; once ``(key, order)`` is unique (after
-dedup) a ``(key, bucket)`` holds at most one row per distinct order value in it.
+order axis is cut into time buckets. Inside a ``(key, bucket)`` the neighbour comes
+from a window on that pair. Only the first and last row of every bucket need a
+neighbour from another bucket; those edge rows (at most two per bucket) get it from a
+second window over the key. Both branches read one shuffle of the input, then a
+union, no join.
+
+A key holding a third of all rows is spread over as many tasks as it has buckets;
+once ``(key, order)`` is unique (after dedup) a ``(key, bucket)`` holds at most one
+row per distinct order value inside the bucket, and the per-key edge window holds two
+rows per bucket.
 """
 
 from __future__ import annotations
@@ -13,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def _bucket(order: str, bucket_seconds: int) -> Column:
+def bucket_of(order: str, bucket_seconds: int) -> Column:
     micros = F.unix_micros(F.col(order).cast("timestamp"))
     return F.floor(micros / F.lit(bucket_seconds * 1_000_000))
 
@@ -29,14 +34,20 @@ def with_neighbor(df: DataFrame, keys: list[str], order: str, cols: list[str], *
     keys = list(keys)
     prev = direction == "prev"
     step = F.lag if prev else F.lead
-    val = F.struct(*[F.col(c) for c in cols])
-    x = df.withColumn("_bk", _bucket(order, bucket_seconds))
     inner = Window.partitionBy(*keys, "_bk").orderBy(F.col(order))
-    x = x.withColumn(name, step(val).over(inner))
-    # One row per (key, bucket): its last (prev) or first (next) row's values.
-    edge = (F.max if prev else F.min)(F.struct(F.col(order).alias("_o"), val.alias("_v")))
-    edges = x.groupBy(*keys, "_bk").agg(edge.alias("_e"))
-    outer = Window.partitionBy(*keys).orderBy("_bk")
-    edges = edges.select(*keys, "_bk", step(F.col("_e._v")).over(outer).alias("_cross"))
-    x = x.join(edges, keys + ["_bk"], "left")
-    return x.withColumn(name, F.coalesce(F.col(name), F.col("_cross"))).drop("_bk", "_cross")
+    # The struct is a column below the shuffle, so both branches below read the
+    # identical exchange and Spark reuses it.
+    x = df.withColumn("_bk", bucket_of(order, bucket_seconds)) \
+          .withColumn("_val", F.struct(*[F.col(c) for c in cols])).select(
+        "*",
+        step("_val").over(inner).alias(name),
+        F.lag(F.lit(1)).over(inner).isNull().alias("_first"),
+        F.lead(F.lit(1)).over(inner).isNull().alias("_last"),
+    )
+    needs = "_first" if prev else "_last"
+    inside = x.filter(~F.col(needs))
+    outer = Window.partitionBy(*keys).orderBy(F.col(order))
+    edges = (x.filter(F.col("_first") | F.col("_last"))
+              .withColumn(name, step("_val").over(outer))
+              .filter(F.col(needs)))
+    return inside.unionByName(edges).drop("_bk", "_val", "_first", "_last")
