@@ -12,9 +12,31 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from snapline.operators.change import changes_sequential
 from snapline.operators.dedup import dedup_earliest
 from snapline.operators.envelope import apply_types, decode_envelope, encode_envelope
-from snapline.plans.derived import avail
+from datetime import date, datetime
+
+from snapline.functions.cadence import Cadence, effective_interval, is_night, local_time
+from snapline.operators import audit, health, state
+from snapline.operators.cadence import expected_cycles, thin
+from snapline.operators.change import changes_as_of, changes_vs_state
+from snapline.operators.merge import insert_only
+from snapline.operators.retention import expired_partitions
+from snapline.plans import derived
+from snapline.plans.derived import avail, table
+from snapline.schemas import RECORD_SCHEMA
+from snapline.sources.pages import explode_pages, paginate, snapshot_completeness
+from snapline.sources.raw import route_objects
 from snapline.spec import STATION_SPEC
 
+# Fixed parameters of the registered queries.
+BATCH_DAY = datetime(2024, 1, 20)           # the day loaded as one batch
+STATE_AT = datetime(2024, 1, 15, 12, 0)     # "state as of" / incidents instant
+COMPARED = list(STATION_SPEC.compared)
+PAGE_SIZE = 4                               # small pages so cycles span several
+THIN_CADENCE = Cadence(base_seconds=6 * 3600)
+FEED_CADENCE = Cadence()
+PRODUCER_INTERVAL = 600
+STREAM_THRESHOLD = 3600                     # hourly micro-batches in the derived stream
+
 SPEC = STATION_SPEC
 SILVER_OUT = ["stationcode", "request_timestamp", "name", "is_installed", "capacity",
               "numdocksavailable", "numbikesavailable", "mechanical", "ebike", "is_renting",
@@ -54,9 +76,192 @@ def q_change_filter_asof(spark, sf):
     return kept(spark, sf).select(*SILVER_OUT)
 
 
+def q_last_known_state(spark, sf):
+    st = state.last_known(deduped(spark, sf), SPEC, as_of=BATCH_DAY, before=BATCH_DAY, cols=COMPARED)
+    return st.select("stationcode", "request_timestamp", *COMPARED)
+
+
+def _batch(spark, sf):
+    return deduped(spark, sf).filter(F.col("request_date") == F.lit(BATCH_DAY.date()))
+
+
+def q_change_filter_batch(spark, sf):
+    d = deduped(spark, sf)
+    st = state.last_known(d, SPEC, as_of=BATCH_DAY, before=BATCH_DAY, cols=COMPARED)
+    return changes_vs_state(_batch(spark, sf), st, SPEC).select(*SILVER_OUT)
+
+
+def q_change_filter_step(spark, sf):
+    hist = kept(spark, sf).filter(F.col("request_timestamp") < F.lit(BATCH_DAY))
+    return changes_as_of(_batch(spark, sf), hist, SPEC).select(*SILVER_OUT)
+
+
+def q_replay_noop(spark, sf):
+    hist = kept(spark, sf)
+    b = _batch(spark, sf)
+    new = changes_as_of(b, hist, SPEC)
+    stored = b.join(hist.select("stationcode", "request_timestamp"), ["stationcode", "request_timestamp"], "left_semi")
+    one = lambda df, n: df.agg(F.count(F.lit(1)).alias(n)).withColumn("_one", F.lit(1))
+    return (one(b, "n_batch").join(one(stored, "n_already_stored"), "_one")
+            .join(one(new, "n_inserted"), "_one").drop("_one"))
+
+
+def q_merge_insert_only(spark, sf):
+    k = kept(spark, sf)
+    d1, d2 = BATCH_DAY.date(), date(2024, 1, 21)
+    target = k.filter(F.col("request_date") <= F.lit(d1))
+    source = k.filter(F.col("request_date").between(F.lit(d1), F.lit(d2)))
+    return insert_only(source, target, SPEC, dates=[d1, d2]).select(*SILVER_OUT)
+
+
+def q_current_state(spark, sf):
+    return state.current_state(kept(spark, sf), SPEC, cols=["name"] + COMPARED) \
+        .select("stationcode", "request_timestamp", "name", *COMPARED)
+
+
+def q_state_as_of(spark, sf):
+    return state.state_as_of(kept(spark, sf), SPEC, STATE_AT, cols=COMPARED) \
+        .select("stationcode", "request_timestamp", *COMPARED)
+
+
+def q_history_intervals(spark, sf):
+    return state.intervals(kept(spark, sf), SPEC, cols=COMPARED)
+
+
+def q_station_dimension(spark, sf):
+    return state.dimension(deduped(spark, sf), SPEC)
+
+
+def q_duplicate_audit(spark, sf):
+    return audit.duplicates(typed(spark, sf), ["stationcode", "request_timestamp"])
+
+
+def q_write_avoidance(spark, sf):
+    return audit.write_avoidance(deduped(spark, sf), kept(spark, sf), SPEC)
+
+
+def q_recent_rows(spark, sf):
+    return audit.recent(kept(spark, sf), SPEC, 20,
+                        cols=["stationcode", "request_timestamp", "numbikesavailable", "kafka_timestamp"])
+
+
+def q_rows_per_cycle(spark, sf):
+    return audit.rows_per_cycle(avail(spark, sf), SPEC)
+
+
+def _pages(spark, sf):
+    """Page documents of every cycle; the second page of cycles polled at 07:00 is
+    lost (a fetch error mid-snapshot)."""
+    p = paginate(deduped(spark, sf), "request_timestamp", ["stationcode"],
+                 ["stationcode", "capacity", "numbikesavailable"], PAGE_SIZE)
+    return p.filter(~((F.hour("request_timestamp") == 7) & (F.col("page_no") == 1)))
+
+
+def q_snapshot_completeness(spark, sf):
+    return snapshot_completeness(_pages(spark, sf), "request_timestamp", PAGE_SIZE)
+
+
+def q_paged_records(spark, sf):
+    rec = explode_pages(_pages(spark, sf), RECORD_SCHEMA, keep=["request_timestamp", "page_no"])
+    return rec.select("request_timestamp", "page_no", "stationcode", "capacity", "numbikesavailable")
+
+
+def q_path_routing(spark, sf):
+    return route_objects(derived.object_names(spark, sf), "object_name", "avail/") \
+        .select("object_name", "route", "batch_date")
+
+
+def q_night_flag(spark, sf):
+    e = table(spark, sf, "events")
+    return e.select("event_id", "ts", local_time("ts", FEED_CADENCE.tz).alias("local_ts"),
+                    is_night("ts", FEED_CADENCE).alias("is_night"))
+
+
+def q_effective_interval(spark, sf):
+    e = table(spark, sf, "events")
+    return e.select("event_id", effective_interval("ts", FEED_CADENCE).alias("interval_seconds"))
+
+
+def q_cadence_thin(spark, sf):
+    e = table(spark, sf, "events").select("user_id", "ts", "event_id")
+    return thin(e, ["user_id"], "ts", THIN_CADENCE)
+
+
+def q_expected_cycles(spark, sf):
+    days = table(spark, sf, "events").select(F.to_date("ts").alias("day")).distinct()
+    return expected_cycles(days, "day", FEED_CADENCE)
+
+
+def q_freshness_status(spark, sf):
+    return health.producer_health(derived.producer_heartbeats(spark, sf), PRODUCER_INTERVAL, FEED_CADENCE)
+
+
+def q_partition_lag(spark, sf):
+    return health.partition_lag(derived.stream_offsets(spark, sf))
+
+
+def q_stream_lag(spark, sf):
+    return health.stream_health(derived.stream_offsets(spark, sf), STREAM_THRESHOLD, FEED_CADENCE,
+                                component_prefix="pyspark_")
+
+
+def q_controller_status(spark, sf):
+    k = health.broker_rows(derived.broker_probes(spark, sf), FEED_CADENCE)
+    return k.drop("controller_id").unionByName(health.controller_rows(k))
+
+
+def health_table(spark, sf):
+    """All health rows of the derived pipeline (O3: stacked components)."""
+    k = health.broker_rows(derived.broker_probes(spark, sf), FEED_CADENCE)
+    return (k.drop("controller_id")
+            .unionByName(health.controller_rows(k))
+            .unionByName(q_stream_lag(spark, sf))
+            .unionByName(q_freshness_status(spark, sf)))
+
+
+def q_status_board(spark, sf):
+    return health.status_board(health_table(spark, sf))
+
+
+def q_incidents_24h(spark, sf):
+    return health.incidents(health_table(spark, sf), STATE_AT, 24)
+
+
+def q_retention_candidates(spark, sf):
+    o = table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("order_date"))
+    return expired_partitions(o, "order_date", date(1998, 8, 2), 365)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "envelope_roundtrip": q_envelope_roundtrip,
     "typed_snapshot": q_typed_snapshot,
     "dedup_earliest": q_dedup_earliest,
     "change_filter_asof": q_change_filter_asof,
+    "last_known_state": q_last_known_state,
+    "change_filter_batch": q_change_filter_batch,
+    "change_filter_step": q_change_filter_step,
+    "replay_noop": q_replay_noop,
+    "merge_insert_only": q_merge_insert_only,
+    "current_state": q_current_state,
+    "state_as_of": q_state_as_of,
+    "history_intervals": q_history_intervals,
+    "station_dimension": q_station_dimension,
+    "duplicate_audit": q_duplicate_audit,
+    "write_avoidance": q_write_avoidance,
+    "recent_rows": q_recent_rows,
+    "rows_per_cycle": q_rows_per_cycle,
+    "snapshot_completeness": q_snapshot_completeness,
+    "paged_records": q_paged_records,
+    "path_routing": q_path_routing,
+    "night_flag": q_night_flag,
+    "effective_interval": q_effective_interval,
+    "cadence_thin": q_cadence_thin,
+    "expected_cycles": q_expected_cycles,
+    "freshness_status": q_freshness_status,
+    "partition_lag": q_partition_lag,
+    "stream_lag": q_stream_lag,
+    "controller_status": q_controller_status,
+    "status_board": q_status_board,
+    "incidents_24h": q_incidents_24h,
+    "retention_candidates": q_retention_candidates,
 }

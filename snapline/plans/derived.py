@@ -60,3 +60,83 @@ def avail_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from snapline.operators.envelope import encode_envelope
     a = avail(spark, sf_dir)
     return encode_envelope(a)
+
+
+# ---------------------------------------------------------------------------------
+# Observation tables for the health jobs, derived from ``events``.
+# Components are the event types (one producer topic each); the stream is "events"
+# with partition = user_id % 3 and hourly micro-batches: at a check time t (an hour
+# boundary) the committed offset counts the events before t - 1 h, the high
+# watermark those before t.
+# ---------------------------------------------------------------------------------
+
+STREAM_PARTITIONS = 3
+
+
+def _hour_end(ts: str = "ts"):
+    return (to_ntz(F.date_trunc("hour", ts)) + F.expr("INTERVAL 1 HOUR")).alias("check_timestamp")
+
+
+def producer_heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``check_timestamp, topic, last_ts, high`` per event type and hour with data."""
+    from pyspark.sql import Window
+    e = table(spark, sf_dir, "events")
+    h = e.groupBy(F.col("event_type").alias("topic"), _hour_end()).agg(
+        F.max("ts").alias("last_ts"), F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("topic").orderBy("check_timestamp").rowsBetween(Window.unboundedPreceding, 0)
+    return h.select("check_timestamp", "topic", "last_ts", F.sum("n").over(w).alias("high"))
+
+
+def stream_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``check_timestamp, stream, partition, committed, high, commit_time``."""
+    from pyspark.sql import Window
+    e = table(spark, sf_dir, "events")
+    h = e.groupBy((F.col("user_id") % STREAM_PARTITIONS).cast("int").alias("partition"), _hour_end()).agg(
+        F.max("ts").alias("last_ts"), F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("partition").orderBy("check_timestamp")
+    run = F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return h.select(
+        "check_timestamp", F.lit("events").alias("stream"), "partition",
+        (run - F.col("n")).alias("committed"), run.alias("high"),
+        F.lag("last_ts").over(w).alias("commit_time"),
+    )
+
+
+def broker_probes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One broker probe per hour with data: unreachable when the hour saw more than
+    three error events; latency = the hour's largest value; controller id
+    ``n % 4 - 1`` (so -1, "no controller", in a quarter of the hours)."""
+    e = table(spark, sf_dir, "events")
+    g = e.groupBy(_hour_end()).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum((F.col("event_type") == "error").cast("int")).alias("n_err"),
+        F.max("value").alias("latency_ms"),
+        F.countDistinct("event_type").alias("topic_count"),
+    )
+    return g.select(
+        "check_timestamp",
+        (F.col("n_err") <= 3).alias("reachable"),
+        "latency_ms",
+        F.lit(1).alias("broker_count"),
+        F.col("topic_count").cast("int").alias("topic_count"),
+        (F.col("n") % 4 - 1).cast("int").alias("controller_id"),
+        F.when(F.col("n_err") > 3, F.lit("broker not reachable")).alias("error"),
+    )
+
+
+def object_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Object names a raw sink would produce for each event, with faults: error
+    events land as .txt, every third signup outside the prefix, every fourth purchase
+    without its day folder, every ninth view with a non-date folder."""
+    e = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").cast("int")
+    day = F.date_format("ts", "yyyy/MM/dd")
+    leaf = F.concat(F.lit("epoch-"), F.col("event_id").cast("string"))
+    t = F.col("event_type")
+    name = (F.when(t == "error", F.concat(F.lit("avail/"), day, F.lit("/"), leaf, F.lit(".txt")))
+             .when((t == "signup") & (k % 3 == 0), F.concat(F.lit("other/"), day, F.lit("/"), leaf, F.lit(".json")))
+             .when((t == "purchase") & (k % 4 == 0),
+                   F.concat(F.lit("avail/"), F.date_format("ts", "yyyy/MM"), F.lit("/"), leaf, F.lit(".json")))
+             .when((t == "view") & (k % 9 == 0), F.concat(F.lit("avail/a/b/c/"), leaf, F.lit(".json")))
+             .otherwise(F.concat(F.lit("avail/"), day, F.lit("/"), leaf, F.lit(".json"))))
+    return e.select("event_id", name.alias("object_name"))
