@@ -102,3 +102,276 @@ ORACLE["typed_snapshot"] = "WITH " + TYPED + f"\nSELECT {SILVER_COLS} FROM typed
 ORACLE["dedup_earliest"] = "WITH " + DEDUP + f"\nSELECT {SILVER_COLS} FROM dedup"
 
 ORACLE["change_filter_asof"] = "WITH " + KEPT + f"\nSELECT {SILVER_COLS} FROM kept"
+
+BATCH = "TIMESTAMP '2024-01-20 00:00:00'"
+CMP_COLS = ", ".join(CMP)
+
+
+def _latest(src: str, cols: str, where: str = "TRUE") -> str:
+    return f"""SELECT stationcode, request_timestamp, {cols} FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY stationcode ORDER BY request_timestamp DESC) AS rn
+  FROM {src} WHERE request_timestamp IS NOT NULL AND {where}) WHERE rn = 1"""
+
+
+ORACLE["last_known_state"] = "WITH " + DEDUP + "\n" + _latest(
+    "dedup", CMP_COLS, f"request_timestamp >= {BATCH} - INTERVAL 7 DAY AND request_timestamp < {BATCH}")
+
+ORACLE["change_filter_batch"] = "WITH " + DEDUP + f""",
+last_known AS ({_latest('dedup', CMP_COLS, f"request_timestamp >= {BATCH} - INTERVAL 7 DAY AND request_timestamp < {BATCH}")}),
+batch AS (SELECT * FROM dedup WHERE request_date = DATE '2024-01-20')
+SELECT {', '.join('b.' + c for c in SILVER_COLS.split(', '))}
+FROM batch b LEFT JOIN last_known l ON b.stationcode = l.stationcode
+WHERE b.stationcode IS NULL OR l.stationcode IS NULL OR {_differs('b', 'l')}"""
+
+# C2 for one batch: stored kept rows within the look-back + the batch's new rows.
+_STEP = KEPT + f""",
+batch AS (SELECT * FROM dedup WHERE request_date = DATE '2024-01-20'),
+hist AS (SELECT * FROM kept WHERE request_timestamp < {BATCH}),
+lo AS (SELECT min(request_timestamp) AS lo, max(request_timestamp) AS hi FROM batch),
+stored AS (SELECT h.* FROM hist h, lo WHERE h.request_timestamp >= lo.lo - INTERVAL 7 DAY
+                                          AND h.request_timestamp <= lo.hi),
+fresh AS (SELECT b.* FROM batch b WHERE NOT EXISTS (
+            SELECT 1 FROM stored s WHERE s.stationcode = b.stationcode AND s.request_timestamp = b.request_timestamp)),
+u AS (SELECT *, FALSE AS is_new FROM stored UNION ALL SELECT *, TRUE AS is_new FROM fresh),
+ul AS (SELECT *, {_lag_cols('stationcode', 'request_timestamp')},
+              LAG(request_timestamp) OVER (PARTITION BY stationcode ORDER BY request_timestamp) AS p_ts FROM u),
+step AS (SELECT * FROM ul WHERE is_new AND (stationcode IS NULL OR p_ts IS NULL OR {_lag_differs()}))"""
+
+ORACLE["change_filter_step"] = "WITH " + _STEP + f"\nSELECT {SILVER_COLS} FROM step"
+
+ORACLE["replay_noop"] = "WITH " + KEPT.replace("kept AS (", "kept0 AS (") + f""",
+kept AS (SELECT * FROM kept0),
+batch AS (SELECT * FROM dedup WHERE request_date = DATE '2024-01-20'),
+lo AS (SELECT min(request_timestamp) AS lo, max(request_timestamp) AS hi FROM batch),
+stored AS (SELECT h.* FROM kept h, lo WHERE h.request_timestamp >= lo.lo - INTERVAL 7 DAY
+                                          AND h.request_timestamp <= lo.hi),
+fresh AS (SELECT b.* FROM batch b WHERE NOT EXISTS (
+            SELECT 1 FROM stored s WHERE s.stationcode = b.stationcode AND s.request_timestamp = b.request_timestamp)),
+u AS (SELECT *, FALSE AS is_new FROM stored UNION ALL SELECT *, TRUE AS is_new FROM fresh),
+ul AS (SELECT *, {_lag_cols('stationcode', 'request_timestamp')},
+              LAG(request_timestamp) OVER (PARTITION BY stationcode ORDER BY request_timestamp) AS p_ts FROM u)
+SELECT (SELECT count(*) FROM batch) AS n_batch,
+       (SELECT count(*) FROM batch b WHERE EXISTS (SELECT 1 FROM kept k WHERE k.stationcode = b.stationcode
+                                                   AND k.request_timestamp = b.request_timestamp)) AS n_already_stored,
+       (SELECT count(*) FROM ul WHERE is_new AND (stationcode IS NULL OR p_ts IS NULL OR {_lag_differs()})) AS n_inserted"""
+
+ORACLE["merge_insert_only"] = "WITH " + KEPT + f""",
+target AS (SELECT * FROM kept WHERE request_date <= DATE '2024-01-20'),
+source AS (SELECT * FROM kept WHERE request_date BETWEEN DATE '2024-01-20' AND DATE '2024-01-21')
+SELECT {SILVER_COLS} FROM source s WHERE NOT EXISTS (
+  SELECT 1 FROM target t WHERE t.stationcode = s.stationcode AND t.request_timestamp = s.request_timestamp
+    AND t.request_date IN (DATE '2024-01-20', DATE '2024-01-21'))"""
+
+ORACLE["current_state"] = "WITH " + KEPT + "\n" + _latest("kept", "name, " + CMP_COLS)
+
+ORACLE["state_as_of"] = "WITH " + KEPT + "\n" + _latest(
+    "kept", CMP_COLS, "request_timestamp <= TIMESTAMP '2024-01-15 12:00:00'")
+
+ORACLE["history_intervals"] = "WITH " + KEPT + f"""
+SELECT stationcode, request_timestamp AS valid_from,
+       LEAD(request_timestamp) OVER (PARTITION BY stationcode ORDER BY request_timestamp) AS valid_to,
+       {CMP_COLS}
+FROM kept"""
+
+ORACLE["station_dimension"] = "WITH " + DEDUP + """
+SELECT stationcode, name, capacity, lat, lon, nom_arrondissement_communes, code_insee_commune,
+       station_opening_hours, first_seen, request_timestamp AS last_seen FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY stationcode ORDER BY request_timestamp DESC) AS rn,
+         min(request_timestamp) OVER (PARTITION BY stationcode) AS first_seen
+  FROM dedup WHERE request_timestamp IS NOT NULL) WHERE rn = 1"""
+
+ORACLE["duplicate_audit"] = "WITH " + TYPED + """
+SELECT stationcode, request_timestamp, count(*) AS n FROM typed
+GROUP BY stationcode, request_timestamp HAVING count(*) > 1"""
+
+ORACLE["write_avoidance"] = "WITH " + KEPT + """,
+b AS (SELECT count(*) AS n_snapshot_rows, count(DISTINCT request_timestamp) AS n_cycles,
+             count(DISTINCT stationcode) AS n_keys FROM dedup),
+h AS (SELECT count(*) AS n_history_rows FROM kept)
+SELECT n_snapshot_rows, n_cycles, n_keys, n_history_rows,
+       1.0 - CAST(n_history_rows AS DOUBLE) / CAST(n_cycles * n_keys AS DOUBLE) AS grid_ratio,
+       1.0 - CAST(n_history_rows AS DOUBLE) / CAST(n_snapshot_rows AS DOUBLE) AS dense_ratio
+FROM b, h"""
+
+ORACLE["recent_rows"] = "WITH " + KEPT + """
+SELECT stationcode, request_timestamp, numbikesavailable, kafka_timestamp FROM kept
+ORDER BY request_timestamp DESC, stationcode ASC LIMIT 20"""
+
+ORACLE["rows_per_cycle"] = "WITH " + AVAIL + """
+SELECT request_timestamp, count(*) AS n_rows, count(DISTINCT stationcode) AS n_keys
+FROM avail GROUP BY request_timestamp"""
+
+_PAGES = DEDUP + """,
+numbered AS (SELECT request_timestamp, stationcode, capacity, numbikesavailable,
+                    ROW_NUMBER() OVER (PARTITION BY request_timestamp ORDER BY stationcode) - 1 AS rn
+             FROM dedup),
+pages0 AS (
+  SELECT request_timestamp, CAST(rn // 4 AS INTEGER) AS page_no, count(*) AS n FROM numbered GROUP BY 1, 2
+  UNION ALL
+  SELECT request_timestamp, CAST(count(*) // 4 AS INTEGER) AS page_no, 0 AS n FROM numbered
+  GROUP BY 1 HAVING count(*) % 4 = 0),
+pages AS (SELECT * FROM pages0 WHERE NOT (hour(request_timestamp) = 7 AND page_no = 1))"""
+
+ORACLE["snapshot_completeness"] = "WITH " + _PAGES + """,
+g AS (SELECT request_timestamp, count(*) AS n_pages, CAST(sum(n) AS BIGINT) AS n_records,
+             max(page_no) AS last_page, arg_max(n, page_no) AS last_n,
+             sum(CASE WHEN n < 4 THEN 1 ELSE 0 END) AS n_short
+      FROM pages GROUP BY request_timestamp)
+SELECT request_timestamp, n_pages, n_records,
+       (n_pages = last_page + 1 AND last_n < 4 AND n_short = 1) AS complete
+FROM g"""
+
+ORACLE["paged_records"] = "WITH " + _PAGES + """
+SELECT n.request_timestamp, CAST(n.rn // 4 AS INTEGER) AS page_no, n.stationcode, n.capacity, n.numbikesavailable
+FROM numbered n WHERE NOT (hour(n.request_timestamp) = 7 AND n.rn // 4 = 1)"""
+
+ORACLE["path_routing"] = """
+WITH names AS (
+  SELECT event_id,
+    CASE WHEN event_type = 'error' THEN 'avail/' || strftime(ts, '%Y/%m/%d') || '/epoch-' || event_id || '.txt'
+         WHEN event_type = 'signup' AND CAST(json_extract_string(props, '$.k') AS INTEGER) % 3 = 0
+              THEN 'other/' || strftime(ts, '%Y/%m/%d') || '/epoch-' || event_id || '.json'
+         WHEN event_type = 'purchase' AND CAST(json_extract_string(props, '$.k') AS INTEGER) % 4 = 0
+              THEN 'avail/' || strftime(ts, '%Y/%m') || '/epoch-' || event_id || '.json'
+         WHEN event_type = 'view' AND CAST(json_extract_string(props, '$.k') AS INTEGER) % 9 = 0
+              THEN 'avail/a/b/c/epoch-' || event_id || '.json'
+         ELSE 'avail/' || strftime(ts, '%Y/%m/%d') || '/epoch-' || event_id || '.json' END AS object_name
+  FROM events),
+r AS (
+  SELECT object_name, string_split(object_name, '/') AS parts,
+         starts_with(object_name, 'avail/') AND ends_with(object_name, '.json') AS in_scope
+  FROM names),
+d AS (
+  SELECT object_name, in_scope, len(parts) = 5 AS five,
+         TRY_CAST(parts[2] || '-' || parts[3] || '-' || parts[4] AS DATE) AS day FROM r)
+SELECT object_name,
+       CASE WHEN NOT in_scope THEN 'ignored' WHEN NOT five OR day IS NULL THEN 'quarantined' ELSE 'accepted' END AS route,
+       CASE WHEN in_scope AND five AND day IS NOT NULL THEN day END AS batch_date
+FROM d"""
+
+_PARIS = "CAST(timezone('Europe/Paris', timezone('UTC', ts)) AS TIMESTAMP)"
+_NIGHT = f"(isodow({_PARIS}) <= 5 AND hour({_PARIS}) >= 2 AND hour({_PARIS}) < 5)"
+
+ORACLE["night_flag"] = f"""
+SELECT event_id, ts, {_PARIS} AS local_ts, {_NIGHT} AS is_night FROM events"""
+
+ORACLE["effective_interval"] = f"""
+SELECT event_id, CASE WHEN {_NIGHT} THEN CAST(60 * 4.0 AS INTEGER) ELSE 60 END AS interval_seconds FROM events"""
+
+ORACLE["cadence_thin"] = f"""
+WITH x AS (
+  SELECT user_id, ts, event_id, {_NIGHT} AS night,
+         CASE WHEN {_NIGHT} THEN CAST(21600 * 4.0 AS INTEGER) ELSE 21600 END AS iv
+  FROM events),
+s AS (SELECT *, CAST(floor(epoch_us(ts) / (iv * 1000000.0)) AS BIGINT) AS slot FROM x)
+SELECT user_id, night, slot, min(ts) AS ts, arg_min(event_id, ts) AS event_id
+FROM s GROUP BY user_id, night, slot"""
+
+_MNIGHT = _NIGHT.replace("ts", "minute")
+ORACLE["expected_cycles"] = f"""
+WITH days AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events),
+m AS (SELECT day, unnest(range(CAST(day AS TIMESTAMP), CAST(day AS TIMESTAMP) + INTERVAL 1 DAY, INTERVAL 1 MINUTE)) AS minute
+      FROM days)
+SELECT day, count(*) AS n_minutes, CAST(sum(CASE WHEN {_MNIGHT} THEN 1 ELSE 0 END) AS BIGINT) AS night_minutes,
+       sum(CASE WHEN {_MNIGHT} THEN 0.25 ELSE 1.0 END) * 1.0 AS expected_cycles
+FROM m GROUP BY day"""
+
+_CHECK_NIGHT = _NIGHT.replace("ts", "check_timestamp")
+
+_PRODUCER = f"""
+hb0 AS (SELECT event_type AS topic, CAST(date_trunc('hour', ts) AS TIMESTAMP) + INTERVAL 1 HOUR AS check_timestamp,
+               max(ts) AS last_ts, count(*) AS n FROM events GROUP BY 1, 2),
+hb AS (SELECT check_timestamp, topic, last_ts,
+              sum(n) OVER (PARTITION BY topic ORDER BY check_timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS high
+       FROM hb0),
+hb2 AS (SELECT *, (epoch_us(check_timestamp) - epoch_us(last_ts)) / 1e6 AS age, {_CHECK_NIGHT} AS night FROM hb),
+hb3 AS (SELECT *, 600.0 * CASE WHEN night THEN 4.0 ELSE 1.0 END * 2 AS tol FROM hb2),
+producer AS (
+  SELECT check_timestamp, 'producer_' || topic AS component,
+         CASE WHEN age <= tol THEN 'healthy' WHEN age <= tol * 3 THEN 'degraded' ELSE 'down' END AS status,
+         CAST(NULL AS DOUBLE) AS latency_ms, round_even(age, 1) AS lag_seconds, CAST(NULL AS BIGINT) AS lag_messages,
+         '{{"latest_offset":' || CAST(high AS BIGINT) || '}}' AS details, CAST(NULL AS VARCHAR) AS error_message,
+         night AS night_mode_active
+  FROM hb3)"""
+
+ORACLE["freshness_status"] = "WITH " + _PRODUCER + "\nSELECT * FROM producer"
+
+_OFFSETS = """
+so0 AS (SELECT CAST(user_id % 3 AS INTEGER) AS partition,
+               CAST(date_trunc('hour', ts) AS TIMESTAMP) + INTERVAL 1 HOUR AS check_timestamp,
+               max(ts) AS last_ts, count(*) AS n FROM events GROUP BY 1, 2),
+so AS (SELECT check_timestamp, 'events' AS stream, partition,
+              sum(n) OVER (PARTITION BY partition ORDER BY check_timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n AS committed,
+              sum(n) OVER (PARTITION BY partition ORDER BY check_timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS high,
+              LAG(last_ts) OVER (PARTITION BY partition ORDER BY check_timestamp) AS commit_time
+       FROM so0)"""
+
+ORACLE["partition_lag"] = "WITH " + _OFFSETS + """
+SELECT check_timestamp, stream, partition, CAST(committed AS BIGINT) AS committed, CAST(high AS BIGINT) AS high,
+       CAST(greatest(high - committed, 0) AS BIGINT) AS lag_messages FROM so"""
+
+_STREAM = _OFFSETS + f""",
+sg AS (SELECT check_timestamp, stream, max(commit_time) AS commit_time, sum(committed) AS committed,
+              sum(high) AS high, sum(greatest(high - committed, 0)) AS lag_messages
+       FROM so GROUP BY 1, 2),
+sg2 AS (SELECT *, (epoch_us(check_timestamp) - epoch_us(commit_time)) / 1e6 AS age FROM sg),
+stream AS (
+  SELECT check_timestamp, 'pyspark_' || stream AS component,
+         CASE WHEN commit_time IS NULL THEN 'down' WHEN age <= 3600.0 THEN 'healthy'
+              WHEN age <= 3600.0 * 3 THEN 'degraded' ELSE 'down' END AS status,
+         CAST(NULL AS DOUBLE) AS latency_ms, round_even(age, 1) AS lag_seconds,
+         CASE WHEN commit_time IS NULL THEN NULL ELSE CAST(lag_messages AS BIGINT) END AS lag_messages,
+         CASE WHEN commit_time IS NULL THEN '{{}}'
+              ELSE '{{"committed_offset":' || CAST(committed AS BIGINT) || ',"kafka_high_watermark":' || CAST(high AS BIGINT) || '}}' END AS details,
+         CASE WHEN commit_time IS NULL THEN 'no checkpoint found: the stream has not processed a micro-batch yet' END AS error_message,
+         {_CHECK_NIGHT} AS night_mode_active
+  FROM sg2)"""
+
+ORACLE["stream_lag"] = "WITH " + _STREAM + "\nSELECT * FROM stream"
+
+_BROKER = f"""
+bp AS (SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) + INTERVAL 1 HOUR AS check_timestamp,
+              count(*) AS n, sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS n_err,
+              max(value) AS latency_ms, count(DISTINCT event_type) AS topic_count
+       FROM events GROUP BY 1),
+kafka AS (
+  SELECT check_timestamp, 'kafka' AS component,
+         CASE WHEN n_err <= 3 THEN 'healthy' ELSE 'down' END AS status,
+         CASE WHEN n_err <= 3 THEN latency_ms END AS latency_ms,
+         CAST(NULL AS DOUBLE) AS lag_seconds, CAST(NULL AS BIGINT) AS lag_messages,
+         CASE WHEN n_err <= 3 THEN '{{"broker_count":1,"topic_count":' || topic_count || ',"controller_id":' || (n % 4 - 1) || '}}'
+              ELSE '{{}}' END AS details,
+         CASE WHEN n_err > 3 THEN 'broker not reachable' END AS error_message,
+         {_CHECK_NIGHT} AS night_mode_active,
+         CASE WHEN n_err <= 3 THEN n % 4 - 1 END AS controller_id
+  FROM bp),
+kraft AS (
+  SELECT check_timestamp, 'kraft_controller' AS component,
+         CASE WHEN status = 'healthy' AND coalesce(controller_id, -1) < 0 THEN 'down' ELSE status END AS status,
+         latency_ms, lag_seconds, lag_messages, details,
+         CASE WHEN status = 'healthy' AND coalesce(controller_id, -1) < 0
+              THEN 'no active controller (controller id missing)' ELSE error_message END AS error_message,
+         night_mode_active
+  FROM kafka),
+brokers AS (SELECT * EXCLUDE (controller_id) FROM kafka UNION ALL SELECT * FROM kraft)"""
+
+ORACLE["controller_status"] = "WITH " + _BROKER + "\nSELECT * FROM brokers"
+
+_HEALTH = _BROKER + "," + _STREAM + "," + _PRODUCER + """,
+health AS (SELECT * FROM brokers UNION ALL SELECT * FROM stream UNION ALL SELECT * FROM producer)"""
+
+ORACLE["status_board"] = "WITH " + _HEALTH + """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY component ORDER BY check_timestamp DESC) AS rn FROM health) WHERE rn = 1
+ORDER BY component"""
+
+ORACLE["incidents_24h"] = "WITH " + _HEALTH + """
+SELECT check_timestamp, component, status, error_message FROM health
+WHERE status != 'healthy' AND check_timestamp >= TIMESTAMP '2024-01-15 12:00:00' - INTERVAL 24 HOUR
+  AND check_timestamp <= TIMESTAMP '2024-01-15 12:00:00'
+ORDER BY check_timestamp DESC, component"""
+
+ORACLE["retention_candidates"] = """
+SELECT CAST(o_orderdate AS DATE) AS order_date, count(*) AS n_rows,
+       CAST(o_orderdate AS DATE) < DATE '1998-08-02' - INTERVAL 365 DAY AS expired
+FROM orders GROUP BY 1"""
