@@ -16,7 +16,7 @@ from snapline.schemas import DECODED_COLUMNS, ENVELOPE_SCHEMA, RECORD_FIELDS, RE
 
 def encode_envelope(df: DataFrame, *, dataset_id: str | Column = "dataset_id",
                     cycle: str = "request_timestamp", broker_time: str | None = "kafka_timestamp",
-                    record_fields: list[str] = RECORD_FIELDS) -> DataFrame:
+                    record_fields: list[str] = RECORD_FIELDS, keep: list[str] = ()) -> DataFrame:
     """Rows -> ``(value string, timestamp)`` messages.
 
     ``value`` is the outer JSON object ``{dataset_id, request_timestamp, record}`` in
@@ -28,7 +28,7 @@ def encode_envelope(df: DataFrame, *, dataset_id: str | Column = "dataset_id",
     env = json_text(F.struct(ds.alias("dataset_id"), iso_text(cycle).alias("request_timestamp"),
                              record.alias("record")))
     ts = F.col(broker_time) if broker_time else F.current_timestamp()
-    return df.select(env.alias("value"), to_ntz(ts).alias("timestamp"))
+    return df.select(*keep, env.alias("value"), to_ntz(ts).alias("timestamp"))
 
 
 def decode_envelope(df: DataFrame, *, value: str = "value", broker_time: str = "timestamp",

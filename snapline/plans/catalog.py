@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from snapline.operators.change import changes_sequential
 from snapline.operators.dedup import dedup_earliest
-from snapline.operators.envelope import apply_types, decode_envelope, encode_envelope
+from snapline.operators.envelope import apply_types, decode_envelope, encode_envelope, is_malformed
 from datetime import date, datetime
 
 from snapline.functions.cadence import Cadence, effective_interval, is_night, local_time
@@ -25,7 +25,7 @@ from snapline.plans.derived import avail, table
 from snapline.schemas import RECORD_SCHEMA
 from snapline.sources.pages import explode_pages, paginate, snapshot_completeness
 from snapline.sources.raw import route_objects
-from snapline.spec import STATION_SPEC
+from snapline.spec import STATION_SPEC, FeedSpec
 
 # Fixed parameters of the registered queries.
 BATCH_DAY = datetime(2024, 1, 20)           # the day loaded as one batch
@@ -232,6 +232,56 @@ def q_retention_candidates(spark, sf):
     return expired_partitions(o, "order_date", date(1998, 8, 2), 365)
 
 
+ORDERS_SPEC = FeedSpec(key=("o_custkey",), cycle="o_orderdate", order=("o_orderkey",),
+                       compared=("o_orderstatus", "o_orderpriority"), date_col="order_date",
+                       lookback_days=None, bucket_seconds=365 * 86400)
+LINEITEM_SPEC = FeedSpec(key=("l_partkey",), cycle="l_shipdate",
+                         order=("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity",
+                                "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"),
+                         compared=("l_returnflag", "l_linestatus"), date_col="ship_date",
+                         lookback_days=None, bucket_seconds=365 * 86400)
+
+
+def change_history(df: DataFrame, spec: FeedSpec) -> DataFrame:
+    """Earliest copy per (key, cycle), then the sequential change filter."""
+    d = dedup_earliest(df, spec.keys + [spec.cycle], spec.order)
+    return changes_sequential(d, spec)
+
+
+def q_orders_change_history(spark, sf):
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_orderstatus",
+                                          "o_orderpriority", "o_totalprice")
+    return change_history(o, ORDERS_SPEC)
+
+
+def q_lineitem_change_history(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_partkey", "l_shipdate", *LINEITEM_SPEC.order)
+    return change_history(li, LINEITEM_SPEC)
+
+
+def q_decode_malformed(spark, sf):
+    """Broker messages where error events carry damaged payloads (by ``k % 5``:
+    not JSON, a JSON array, an empty object, wrongly typed fields with a bad
+    timestamp, no value); every message still yields one decoded row."""
+    src = avail(spark, sf, extra=("event_id", "event_type",
+                                  F.get_json_object("props", "$.k").cast("int").alias("k")))
+    m = encode_envelope(src, keep=["event_id", "event_type", "k"])
+    bad_typed = ('{"dataset_id":"ds","request_timestamp":"bad","record":'
+                 '"{\\"stationcode\\":12,\\"capacity\\":\\"5\\",\\"numbikesavailable\\":5.0,'
+                 '\\"ebike\\":99999999999,\\"z\\":7}"}')
+    k5 = F.col("k") % 5
+    value = (F.when(F.col("event_type") != "error", F.col("value"))
+              .when(k5 == 0, F.lit("not json"))
+              .when(k5 == 1, F.lit("[]"))
+              .when(k5 == 2, F.lit("{}"))
+              .when(k5 == 3, F.lit(bad_typed))
+              .otherwise(F.lit(None).cast("string")))
+    d = decode_envelope(m.select("event_id", value.alias("value"), "timestamp"), keep=["event_id"])
+    return d.select("event_id", "kafka_timestamp", "request_timestamp", "dataset_id", "stationcode",
+                    "capacity", "numbikesavailable", "ebike", "is_renting",
+                    is_malformed().alias("malformed"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "envelope_roundtrip": q_envelope_roundtrip,
     "typed_snapshot": q_typed_snapshot,
@@ -264,4 +314,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "status_board": q_status_board,
     "incidents_24h": q_incidents_24h,
     "retention_candidates": q_retention_candidates,
+    "orders_change_history": q_orders_change_history,
+    "lineitem_change_history": q_lineitem_change_history,
+    "decode_malformed": q_decode_malformed,
 }

@@ -22,8 +22,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def avail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw availability messages (decoded form, 18 columns + insert time)."""
+def avail(spark: SparkSession, sf_dir: str, extra: tuple = ()) -> DataFrame:
+    """Raw availability messages (decoded form, 18 columns + insert time); ``extra``
+    passes events columns through."""
     e = table(spark, sf_dir, "events")
     uid, val = F.col("user_id"), F.col("value")
     bikes = F.floor(val / 50)
@@ -52,6 +53,7 @@ def avail(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(75101) + uid % 20).cast("string").alias("code_insee_commune"),
         F.lit("Oui").alias("station_opening_hours"),
         F.col("ts").alias("insert_timestamp"),
+        *extra,
     )
 
 

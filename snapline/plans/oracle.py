@@ -375,3 +375,37 @@ ORACLE["retention_candidates"] = """
 SELECT CAST(o_orderdate AS DATE) AS order_date, count(*) AS n_rows,
        CAST(o_orderdate AS DATE) < DATE '1998-08-02' - INTERVAL 365 DAY AS expired
 FROM orders GROUP BY 1"""
+
+
+def _dedup_lag(src: str, key: str, cycle: str, order: str, cmp: list[str], cols: str) -> str:
+    lags = ", ".join(f"LAG({c}) OVER (PARTITION BY {key} ORDER BY {cycle}) AS p_{c}" for c in cmp)
+    diff = " OR ".join(f"{c} IS DISTINCT FROM p_{c}" for c in cmp)
+    return f"""
+WITH d AS (SELECT * EXCLUDE (rn) FROM (
+  SELECT {cols}, ROW_NUMBER() OVER (PARTITION BY {key}, {cycle} ORDER BY {order}) AS rn FROM {src}) WHERE rn = 1),
+l AS (SELECT *, {lags}, LAG({cycle}) OVER (PARTITION BY {key} ORDER BY {cycle}) AS p_cycle FROM d)
+SELECT {cols} FROM l WHERE {key} IS NULL OR p_cycle IS NULL OR {diff}"""
+
+
+ORACLE["orders_change_history"] = _dedup_lag(
+    "orders", "o_custkey", "o_orderdate", "o_orderkey", ["o_orderstatus", "o_orderpriority"],
+    "o_custkey, o_orderdate, o_orderkey, o_orderstatus, o_orderpriority, o_totalprice")
+
+_LI_ORDER = ("l_orderkey, l_linenumber, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, "
+             "l_returnflag, l_linestatus")
+ORACLE["lineitem_change_history"] = _dedup_lag(
+    "lineitem", "l_partkey", "l_shipdate", _LI_ORDER, ["l_returnflag", "l_linestatus"],
+    "l_partkey, l_shipdate, " + _LI_ORDER)
+
+ORACLE["decode_malformed"] = "WITH " + AVAIL + """,
+m AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) % 5 AS k5 FROM avail)
+SELECT event_id, kafka_timestamp,
+       CASE WHEN event_type != 'error' THEN request_timestamp END AS request_timestamp,
+       CASE WHEN event_type != 'error' THEN dataset_id WHEN k5 = 3 THEN 'ds' END AS dataset_id,
+       CASE WHEN event_type != 'error' THEN stationcode WHEN k5 = 3 THEN '12' END AS stationcode,
+       CASE WHEN event_type != 'error' THEN capacity END AS capacity,
+       CASE WHEN event_type != 'error' THEN numbikesavailable END AS numbikesavailable,
+       CASE WHEN event_type != 'error' THEN ebike END AS ebike,
+       CASE WHEN event_type != 'error' THEN is_renting END AS is_renting,
+       event_type = 'error' AND k5 != 3 AS malformed
+FROM m"""
