@@ -318,3 +318,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lineitem_change_history": q_lineitem_change_history,
     "decode_malformed": q_decode_malformed,
 }
+
+
+def _with_streams():
+    from snapline.plans.streams import STREAM_QUERIES
+    QUERIES.update(STREAM_QUERIES)
+
+
+_with_streams()

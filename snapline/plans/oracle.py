@@ -409,3 +409,8 @@ SELECT event_id, kafka_timestamp,
        CASE WHEN event_type != 'error' THEN is_renting END AS is_renting,
        event_type = 'error' AND k5 != 3 AS malformed
 FROM m"""
+
+# The streams' final tables equal the sequential change filter (daily batches, no look-back).
+ORACLE["stream_silver"] = ORACLE["change_filter_asof"]
+ORACLE["stream_resume"] = ORACLE["change_filter_asof"]
+ORACLE["stream_stateful"] = ORACLE["change_filter_asof"]
