@@ -76,6 +76,13 @@ def producer_health(last_msgs: DataFrame, interval_seconds: int, cadence: Cadenc
     ), cadence)
 
 
+def join_offsets(committed: DataFrame, watermarks: DataFrame,
+                 on: tuple = ("check_timestamp", "stream", "partition")) -> DataFrame:
+    """Committed offsets (from the checkpoint) left-joined to the broker's high
+    watermarks by (check, stream, partition); ``high`` is NULL where unknown."""
+    return committed.join(watermarks.select(*on, "high"), list(on), "left")
+
+
 def partition_lag(offsets: DataFrame) -> DataFrame:
     """Lag per (check, stream, partition) = clamp(high - committed), NULL when
     the high watermark is unknown. ``offsets``: ``check_timestamp, stream, partition,
@@ -166,3 +173,11 @@ def incidents(health: DataFrame, as_of: datetime, hours: int = 24) -> DataFrame:
                           & (F.col("check_timestamp") <= F.lit(as_of)))
                   .select("check_timestamp", "component", "status", "error_message")
                   .orderBy(F.col("check_timestamp").desc(), F.col("component")))
+
+
+def write_health(health: DataFrame, path: str) -> None:
+    """K5/K9: append health rows partitioned by check date, clustered by
+    (component, status) inside files."""
+    (health.withColumn("check_date", F.to_date("check_timestamp"))
+           .repartition("check_date").sortWithinPartitions("component", "status")
+           .write.mode("append").partitionBy("check_date").parquet(path))

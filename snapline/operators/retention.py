@@ -14,3 +14,18 @@ def expired_partitions(df: DataFrame, date_col: str, as_of: date, days: int) ->
     cutoff = as_of - timedelta(days=days)
     return (df.groupBy(F.col(date_col)).agg(F.count(F.lit(1)).alias("n_rows"))
               .withColumn("expired", F.col(date_col) < F.lit(cutoff)))
+
+
+def drop_expired(spark, table_name: str, date_col: str, as_of: date, days: int) -> list[date]:
+    """Drop expired partitions of a catalog table (metadata operation per date). The
+    list of partition dates comes from the catalog, bounded by the number of partitions."""
+    cutoff = as_of - timedelta(days=days)
+    parts = spark.sql(f"SHOW PARTITIONS {table_name}").collect()
+    dropped = []
+    for r in parts:
+        spec = dict(kv.split("=", 1) for kv in r[0].split("/"))
+        d = date.fromisoformat(spec[date_col])
+        if d < cutoff:
+            spark.sql(f"ALTER TABLE {table_name} DROP IF EXISTS PARTITION ({date_col} = DATE'{d}')")
+            dropped.append(d)
+    return dropped

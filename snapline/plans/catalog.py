@@ -282,6 +282,11 @@ def q_decode_malformed(spark, sf):
                     is_malformed().alias("malformed"))
 
 
+def q_topic_watermarks(spark, sf):
+    from snapline.sources.feed import topic_watermarks
+    return topic_watermarks(derived.landed_messages(spark, sf))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "envelope_roundtrip": q_envelope_roundtrip,
     "typed_snapshot": q_typed_snapshot,
@@ -317,6 +322,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "orders_change_history": q_orders_change_history,
     "lineitem_change_history": q_lineitem_change_history,
     "decode_malformed": q_decode_malformed,
+    "topic_watermarks": q_topic_watermarks,
 }
 
 

@@ -97,11 +97,13 @@ def stream_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max("ts").alias("last_ts"), F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("partition").orderBy("check_timestamp")
     run = F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return h.select(
-        "check_timestamp", F.lit("events").alias("stream"), "partition",
-        (run - F.col("n")).alias("committed"), run.alias("high"),
-        F.lag("last_ts").over(w).alias("commit_time"),
-    )
+    x = h.select("check_timestamp", F.lit("events").alias("stream"), "partition",
+                 (run - F.col("n")).alias("committed"), run.alias("high"),
+                 F.lag("last_ts").over(w).alias("commit_time"))
+    committed = x.select("check_timestamp", "stream", "partition", "committed", "commit_time")
+    watermarks = x.select("check_timestamp", "stream", "partition", "high")
+    from snapline.operators.health import join_offsets
+    return join_offsets(committed, watermarks)
 
 
 def broker_probes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,3 +144,14 @@ def object_names(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when((t == "view") & (k % 9 == 0), F.concat(F.lit("avail/a/b/c/"), leaf, F.lit(".json")))
              .otherwise(F.concat(F.lit("avail/"), day, F.lit("/"), leaf, F.lit(".json"))))
     return e.select("event_id", name.alias("object_name"))
+
+
+def landed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed as landed broker messages: topic = event type, partition =
+    user_id % 3, offset = event id (increasing within each partition)."""
+    from snapline.operators.envelope import encode_envelope
+    src = avail(spark, sf_dir, extra=("event_id", "event_type", "user_id"))
+    m = encode_envelope(src, keep=["event_id", "event_type", "user_id"])
+    return m.select(F.col("event_type").alias("topic"),
+                    (F.col("user_id") % STREAM_PARTITIONS).cast("int").alias("partition"),
+                    F.col("event_id").alias("offset"), "timestamp", "value")

@@ -414,3 +414,15 @@ FROM m"""
 ORACLE["stream_silver"] = ORACLE["change_filter_asof"]
 ORACLE["stream_resume"] = ORACLE["change_filter_asof"]
 ORACLE["stream_stateful"] = ORACLE["change_filter_asof"]
+
+ORACLE["topic_watermarks"] = """
+SELECT event_type AS topic, CAST(user_id % 3 AS INTEGER) AS partition, min(event_id) AS low,
+       max(event_id) + 1 AS high, max(ts) AS last_ts
+FROM events GROUP BY 1, 2"""
+
+ORACLE["raw_landing"] = "WITH " + AVAIL + """
+SELECT request_timestamp, kafka_timestamp, dataset_id, stationcode, name, is_installed, capacity,
+       numdocksavailable, numbikesavailable, mechanical, ebike, is_renting, is_returning, duedate,
+       lat, lon, nom_arrondissement_communes, code_insee_commune, station_opening_hours,
+       TIMESTAMP '2024-02-01 00:00:00' AS insert_timestamp
+FROM avail"""

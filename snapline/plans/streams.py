@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -22,7 +23,11 @@ from snapline.sources.raw import read_raw
 from snapline.spec import STATION_SPEC
 from snapline.streaming.jobs import run_available
 from snapline.streaming.silver import silver_sink
-from snapline.streaming.sinks import RAW_JSON_OPTIONS, json_file_sink
+from snapline.schemas import RAW_JSON_OPTIONS
+from snapline.sources.feed import open_feed
+from snapline.operators.envelope import decode_envelope
+from snapline.plans.derived import landed_messages
+from snapline.streaming.sinks import raw_sink
 from snapline.streaming.stateful import stateful_changes
 
 SILVER_OUT = ["stationcode", "request_timestamp", "name", "is_installed", "capacity",
@@ -125,7 +130,29 @@ def q_sink_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return m.select("batch_id", "size", "isDir", "action")
 
 
+LANDING_CLOCK = datetime(2024, 2, 1)
+
+
+def q_raw_landing(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed broker messages (one folder per day) -> file feed
+    stream -> decode -> raw JSON-lines sink (fixed batch clock) -> batch read of the
+    raw layer with its explicit schema."""
+    root = _scratch(spark, "raw-landing")
+    m = landed_messages(spark, sf).withColumn("_day", F.to_date("timestamp"))
+    days = [r[0] for r in m.select("_day").distinct().orderBy("_day").collect()]
+    for d in days:
+        (m.filter(F.col("_day") == F.lit(d)).drop("_day").repartition(1)
+          .write.mode("overwrite").options(**RAW_JSON_OPTIONS).json(f"{root}/msgs/{d:%Y/%m/%d}"))
+    feed = open_feed(spark, "files", path=f"{root}/msgs/*/*/*", options=RAW_JSON_OPTIONS, max_per_trigger=1)
+    run_available(decode_envelope(feed), raw_sink(f"{root}/raw", "avail", "run1", clock=lambda: LANDING_CLOCK),
+                  f"{root}/ck")
+    raw = read_raw(spark, f"{root}/raw/avail/*/*/*/*")
+    return raw.select(*[c for c in raw.columns if c != "coordonnees_geo"],
+                      F.col("coordonnees_geo.lat").alias("lat"), F.col("coordonnees_geo.lon").alias("lon"))
+
+
 STREAM_QUERIES = {
+    "raw_landing": q_raw_landing,
     "stream_silver": q_stream_silver,
     "stream_resume": q_stream_resume,
     "stream_stateful": q_stream_stateful,

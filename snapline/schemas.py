@@ -79,3 +79,12 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("blockSize", T.LongType()),
     T.StructField("action", T.StringType()),
 ])
+
+# Fixed JSON-lines options of the raw layer: explicit nulls, ISO timestamps with
+# microseconds (instants with offset, wall-clock values without).
+RAW_JSON_OPTIONS = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "encoding": "UTF-8",
+}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from snapline.functions.text import path_parts
-from snapline.schemas import RAW_SCHEMA
+from snapline.schemas import RAW_JSON_OPTIONS, RAW_SCHEMA
 
 ACCEPTED, IGNORED, QUARANTINED = "accepted", "ignored", "quarantined"
 
@@ -15,11 +15,11 @@ def read_raw(spark: SparkSession, path: str, *, streaming: bool = False, mode: s
     """Raw JSON-lines with the explicit 19-column schema, never inferred. Batch reads
     fail on a bad line (like a warehouse load job); streams carry the file path."""
     if streaming:
-        r = spark.readStream.schema(RAW_SCHEMA).option("mode", "PERMISSIVE")
+        r = spark.readStream.schema(RAW_SCHEMA).options(**RAW_JSON_OPTIONS).option("mode", "PERMISSIVE")
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", max_files_per_trigger)
         return r.json(path).withColumn("source_file", F.col("_metadata.file_path"))
-    return spark.read.schema(RAW_SCHEMA).option("mode", mode).json(path)
+    return spark.read.schema(RAW_SCHEMA).options(**RAW_JSON_OPTIONS).option("mode", mode).json(path)
 
 
 def route_objects(df: DataFrame, name_col: str, prefix: str, suffix: str = ".json") -> DataFrame:

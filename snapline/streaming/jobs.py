@@ -36,3 +36,10 @@ def run_available(df: DataFrame, sink, checkpoint: str, **kw) -> StreamingQuery:
     if q.exception():
         raise q.exception()
     return q
+
+
+def bronze_dedup(stream: DataFrame, keys: list[str], event_time: str, delay: str = "1 hour") -> DataFrame:
+    """T8 option for the raw layer: drop copies of a key seen within the watermark
+    delay (keeps the first *arrived* copy; the silver load still picks the earliest
+    broker time)."""
+    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))

@@ -8,13 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-# Fixed JSON-lines write options: explicit nulls, ISO timestamps with microseconds.
-RAW_JSON_OPTIONS = {
-    "ignoreNullFields": "false",
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-    "encoding": "UTF-8",
-}
+from snapline.schemas import RAW_JSON_OPTIONS
 
 
 def utc_now() -> datetime:
