@@ -22,9 +22,10 @@ def load_batch(raw: DataFrame, path: str, batch_id: str, spec: FeedSpec = STATIO
     """Load one raw batch into the history at ``path``; returns rows inserted.
 
     ``mode="asof"`` (C2): replay-safe, order-correct within the batch.
-    ``mode="faithful"`` (C1): every batch row against the last state known before the
-    batch (look-back from ``as_of``, default the batch's first cycle), then
-    insert-only on ``(key, cycle)`` for the batch's dates.
+    ``mode="faithful"`` (C1): every batch row against the newest stored state per key
+    (look-back from ``as_of``, default the batch's first cycle, no upper bound, as the
+    reference does), then insert-only on ``(key, cycle)`` for the batch's dates. Replaying
+    an old batch can then insert rows that were dropped the first time (hazard H3).
     The history is read without this batch id, so a retry recomputes the same rows
     and overwrites its own output.
     """
@@ -48,7 +49,7 @@ def load_batch(raw: DataFrame, path: str, batch_id: str, spec: FeedSpec = STATIO
                                  lookback_days, bounds=(lo, hi))
         else:
             t0 = as_of or lo
-            state = last_known(hist, spec, as_of=t0, lookback_days=lookback_days, before=lo,
+            state = last_known(hist, spec, as_of=t0, lookback_days=lookback_days,
                                cols=list(spec.compared))
             cand = changes_vs_state(batch, state, spec)
             dates = [r[0] for r in batch.select(spec.date_col).distinct().collect()]

@@ -30,7 +30,7 @@ def simulate(pdf, mode, days=7):
         for st, rows in batch.groupby("stationcode"):
             hist = [(t, v) for t, v in stored.get(st, []) if start <= t <= hi]
             if mode == "faithful":
-                prior = [(t, v) for t, v in hist if t < lo]
+                prior = [(t, v) for t, v in stored.get(st, []) if start <= t]
                 last = max(prior)[1] if prior else None
                 for _, r in rows.iterrows():
                     if last is None or vals(r) != last:
@@ -58,3 +58,16 @@ def test_daily_fold(spark, tmp_path, mode):
            read_history(spark, path, schema, STATION_SPEC).select("stationcode", "request_timestamp").collect()}
     want = simulate(deduped(spark, SF_SMALL).toPandas(), mode)
     assert got == want
+
+
+def test_fixture_anchors_sf001(spark, tmp_path):
+    """Daily batches, 7-day look-back, sf0.01: faithful 6 970 (7 031 after replaying
+    the last day under a new batch id); as-of 6 600, unchanged by replays."""
+    from snapline.plans.streams import _silver
+    dirs = land_raw_days(spark, "/root/testdata/sf0.01", str(tmp_path / "raw"))
+    for mode, want in (("faithful", (6970, 7031)), ("asof", (6600, 6600))):
+        p = str(tmp_path / f"silver-{mode}")
+        load_files_in_order(spark, dirs, p, "r", mode=mode, lookback_days=7)
+        n1 = _silver(spark, p).count()
+        load_files_in_order(spark, [dirs[-1]], p, "again", mode=mode, lookback_days=7)
+        assert (n1, _silver(spark, p).count()) == want
