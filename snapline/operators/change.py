@@ -80,16 +80,26 @@ def changes_as_of(batch: DataFrame, history: DataFrame, spec: FeedSpec,
     compared with its predecessor by cycle among stored rows of the look-back window
     and the batch itself. Replaying any batch inserts nothing, and a batch holding
     several cycles gives the same rows as feeding them one by one.
+
+    Of the stored rows older than the batch only the newest per key can be a
+    predecessor, so the look-back part is reduced to one row per key by an aggregate
+    (combined map-side) before it meets the batch; only stored rows inside the
+    batch's cycle range take part in the neighbour lookup as they are.
     """
     if lookback_days == -1:
         lookback_days = spec.lookback_days
     lo, hi = bounds or batch_bounds(batch, spec)
     if lo is None:
         return batch.limit(0)
+    from snapline.operators.state import latest_per_key
     cols = batch.columns
     stored = history_window(history, spec, lo, hi, lookback_days).select(*cols)
-    fresh = batch.join(stored.select(*spec.keys, spec.cycle), spec.keys + [spec.cycle], "left_anti")
-    u = stored.withColumn("_fresh", F.lit(False)).unionByName(fresh.withColumn("_fresh", F.lit(True)))
+    within = stored.filter((F.col(spec.date_col) >= F.lit(lo.date())) & (F.col(spec.cycle) >= F.lit(lo)))
+    before = stored.filter(F.col(spec.cycle) < F.lit(lo))
+    last_before = latest_per_key(before, spec.keys, spec.cycle, cols).select(*cols)
+    fresh = batch.join(within.select(*spec.keys, spec.cycle), spec.keys + [spec.cycle], "left_anti")
+    u = (last_before.unionByName(within).withColumn("_fresh", F.lit(False))
+         .unionByName(fresh.withColumn("_fresh", F.lit(True))))
     x = with_neighbor(u, spec.keys, spec.cycle, list(spec.compared),
                       bucket_seconds=spec.bucket_seconds, name="_prev")
     keep = F.col("_fresh") & (_null_key(spec.keys) | differs(spec.compared, "_prev"))

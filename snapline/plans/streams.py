@@ -44,15 +44,18 @@ def _scratch(spark: SparkSession, tag: str) -> str:
 def land_raw_days(spark: SparkSession, sf: str, base: str) -> list[str]:
     """Write the feed as raw JSON-lines, one folder per request day, oldest first
     (one write job per day, so file times follow the days). Returns the folders."""
-    raw = avail(spark, sf).withColumn("_day", F.to_date("request_timestamp"))
-    days = [r[0] for r in raw.select("_day").distinct().orderBy("_day").collect()]
-    out = []
-    for d in days:
-        p = f"{base}/{d:%Y/%m/%d}"
-        (raw.filter(F.col("_day") == F.lit(d)).drop("_day").repartition(1)
-            .write.mode("overwrite").options(**RAW_JSON_OPTIONS).json(p))
-        out.append(p)
-    return out
+    raw = avail(spark, sf).withColumn("_day", F.to_date("request_timestamp")).persist()
+    try:
+        days = [r[0] for r in raw.select("_day").distinct().orderBy("_day").collect()]
+        out = []
+        for d in days:
+            p = f"{base}/{d:%Y/%m/%d}"
+            (raw.filter(F.col("_day") == F.lit(d)).drop("_day").repartition(1)
+                .write.mode("overwrite").options(**RAW_JSON_OPTIONS).json(p))
+            out.append(p)
+        return out
+    finally:
+        raw.unpersist()
 
 
 def raw_stream(spark: SparkSession, base: str, files_per_batch: int | None = 1) -> DataFrame:
