@@ -82,7 +82,10 @@ def q_last_known_state(spark, sf):
 
 
 def _batch(spark, sf):
-    return deduped(spark, sf).filter(F.col("request_date") == F.lit(BATCH_DAY.date()))
+    """The batch day's deduplicated rows. The date is a function of the cycle (a dedup
+    key), so the filter goes below the dedup and the parquet scan."""
+    day = typed(spark, sf).filter(F.col("request_date") == F.lit(BATCH_DAY.date()))
+    return dedup_earliest(day, SPEC.keys + [SPEC.cycle], SPEC.order)
 
 
 def q_change_filter_batch(spark, sf):
