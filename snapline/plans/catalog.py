@@ -285,6 +285,22 @@ def q_decode_malformed(spark, sf):
                     is_malformed().alias("malformed"))
 
 
+# A feed where one key holds a third of all rows: users whose id is a multiple of 3
+# report as station -1; the cycle is the event time itself.
+HOT_SPEC = FeedSpec(key=("station",), cycle="ts", order=("event_id",), compared=("event_type",),
+                    date_col="day", lookback_days=None, bucket_seconds=3600)
+
+
+def hot_feed(spark, sf):
+    e = table(spark, sf, "events")
+    station = F.when(F.col("user_id") % 3 == 0, F.lit(-1)).otherwise(F.col("user_id"))
+    return e.select(station.alias("station"), "ts", "event_id", "event_type", "value")
+
+
+def q_hot_key_change_history(spark, sf):
+    return change_history(hot_feed(spark, sf), HOT_SPEC)
+
+
 def q_topic_watermarks(spark, sf):
     from snapline.sources.feed import topic_watermarks
     return topic_watermarks(derived.landed_messages(spark, sf))
@@ -326,6 +342,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lineitem_change_history": q_lineitem_change_history,
     "decode_malformed": q_decode_malformed,
     "topic_watermarks": q_topic_watermarks,
+    "hot_key_change_history": q_hot_key_change_history,
 }
 
 

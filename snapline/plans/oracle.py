@@ -426,3 +426,7 @@ SELECT request_timestamp, kafka_timestamp, dataset_id, stationcode, name, is_ins
        lat, lon, nom_arrondissement_communes, code_insee_commune, station_opening_hours,
        TIMESTAMP '2024-02-01 00:00:00' AS insert_timestamp
 FROM avail"""
+
+ORACLE["hot_key_change_history"] = _dedup_lag(
+    "(SELECT CASE WHEN user_id % 3 = 0 THEN -1 ELSE user_id END AS station, ts, event_id, event_type, value FROM events)",
+    "station", "ts", "event_id", ["event_type"], "station, ts, event_id, event_type, value")
