@@ -47,7 +47,7 @@ def changes_sequential(df: DataFrame, spec: FeedSpec) -> DataFrame:
     Exact sequential change filter (no look-back expiry) over a deduplicated input.
     """
     x = with_neighbor(df, spec.keys, spec.cycle, list(spec.compared),
-                      bucket_seconds=spec.bucket_seconds, name="_prev")
+                      buckets=spec.buckets, name="_prev")
     return x.filter(_null_key(spec.keys) | differs(spec.compared, "_prev")).drop("_prev")
 
 
@@ -101,6 +101,6 @@ def changes_as_of(batch: DataFrame, history: DataFrame, spec: FeedSpec,
     u = (last_before.unionByName(within).withColumn("_fresh", F.lit(False))
          .unionByName(fresh.withColumn("_fresh", F.lit(True))))
     x = with_neighbor(u, spec.keys, spec.cycle, list(spec.compared),
-                      bucket_seconds=spec.bucket_seconds, name="_prev")
+                      buckets=spec.buckets, name="_prev")
     keep = F.col("_fresh") & (_null_key(spec.keys) | differs(spec.compared, "_prev"))
     return x.filter(keep).select(*cols)

@@ -2,19 +2,24 @@
 
 ``lag``/``lead`` over ``partitionBy(key)`` sends a whole key to one task. Here the
 order axis is cut into time buckets. Inside a ``(key, bucket)`` the neighbour comes
-from a window on that pair. Only the first and last row of every bucket need a
-neighbour from another bucket; those edge rows (at most two per bucket) get it from a
-second window over the key. Both branches read one shuffle of the input, then a
-union, no join.
-
-A key holding a third of all rows is spread over as many tasks as it has buckets;
-once ``(key, order)`` is unique (after dedup) a ``(key, bucket)`` holds at most one
-row per distinct order value inside the bucket, and the per-key edge window holds two
-rows per bucket.
+from a window on that pair. Only the first and last row of each bucket need a
+neighbour from another bucket; those edge rows (at most two per bucket) form a
+smaller sequence of the same shape, solved the same way with the next, coarser
+bucket width. After the last width, a window over the key sees two rows per
+coarsest bucket. Each level reads one shuffle for both of its branches (the plan
+reuses the exchange), and the levels are unioned, with no join.
+
+With widths (1 h, 1 d, 30 d), for example, a task never holds more than one key-hour
+of rows, 48 edge rows of a key-day, 60 of a key-month, or two per key-month at the
+top. After dedup, a key-hour holds at most one row per distinct cycle in that hour.
+A key with a third of all rows is therefore spread over as many tasks as it has
+buckets.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
@@ -23,31 +28,35 @@ def bucket_of(order: str, bucket_seconds: int) -> Column:
     return F.floor(micros / F.lit(bucket_seconds * 1_000_000))
 
 
+def _resolve(df: DataFrame, keys: list[str], order: str, prev: bool, widths: list[int],
+             name: str, depth: int) -> DataFrame:
+    step = F.lag if prev else F.lead
+    if not widths:
+        return df.withColumn(name, step("_val").over(Window.partitionBy(*keys).orderBy(F.col(order))))
+    first, last = f"_f{depth}", f"_l{depth}"
+    inner = Window.partitionBy(*keys, "_bk").orderBy(F.col(order))
+    x = df.withColumn("_bk", bucket_of(order, widths[0])).select(
+        "*",
+        step("_val").over(inner).alias(name),
+        F.lag(F.lit(1)).over(inner).isNull().alias(first),
+        F.lead(F.lit(1)).over(inner).isNull().alias(last),
+    ).drop("_bk")
+    needs = first if prev else last
+    inside = x.filter(~F.col(needs)).drop(first, last)
+    edges = x.filter(F.col(first) | F.col(last)).drop(name)
+    solved = _resolve(edges, keys, order, prev, widths[1:], name, depth + 1)
+    return inside.unionByName(solved.filter(F.col(needs)).drop(first, last))
+
+
 def with_neighbor(df: DataFrame, keys: list[str], order: str, cols: list[str], *,
-                  direction: str = "prev", bucket_seconds: int = 86400,
+                  direction: str = "prev", buckets: Sequence[int] = (86400,),
                   name: str = "_nb") -> DataFrame:
     """Add struct column ``name`` with ``cols`` of the previous (``prev``) or next
     (``next``) row of the same key by ``order``; NULL for the first/last row.
 
-    ``(keys, order)`` must be unique (dedup first).
+    ``buckets`` are the bucket widths in seconds, finest first. ``(keys, order)``
+    must be unique (dedup first).
     """
-    keys = list(keys)
-    prev = direction == "prev"
-    step = F.lag if prev else F.lead
-    inner = Window.partitionBy(*keys, "_bk").orderBy(F.col(order))
-    # The struct is a column below the shuffle, so both branches below read the
-    # identical exchange and Spark reuses it.
-    x = df.withColumn("_bk", bucket_of(order, bucket_seconds)) \
-          .withColumn("_val", F.struct(*[F.col(c) for c in cols])).select(
-        "*",
-        step("_val").over(inner).alias(name),
-        F.lag(F.lit(1)).over(inner).isNull().alias("_first"),
-        F.lead(F.lit(1)).over(inner).isNull().alias("_last"),
-    )
-    needs = "_first" if prev else "_last"
-    inside = x.filter(~F.col(needs))
-    outer = Window.partitionBy(*keys).orderBy(F.col(order))
-    edges = (x.filter(F.col("_first") | F.col("_last"))
-              .withColumn(name, step("_val").over(outer))
-              .filter(F.col(needs)))
-    return inside.unionByName(edges).drop("_bk", "_val", "_first", "_last")
+    x = df.withColumn("_val", F.struct(*[F.col(c) for c in cols]))
+    out = _resolve(x, list(keys), order, direction == "prev", list(buckets), name, 0)
+    return out.drop("_val")

@@ -66,7 +66,7 @@ def intervals(history: DataFrame, spec: FeedSpec, cols: list[str] | None = None)
     ``valid_to`` is the next change of the same key, NULL for the current one."""
     cols = list(cols or spec.compared)
     x = with_neighbor(history.select(*spec.keys, spec.cycle, *cols), spec.keys, spec.cycle,
-                      [spec.cycle], direction="next", bucket_seconds=spec.bucket_seconds, name="_next")
+                      [spec.cycle], direction="next", buckets=spec.buckets, name="_next")
     return x.select(*spec.keys, F.col(spec.cycle).alias("valid_from"),
                     F.col("_next." + spec.cycle).alias("valid_to"), *cols)
 

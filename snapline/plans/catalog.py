@@ -237,12 +237,12 @@ def q_retention_candidates(spark, sf):
 
 ORDERS_SPEC = FeedSpec(key=("o_custkey",), cycle="o_orderdate", order=("o_orderkey",),
                        compared=("o_orderstatus", "o_orderpriority"), date_col="order_date",
-                       lookback_days=None, bucket_seconds=365 * 86400)
+                       lookback_days=None, buckets=(365 * 86400,))
 LINEITEM_SPEC = FeedSpec(key=("l_partkey",), cycle="l_shipdate",
                          order=("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity",
                                 "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"),
                          compared=("l_returnflag", "l_linestatus"), date_col="ship_date",
-                         lookback_days=None, bucket_seconds=365 * 86400)
+                         lookback_days=None, buckets=(365 * 86400,))
 
 
 def change_history(df: DataFrame, spec: FeedSpec) -> DataFrame:
@@ -288,7 +288,8 @@ def q_decode_malformed(spark, sf):
 # A feed where one key holds a third of all rows: users whose id is a multiple of 3
 # report as station -1; the cycle is the event time itself.
 HOT_SPEC = FeedSpec(key=("station",), cycle="ts", order=("event_id",), compared=("event_type",),
-                    date_col="day", lookback_days=None, bucket_seconds=3600)
+                    date_col="day", lookback_days=None,
+                    buckets=(3600, 86400, 30 * 86400))
 
 
 def hot_feed(spark, sf):

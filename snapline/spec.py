@@ -17,8 +17,9 @@ class FeedSpec:
     static     quasi-static attributes kept in the dimension (C6)
     date_col   partition column of the history table (date of ``cycle``)
     lookback_days  how far back the last known state is looked up (None = unbounded)
-    bucket_seconds time bucket used to split hot keys in neighbour lookups; after
-               dedup a (key, bucket) holds at most one row per distinct cycle in it
+    buckets    bucket widths (seconds, finest first) that split hot keys in neighbour
+               lookups; after dedup a (key, bucket) holds at most one row per
+               distinct cycle in it
     """
 
     key: tuple[str, ...]
@@ -28,7 +29,7 @@ class FeedSpec:
     static: tuple[str, ...] = ()
     date_col: str = "request_date"
     lookback_days: int | None = 7
-    bucket_seconds: int = 86400
+    buckets: tuple[int, ...] = (86400, 30 * 86400)
     extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     @property
@@ -60,4 +61,5 @@ STATION_SPEC = FeedSpec(
     static=STATION_STATIC,
     date_col="request_date",
     lookback_days=7,
+    buckets=(3600, 86400, 30 * 86400),
 )

@@ -20,10 +20,10 @@ def test_matches_plain_lag_and_lead_with_hot_key(spark):
     df = spark.createDataFrame(data, "k string, t timestamp_ntz, v int")
     w = Window.partitionBy("k").orderBy("t")
     ref = df.select("k", "t", F.lag("v").over(w).alias("p"), F.lead("v").over(w).alias("n"))
-    for bucket in (3600, 86400, 7 * 86400):
-        p = with_neighbor(df, ["k"], "t", ["v"], direction="prev", bucket_seconds=bucket, name="x") \
+    for buckets in ((3600,), (86400,), (7 * 86400,), (600, 3600, 86400), (3600, 86400, 30 * 86400)):
+        p = with_neighbor(df, ["k"], "t", ["v"], direction="prev", buckets=buckets, name="x") \
             .select("k", "t", F.col("x.v").alias("p"))
-        n = with_neighbor(df, ["k"], "t", ["v"], direction="next", bucket_seconds=bucket, name="x") \
+        n = with_neighbor(df, ["k"], "t", ["v"], direction="next", buckets=buckets, name="x") \
             .select("k", "t", F.col("x.v").alias("n"))
         got = p.join(n, ["k", "t"])
         assert got.count() == df.count()
