@@ -41,16 +41,21 @@ def _scratch(spark: SparkSession, tag: str) -> str:
     return os.path.join(checkpoint_dir(spark), f"{tag}-{uuid.uuid4().hex[:12]}")
 
 
-def land_raw_days(spark: SparkSession, sf: str, base: str) -> list[str]:
+FILES_PER_DAY = 4
+
+
+def land_raw_days(spark: SparkSession, sf: str, base: str, files_per_day: int = FILES_PER_DAY) -> list[str]:
     """Write the feed as raw JSON-lines, one folder per request day, oldest first
-    (one write job per day, so file times follow the days). Returns the folders."""
+    (one write job per day, so file times follow the days). Each day is hash-partitioned
+    by station: a file holds whole station-days, so per-station order holds however the
+    stream groups a day's files into batches, and no task writes a whole day."""
     raw = avail(spark, sf).withColumn("_day", F.to_date("request_timestamp")).persist()
     try:
         days = [r[0] for r in raw.select("_day").distinct().orderBy("_day").collect()]
         out = []
         for d in days:
             p = f"{base}/{d:%Y/%m/%d}"
-            (raw.filter(F.col("_day") == F.lit(d)).drop("_day").repartition(1)
+            (raw.filter(F.col("_day") == F.lit(d)).drop("_day").repartition(files_per_day, "stationcode")
                 .write.mode("overwrite").options(**RAW_JSON_OPTIONS).json(p))
             out.append(p)
         return out
@@ -58,7 +63,7 @@ def land_raw_days(spark: SparkSession, sf: str, base: str) -> list[str]:
         raw.unpersist()
 
 
-def raw_stream(spark: SparkSession, base: str, files_per_batch: int | None = 1) -> DataFrame:
+def raw_stream(spark: SparkSession, base: str, files_per_batch: int | None = FILES_PER_DAY) -> DataFrame:
     r = spark.readStream.schema(RAW_SCHEMA).options(**RAW_JSON_OPTIONS)
     if files_per_batch:
         r = r.option("maxFilesPerTrigger", files_per_batch)
@@ -91,7 +96,7 @@ def q_stream_resume(spark: SparkSession, sf: str) -> DataFrame:
     # Land the first half, run, land the rest, resume.
     for d in days:
         p = f"{root}/raw/{d:%Y/%m/%d}"
-        (raw.filter(F.col("_day") == F.lit(d)).drop("_day").repartition(1)
+        (raw.filter(F.col("_day") == F.lit(d)).drop("_day").repartition(FILES_PER_DAY, "stationcode")
             .write.mode("overwrite").options(**RAW_JSON_OPTIONS).json(p))
         if d == half:
             run_available(raw_stream(spark, f"{root}/raw"),
@@ -144,9 +149,10 @@ def q_raw_landing(spark: SparkSession, sf: str) -> DataFrame:
     m = landed_messages(spark, sf).withColumn("_day", F.to_date("timestamp"))
     days = [r[0] for r in m.select("_day").distinct().orderBy("_day").collect()]
     for d in days:
-        (m.filter(F.col("_day") == F.lit(d)).drop("_day").repartition(1)
+        (m.filter(F.col("_day") == F.lit(d)).drop("_day").repartition(FILES_PER_DAY, "partition")
           .write.mode("overwrite").options(**RAW_JSON_OPTIONS).json(f"{root}/msgs/{d:%Y/%m/%d}"))
-    feed = open_feed(spark, "files", path=f"{root}/msgs/*/*/*", options=RAW_JSON_OPTIONS, max_per_trigger=1)
+    feed = open_feed(spark, "files", path=f"{root}/msgs/*/*/*", options=RAW_JSON_OPTIONS,
+                     max_per_trigger=FILES_PER_DAY)
     run_available(decode_envelope(feed), raw_sink(f"{root}/raw", "avail", "run1", clock=lambda: LANDING_CLOCK),
                   f"{root}/ck")
     raw = read_raw(spark, f"{root}/raw/avail/*/*/*/*")
