@@ -56,3 +56,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), *parts)
+
+
+def cluster_conf(input_bytes: int, total_cores: int, *, target_partition_bytes: int = 256 << 20,
+                 shuffle_expansion: float = 1.0) -> dict[str, str]:
+    """Size scans and shuffles for a run over ``input_bytes`` on ``total_cores`` cores.
+
+    Scan splits and AQE's advisory shuffle partition size are ``target_partition_bytes``
+    (sized to sort in memory per core, spilling beyond it). The initial shuffle width
+    covers the expected shuffled bytes at that size, at least two tasks per core, so AQE
+    only has to coalesce, never to split, outside skew handling. Skew handling splits
+    any shuffle partition above 4x the median and above 1 GiB.
+    """
+    shuffled = int(input_bytes * shuffle_expansion)
+    width = max(2 * total_cores, -(-shuffled // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+    }
