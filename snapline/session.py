@@ -77,3 +77,23 @@ def cluster_conf(input_bytes: int, total_cores: int, *, target_partition_bytes:
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
     }
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``snapline`` importable in Python workers (needed by the stateful
+    variant's state function): zip the package into the shared checkpoint folder once
+    per application and register it with ``addPyFile``."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import shutil
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    dest = os.path.join(checkpoint_dir(spark), f"pyfiles-{sc.applicationId}")
+    os.makedirs(dest, exist_ok=True)
+    archive = shutil.make_archive(os.path.join(dest, "snapline"), "zip",
+                                  root_dir=os.path.dirname(pkg), base_dir="snapline")
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)

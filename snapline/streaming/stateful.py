@@ -66,6 +66,8 @@ def stateful_changes(stream: DataFrame, spec: FeedSpec, lookback_days: int | Non
     """Streaming DataFrame of typed rows -> streaming DataFrame of kept rows."""
     if lookback_days == -1:
         lookback_days = spec.lookback_days
+    from snapline.session import ship_package
+    ship_package(stream.sparkSession)
     schema = stream.schema
 
     def fn(key, pdfs, state):
