@@ -27,7 +27,7 @@ from snapline.schemas import RAW_JSON_OPTIONS
 from snapline.sources.feed import open_feed
 from snapline.operators.envelope import decode_envelope
 from snapline.plans.derived import landed_messages
-from snapline.streaming.sinks import raw_sink
+from snapline.streaming.sinks import json_file_sink, raw_sink
 from snapline.streaming.stateful import stateful_changes
 
 SILVER_OUT = ["stationcode", "request_timestamp", "name", "is_installed", "capacity",
@@ -119,12 +119,20 @@ def q_stream_stateful(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out").select(*SILVER_OUT)
 
 
+def _json_stream(df: DataFrame, checkpoint: str, out: str) -> None:
+    """K1: the file-sink variant of the raw layer (JSON lines + commit log), run to the end."""
+    w = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    q = json_file_sink(w, out).start()
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+
+
 def q_checkpoint_offsets(spark: SparkSession, sf: str) -> DataFrame:
     """Offsets log of a raw-to-JSON stream (K1 file sink) over the feed."""
     root = _scratch(spark, "stream-logs")
     land_raw_days(spark, sf, f"{root}/raw")
-    run_available(raw_stream(spark, f"{root}/raw"), "json", f"{root}/ck", path=f"{root}/out",
-                  options=RAW_JSON_OPTIONS)
+    _json_stream(raw_stream(spark, f"{root}/raw"), f"{root}/ck", f"{root}/out")
     return checkpoint_offsets(spark, f"{root}/ck").select("batch_id", "source_index", "log_offset")
 
 
@@ -132,8 +140,7 @@ def q_sink_manifest(spark: SparkSession, sf: str) -> DataFrame:
     """Commit log of the same JSON file sink: one row per committed file."""
     root = _scratch(spark, "stream-sink")
     land_raw_days(spark, sf, f"{root}/raw")
-    run_available(raw_stream(spark, f"{root}/raw"), "json", f"{root}/ck", path=f"{root}/out",
-                  options=RAW_JSON_OPTIONS)
+    _json_stream(raw_stream(spark, f"{root}/raw"), f"{root}/ck", f"{root}/out")
     m = sink_manifest(spark, f"{root}/out")
     return m.select("batch_id", "size", "isDir", "action")
 

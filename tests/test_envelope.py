@@ -1,7 +1,5 @@
 from datetime import datetime
 
-from pyspark.sql import functions as F
-
 from snapline.operators.envelope import apply_types, decode_envelope, encode_envelope, split_malformed
 from snapline.schemas import RECORD_FIELDS
 

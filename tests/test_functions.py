@@ -1,7 +1,5 @@
 from datetime import datetime
 
-from pyspark.sql import functions as F
-
 from snapline.functions import (Cadence, clamp_lag, effective_interval, flag, is_night, iso_text,
                                 round_tenth, status_of, text_timestamp)
 

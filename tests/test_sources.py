@@ -1,7 +1,5 @@
 from datetime import datetime
 
-from pyspark.sql import functions as F
-
 from snapline.operators.health import write_health
 from snapline.plans.derived import landed_messages
 from snapline.schemas import RAW_JSON_OPTIONS

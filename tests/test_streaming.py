@@ -1,17 +1,12 @@
-from datetime import datetime, timedelta
-
 import pandas as pd
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from snapline.operators.change import changes_sequential
 from snapline.plans.catalog import deduped
 from snapline.plans.streams import land_raw_days, raw_stream
-from snapline.session import checkpoint_dir
-from snapline.sources.logs import checkpoint_offsets, latest_batch, sink_manifest
+from snapline.sources.logs import checkpoint_offsets, latest_batch
 from snapline.spec import STATION_SPEC
 from snapline.streaming.jobs import run_available
-from snapline.streaming.stateful import fold_key
 from snapline.operators.envelope import apply_types
 from snapline.streaming.stateful import stateful_changes
 from tests.conftest import SF_SMALL
