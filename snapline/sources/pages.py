@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from snapline.functions.text import json_text
+from snapline.operators.sequence import number_rows
 
 # Fixed value: records per API page.
 PAGE_SIZE = 100
@@ -14,9 +15,10 @@ def paginate(df: DataFrame, cycle: str, order: list[str], record_cols: list[str]
              page_size: int = PAGE_SIZE) -> DataFrame:
     """Group each cycle's records into page documents ``{"results":[...]}`` the way a
     limit/offset poll returns them; a cycle whose size is a multiple of the page size
-    ends with an empty page. Output: ``cycle, page_no, doc``."""
-    w = Window.partitionBy(cycle).orderBy(*order)
-    x = df.withColumn("_rn", F.row_number().over(w) - 1)
+    ends with an empty page. Output: ``cycle, page_no, doc``. Positions come from
+    ``number_rows`` (a cycle is never numbered in one task); a page holds at most
+    ``page_size`` records."""
+    x = number_rows(df, [cycle], list(order), name="_rn")
     x = x.withColumn("page_no", F.floor(F.col("_rn") / page_size).cast("int"))
     rec = F.struct(*[F.col(c) for c in record_cols])
     pages = (x.groupBy(cycle, "page_no")

@@ -28,3 +28,14 @@ def test_matches_plain_lag_and_lead_with_hot_key(spark):
         got = p.join(n, ["k", "t"])
         assert got.count() == df.count()
         assert got.exceptAll(ref.select("k", "t", "p", "n")).count() == 0
+
+
+def test_number_rows_matches_row_number_with_hot_group(spark):
+    from snapline.operators.sequence import number_rows
+    rnd = random.Random(11)
+    data = [("hot" if rnd.random() < 0.4 else f"g{rnd.randint(0, 20)}", i, rnd.randint(0, 9)) for i in range(4000)]
+    df = spark.createDataFrame(data, "g string, o int, v int")
+    got = number_rows(df, ["g"], ["o"], parts=16)
+    ref = df.withColumn("_pos", F.row_number().over(Window.partitionBy("g").orderBy("o")) - 1)
+    assert got.count() == 4000
+    assert got.exceptAll(ref).count() == 0
