@@ -81,3 +81,53 @@ def write_history(df: DataFrame, path: str, spec: FeedSpec, batch_id: str,
             return spark.read.parquet(path).filter(F.col(BATCH_COL) == F.lit(batch_id)).count()
         except Exception:
             return 0
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def partition_dirs(spark: SparkSession, path: str, column: str) -> list[tuple[str, str]]:
+    """``(value, full path)`` of the ``column=value`` folders directly under ``path``
+    (a listing of folder names, bounded by the number of partitions)."""
+    fs, root = _fs(spark, path)
+    if not fs.exists(root):
+        return []
+    out = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(column + "="):
+            out.append((name.split("=", 1)[1], st.getPath().toString()))
+    return out
+
+
+def compact_dates(spark: SparkSession, path: str, schema: T.StructType, spec: FeedSpec,
+                  dates: list[date]) -> int:
+    """Rewrite each closed date's per-batch folders as one folder ``batch_id=compact``.
+
+    The date's rows are deduplicated on ``(key, cycle)`` while being rewritten (stored
+    copies are identical), so a compaction interrupted between the write and the
+    removal of the old folders is repaired by running it again. Returns the rows kept.
+    """
+    kept = 0
+    for d in dates:
+        rows = (read_history(spark, path, schema, spec).filter(F.col(spec.date_col) == F.lit(d)))
+        from snapline.operators.dedup import dedup_earliest
+        cols = [c for c in rows.columns if c != BATCH_COL]
+        one = dedup_earliest(rows.select(*cols), spec.keys + [spec.cycle], [])
+        staged = one.withColumn(BATCH_COL, F.lit("compact-new"))
+        (layout(staged, spec).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(spec.date_col, BATCH_COL).parquet(path))
+        day_dir = f"{path.rstrip('/')}/{spec.date_col}={d}"
+        for value, full in partition_dirs(spark, day_dir, BATCH_COL):
+            if value not in ("compact", "compact-new"):
+                fs, p = _fs(spark, full)
+                fs.delete(p, True)
+        fs, old = _fs(spark, f"{day_dir}/{BATCH_COL}=compact")
+        if fs.exists(old):
+            fs.delete(old, True)
+        fs.rename(_fs(spark, f"{day_dir}/{BATCH_COL}=compact-new")[1], old)
+        kept += read_history(spark, path, schema, spec).filter(F.col(spec.date_col) == F.lit(d)).count()
+    return kept

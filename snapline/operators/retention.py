@@ -29,3 +29,17 @@ def drop_expired(spark, table_name: str, date_col: str, as_of: date, days: int)
             spark.sql(f"ALTER TABLE {table_name} DROP IF EXISTS PARTITION ({date_col} = DATE'{d}')")
             dropped.append(d)
     return dropped
+
+
+def drop_expired_paths(spark, path: str, date_col: str, as_of: date, days: int) -> list[date]:
+    """Path-based variant: delete ``date_col=...`` folders older than the retention."""
+    from snapline.operators.merge import _fs, partition_dirs
+    cutoff = as_of - timedelta(days=days)
+    dropped = []
+    for value, full in partition_dirs(spark, path, date_col):
+        d = date.fromisoformat(value)
+        if d < cutoff:
+            fs, p = _fs(spark, full)
+            fs.delete(p, True)
+            dropped.append(d)
+    return sorted(dropped)

@@ -39,3 +39,22 @@ def test_history_window_prunes_partitions(spark, tmp_path):
     plan = w._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "isnotnull(d" in plan
     assert w.count() == 9  # days 8..16
+
+
+def test_compact_and_expire(spark, tmp_path):
+    from snapline.operators.merge import compact_dates, partition_dirs
+    from snapline.operators.retention import drop_expired_paths
+    path = str(tmp_path / "hist")
+    base = datetime(2024, 1, 1, 1)
+    for b in range(3):  # three batches on the same two days
+        df = rows(spark, [(f"k{i}", base + timedelta(hours=b, days=i % 2), base, i) for i in range(6)])
+        write_history(df, path, SPEC, f"run-{b}", stamp_col=None)
+    schema = history_schema(df.schema, SPEC)
+    before = sorted(read_history(spark, path, schema, SPEC).drop("batch_id").collect())
+    assert compact_dates(spark, path, schema, SPEC, [date(2024, 1, 1)]) == 9
+    assert [v for v, _ in partition_dirs(spark, f"{path}/d=2024-01-01", "batch_id")] == ["compact"]
+    assert compact_dates(spark, path, schema, SPEC, [date(2024, 1, 1)]) == 9  # idempotent
+    after = sorted(read_history(spark, path, schema, SPEC).drop("batch_id").collect())
+    assert after == before[:0] + sorted(set(before))
+    assert drop_expired_paths(spark, path, "d", date(2024, 1, 3), 1) == [date(2024, 1, 1)]
+    assert read_history(spark, path, schema, SPEC).count() == 9
