@@ -19,7 +19,8 @@ class FeedSpec:
     lookback_days  how far back the last known state is looked up (None = unbounded)
     buckets    bucket widths (seconds, finest first) that split hot keys in neighbour
                lookups; after dedup a (key, bucket) holds at most one row per
-               distinct cycle in it
+               distinct cycle in it, so the first width should span many cycles
+               (a bucket of one cycle makes every row an edge)
     """
 
     key: tuple[str, ...]
@@ -61,5 +62,5 @@ STATION_SPEC = FeedSpec(
     static=STATION_STATIC,
     date_col="request_date",
     lookback_days=7,
-    buckets=(3600, 86400, 30 * 86400),
+    buckets=(86400, 30 * 86400),
 )
