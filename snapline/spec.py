@@ -30,7 +30,7 @@ class FeedSpec:
     static: tuple[str, ...] = ()
     date_col: str = "request_date"
     lookback_days: int | None = 7
-    buckets: tuple[int, ...] = (86400, 30 * 86400)
+    buckets: tuple[int, ...] = (86400,)
     extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     @property
@@ -62,5 +62,5 @@ STATION_SPEC = FeedSpec(
     static=STATION_STATIC,
     date_col="request_date",
     lookback_days=7,
-    buckets=(86400, 30 * 86400),
+    buckets=(86400,),
 )
