@@ -85,3 +85,42 @@ def number_rows(df: DataFrame, group: list[str], order: list[str], name: str = "
     cond = [F.col("_p") == F.col("_bp")] + [F.col(c).eqNullSafe(F.col(f"_bg{i}")) for i, c in enumerate(group)]
     return (x.join(offsets, cond)
              .select(*df.columns, (F.col("_local") + F.col("_off")).alias(name)))
+
+
+def asof_join(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str,
+              cols: list[str], *, buckets: Sequence[int] = (86400,), name: str = "_asof") -> DataFrame:
+    """For every ``left`` row, the ``cols`` (and time) of the newest ``right`` row of the
+    same key with ``right_time <= left_time``, as struct column ``name`` (NULL if none).
+
+    Both sides are unioned and cut into (key, bucket) groups. Inside a group the
+    newest right row so far comes from a running ``last`` (ignoring left rows); the
+    newest right row of earlier buckets comes from one aggregated row per (key,
+    bucket), carried forward by a window over the key (one row per bucket), and is
+    joined back on (key, bucket). No window ever spans a whole key's rows.
+    """
+    keys = list(keys)
+    width = list(buckets)[0]
+    val = F.struct(F.col("_t").alias(right_time), *[F.col(c) for c in cols])
+    r = right.select(*keys, F.col(right_time).alias("_t"), *cols).select(
+        *keys, "_t", F.lit(0).alias("_side"), val.alias("_v"))
+    lcols = left.columns
+    l = left.select(*keys, F.col(left_time).alias("_t"), F.lit(1).alias("_side"),
+                    F.lit(None).cast(r.schema["_v"].dataType).alias("_v"),
+                    F.struct(*[F.col(c) for c in lcols]).alias("_row"))
+    u = r.withColumn("_row", F.lit(None).cast(l.schema["_row"].dataType)).unionByName(l)
+    u = u.withColumn("_bk", bucket_of("_t", width))
+    # right rows sort before left rows at the same time, so "<=" holds
+    w = (Window.partitionBy(*keys, "_bk").orderBy("_t", "_side")
+               .rowsBetween(Window.unboundedPreceding, 0))
+    u = u.withColumn("_in", F.last("_v", ignorenulls=True).over(w))
+    # one row per (key, bucket) present on either side; NULL where the bucket holds no right row
+    newest = F.when(F.col("_side") == 0, F.struct(F.col("_t").alias("_o"), F.col("_v").alias("_x")))
+    last = u.groupBy(*keys, "_bk").agg(F.max(newest).alias("_m"))
+    carry = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    prior = last.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_bk").alias("_bk2"),
+                        F.max("_m").over(carry)["_x"].alias("_cross"))
+    lefts = u.filter(F.col("_side") == 1)
+    cond = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)] + [F.col("_bk") == F.col("_bk2")]
+    out = lefts.join(prior, cond, "left")
+    return out.select(*[F.col("_row." + c).alias(c) for c in lcols],
+                      F.coalesce("_in", "_cross").alias(name))

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
-from snapline.operators.sequence import with_neighbor
+from snapline.operators.sequence import asof_join, with_neighbor
 from snapline.spec import FeedSpec
 
 
@@ -80,3 +80,14 @@ def dimension(df: DataFrame, spec: FeedSpec, static: list[str] | None = None) ->
               .agg(best, F.min(spec.cycle).alias("first_seen"))
               .select(*spec.keys, *[F.col("_b." + c).alias(c) for c in static],
                       "first_seen", F.col("_b." + spec.cycle).alias("last_seen")))
+
+
+def reconstruct(history: DataFrame, grid: DataFrame, spec: FeedSpec, cols: list[str] | None = None) -> DataFrame:
+    """The state of each ``(key, cycle)`` of ``grid`` rebuilt from the change rows
+    (newest change at or before the cycle): what makes change-only storage lossless."""
+    cols = list(cols or spec.compared)
+    g = grid.select(*spec.keys, spec.cycle)
+    j = asof_join(g, history.select(*spec.keys, spec.cycle, *cols), spec.keys, spec.cycle, spec.cycle,
+                  cols, buckets=spec.buckets, name="_s")
+    return j.select(*spec.keys, spec.cycle, F.col("_s." + spec.cycle).alias("changed_at"),
+                    *[F.col("_s." + c).alias(c) for c in cols])

@@ -131,6 +131,11 @@ def q_history_intervals(spark, sf):
     return state.intervals(kept(spark, sf), SPEC, cols=COMPARED)
 
 
+def q_history_reconstruction(spark, sf):
+    """Every deduplicated feed row rebuilt from the change history alone."""
+    return state.reconstruct(kept(spark, sf), deduped(spark, sf), SPEC).drop("changed_at")
+
+
 def q_station_dimension(spark, sf):
     return state.dimension(deduped(spark, sf), SPEC)
 
@@ -320,6 +325,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "current_state": q_current_state,
     "state_as_of": q_state_as_of,
     "history_intervals": q_history_intervals,
+    "history_reconstruction": q_history_reconstruction,
     "station_dimension": q_station_dimension,
     "duplicate_audit": q_duplicate_audit,
     "write_avoidance": q_write_avoidance,

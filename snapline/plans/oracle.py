@@ -430,3 +430,6 @@ FROM avail"""
 ORACLE["hot_key_change_history"] = _dedup_lag(
     "(SELECT CASE WHEN user_id % 3 = 0 THEN -1 ELSE user_id END AS station, ts, event_id, event_type, value FROM events)",
     "station", "ts", "event_id", ["event_type"], "station, ts, event_id, event_type, value")
+
+# Rebuilding every feed row from the change history gives back the feed (lossless).
+ORACLE["history_reconstruction"] = "WITH " + DEDUP + f"\nSELECT stationcode, request_timestamp, {CMP_COLS} FROM dedup"

@@ -39,3 +39,24 @@ def test_number_rows_matches_row_number_with_hot_group(spark):
     ref = df.withColumn("_pos", F.row_number().over(Window.partitionBy("g").orderBy("o")) - 1)
     assert got.count() == 4000
     assert got.exceptAll(ref).count() == 0
+
+
+def test_asof_join_matches_brute_force(spark):
+    from snapline.operators.sequence import asof_join
+    rnd = random.Random(5)
+    base = datetime(2024, 1, 1)
+    right = sorted({("hot" if rnd.random() < 0.4 else f"k{rnd.randint(0, 15)}",
+                     base + timedelta(minutes=rnd.randint(0, 60 * 24 * 10))) for _ in range(1500)})
+    right = [(k, t, rnd.randint(0, 5)) for k, t in right]
+    left = [(k, t + timedelta(minutes=rnd.choice([0, 1, 90, 60 * 30]))) for k, t, _ in right[::3]]
+    left += [("hot", base - timedelta(days=1)), ("nobody", base)]
+    r = spark.createDataFrame(right, "k string, t timestamp_ntz, v int")
+    l = spark.createDataFrame(left, "k string, lt timestamp_ntz")
+    for buckets in ((3600,), (86400,)):
+        got = {(row["k"], row["lt"]): (row["_asof"]["v"] if row["_asof"] else None)
+               for row in asof_join(l, r, ["k"], "lt", "t", ["v"], buckets=buckets).collect()}
+        want = {}
+        for k, lt in left:
+            cands = [(t, v) for kk, t, v in right if kk == k and t <= lt]
+            want[(k, lt)] = max(cands)[1] if cands else None
+        assert got == want
