@@ -13,7 +13,8 @@ def dedup_earliest(df: DataFrame, keys: list[str] | tuple[str, ...], order: list
     partial aggregate collapses copies map-side, so a key holding a large share of all
     copies never reaches one task whole.
     """
-    keys, order = list(keys), list(order)
+    keys = list(keys)
+    order = [c for c in order if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]
     winner = F.min(F.struct(*[F.col(c) for c in order + rest])).alias("_w")
     return (df.groupBy(*keys).agg(winner)
