@@ -48,10 +48,25 @@ def history_schema(df_schema: T.StructType, spec: FeedSpec) -> T.StructType:
 
 
 def read_history(spark: SparkSession, path: str, schema: T.StructType, spec: FeedSpec,
-                 exclude_batch: str | None = None) -> DataFrame:
+                 exclude_batch: str | None = None, since: date | None = None,
+                 until: date | None = None) -> DataFrame:
     """The stored history with an explicit schema (no partition type inference);
     an absent table reads as empty. Callers add date filters; they reach the scan as
-    partition filters."""
+    partition filters.
+
+    With ``since``/``until`` only the date folders in that range are listed and read
+    (one listing of the top level), so the cost of opening the table does not grow with
+    the number of stored dates and batches."""
+    if since is not None or until is not None:
+        dirs = [full for value, full in partition_dirs(spark, path, spec.date_col)
+                if (since is None or date.fromisoformat(value) >= since)
+                and (until is None or date.fromisoformat(value) <= until)]
+        if not dirs:
+            return spark.createDataFrame([], schema)
+        df = spark.read.schema(schema).option("basePath", path).parquet(*dirs)
+        if exclude_batch is not None:
+            df = df.filter(F.col(BATCH_COL) != F.lit(exclude_batch))
+        return df
     try:
         df = spark.read.schema(schema).parquet(path)
     except Exception as e:  # path does not exist yet

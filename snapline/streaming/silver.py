@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 
@@ -43,12 +43,19 @@ def load_batch(raw: DataFrame, path: str, batch_id: str, spec: FeedSpec = STATIO
             from pyspark.sql import types as T
             schema = T.StructType(schema.fields[:-2] + [T.StructField("silver_updated_at", T.TimestampNTZType())]
                                   + schema.fields[-2:])
-        hist = read_history(spark, path, schema, spec, exclude_batch=batch_id)
+        # Only the date folders the look-back can reach are listed and read.
+        t0 = lo if mode == "asof" else (as_of or lo)
+        start = None if lookback_days is None else (t0 - timedelta(days=lookback_days)).date()
+        if mode == "asof":
+            hist = read_history(spark, path, schema, spec, exclude_batch=batch_id, since=start, until=hi.date())
+        else:
+            # the insert-only check also needs the batch's own dates
+            since = None if start is None else min(start, lo.date())
+            hist = read_history(spark, path, schema, spec, exclude_batch=batch_id, since=since)
         if mode == "asof":
             rows = changes_as_of(batch, hist.drop("silver_updated_at", "batch_id"), spec,
                                  lookback_days, bounds=(lo, hi))
         else:
-            t0 = as_of or lo
             state = last_known(hist, spec, as_of=t0, lookback_days=lookback_days,
                                cols=list(spec.compared))
             cand = changes_vs_state(batch, state, spec)
