@@ -1,7 +1,10 @@
 """Stateful change filter (T9): last kept state per key in the state store.
 
 Each key's state holds the compared values and cycle of its last kept row and the
-newest cycle seen. Within a micro-batch a key's rows are folded in cycle order, so the
+newest cycle seen. The state is O(1) per key. One call receives one key's rows of one
+micro-batch, which the source's per-trigger cap (``maxOffsetsPerTrigger`` /
+``maxFilesPerTrigger``) bounds; a key's history never passes through a task whole.
+Within a micro-batch a key's rows are folded in cycle order, so the
 look-back expiry is exact per row (event time, not wall clock): a row is kept when it
 is the key's first, when the last kept row is more than N days older, or when a
 compared field differs. Copies of an already seen cycle are dropped; a late row (older
