@@ -129,27 +129,31 @@ def compact_dates(spark: SparkSession, path: str, schema: T.StructType, spec: Fe
                   dates: list[date]) -> int:
     """Rewrite each closed date's per-batch folders as one folder ``batch_id=compact``.
 
-    The date's rows are deduplicated on ``(key, cycle)`` while being rewritten (stored
-    copies are identical), so a compaction interrupted between the write and the
-    removal of the old folders is repaired by running it again. Returns the rows kept.
+    One write covers all the dates: their rows are deduplicated on ``(key, cycle)``
+    (stored copies are identical), so a compaction interrupted between the write and
+    the folder swap is repaired by running it again. Then, per date, the old batch
+    folders are removed and the new folder takes the name ``compact``. Returns the
+    rows in the compacted dates.
     """
-    kept = 0
+    from snapline.operators.dedup import dedup_earliest
+    if not dates:
+        return 0
+    rows = read_history(spark, path, schema, spec, since=min(dates), until=max(dates)) \
+        .filter(F.col(spec.date_col).isin(list(dates)))
+    cols = [c for c in rows.columns if c != BATCH_COL]
+    one = dedup_earliest(rows.select(*cols), spec.keys + [spec.cycle], [])
+    staged = one.withColumn(BATCH_COL, F.lit("compact-new"))
+    (layout(staged, spec).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(spec.date_col, BATCH_COL).parquet(path))
     for d in dates:
-        rows = (read_history(spark, path, schema, spec).filter(F.col(spec.date_col) == F.lit(d)))
-        from snapline.operators.dedup import dedup_earliest
-        cols = [c for c in rows.columns if c != BATCH_COL]
-        one = dedup_earliest(rows.select(*cols), spec.keys + [spec.cycle], [])
-        staged = one.withColumn(BATCH_COL, F.lit("compact-new"))
-        (layout(staged, spec).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(spec.date_col, BATCH_COL).parquet(path))
         day_dir = f"{path.rstrip('/')}/{spec.date_col}={d}"
+        fresh = f"{day_dir}/{BATCH_COL}=compact-new"
+        fs, fresh_p = _fs(spark, fresh)
+        if not fs.exists(fresh_p):
+            continue
         for value, full in partition_dirs(spark, day_dir, BATCH_COL):
-            if value not in ("compact", "compact-new"):
-                fs, p = _fs(spark, full)
-                fs.delete(p, True)
-        fs, old = _fs(spark, f"{day_dir}/{BATCH_COL}=compact")
-        if fs.exists(old):
-            fs.delete(old, True)
-        fs.rename(_fs(spark, f"{day_dir}/{BATCH_COL}=compact-new")[1], old)
-        kept += read_history(spark, path, schema, spec).filter(F.col(spec.date_col) == F.lit(d)).count()
-    return kept
+            if value != "compact-new":
+                fs.delete(_fs(spark, full)[1], True)
+        fs.rename(fresh_p, _fs(spark, f"{day_dir}/{BATCH_COL}=compact")[1])
+    return read_history(spark, path, schema, spec, since=min(dates), until=max(dates)) \
+        .filter(F.col(spec.date_col).isin(list(dates))).count()

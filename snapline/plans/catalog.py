@@ -136,6 +136,34 @@ def q_history_reconstruction(spark, sf):
     return state.reconstruct(kept(spark, sf), deduped(spark, sf), SPEC).drop("changed_at")
 
 
+RETENTION_AS_OF = date(2024, 1, 30)
+RETENTION_DAYS = 20
+
+
+def q_history_maintenance(spark, sf):
+    """K4/K6 on a stored history: the change rows written as three batches per date,
+    every date compacted into one folder (one write), dates past retention dropped,
+    the table read back."""
+    from snapline.operators.merge import compact_dates, history_schema, partition_dirs, read_history, write_history
+    from snapline.operators.retention import drop_expired_paths
+    from snapline.session import checkpoint_dir
+    import os
+    import uuid
+    path = os.path.join(checkpoint_dir(spark), f"history-maint-{uuid.uuid4().hex[:12]}")
+    k = kept(spark, sf)
+    for b in range(3):
+        part = k.filter(F.hour("request_timestamp") % 3 == b)
+        write_history(part, path, SPEC, f"load-{b}", as_of=datetime(2024, 2, 1))
+    schema = history_schema(k.schema, SPEC)
+    from pyspark.sql import types as T
+    schema = T.StructType(schema.fields[:-2] + [T.StructField("silver_updated_at", T.TimestampNTZType())]
+                          + schema.fields[-2:])
+    dates = sorted(date.fromisoformat(v) for v, _ in partition_dirs(spark, path, SPEC.date_col))
+    compact_dates(spark, path, schema, SPEC, dates)
+    drop_expired_paths(spark, path, SPEC.date_col, RETENTION_AS_OF, RETENTION_DAYS)
+    return read_history(spark, path, schema, SPEC).select(*SILVER_OUT, "batch_id")
+
+
 def q_station_dimension(spark, sf):
     return state.dimension(deduped(spark, sf), SPEC)
 
@@ -327,6 +355,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "history_intervals": q_history_intervals,
     "history_reconstruction": q_history_reconstruction,
     "station_dimension": q_station_dimension,
+    "history_maintenance": q_history_maintenance,
     "duplicate_audit": q_duplicate_audit,
     "write_avoidance": q_write_avoidance,
     "recent_rows": q_recent_rows,

@@ -433,3 +433,8 @@ ORACLE["hot_key_change_history"] = _dedup_lag(
 
 # Rebuilding every feed row from the change history gives back the feed (lossless).
 ORACLE["history_reconstruction"] = "WITH " + DEDUP + f"\nSELECT stationcode, request_timestamp, {CMP_COLS} FROM dedup"
+
+# Compaction keeps every row once; retention drops dates before 2024-01-30 - 20 days.
+ORACLE["history_maintenance"] = "WITH " + KEPT + f"""
+SELECT {SILVER_COLS}, 'compact' AS batch_id FROM kept
+WHERE request_date >= DATE '2024-01-10'"""
