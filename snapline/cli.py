@@ -5,6 +5,8 @@
   silver   raw JSON-lines folder(s) -> change history (C2 as-of, or C1 faithful)
   compact  rewrite closed dates' per-batch folders into one folder per date
   verify   audits over a history: duplicates (must be 0), write avoidance, current state
+  health   stream lag/staleness and producer freshness rows at a time, appended to a
+           date-partitioned health table
 
 Streams run with a processing-time trigger, or ``--once`` (available-now) for backfills.
 """
@@ -96,6 +98,26 @@ def verify(args) -> None:
     print(json.dumps(out, default=str))
 
 
+def health(args) -> None:
+    from datetime import datetime
+    from snapline.operators.health import write_health
+    from snapline.plans.monitor import health_check
+    from snapline.schemas import RAW_JSON_OPTIONS
+    from snapline.sources.feed import kafka_options, open_feed
+    spark = _session(args)
+    if args.servers:
+        msgs = open_feed(spark, "kafka", streaming=False,
+                         options=kafka_options(args.servers, args.topic, starting="earliest"))
+    else:
+        msgs = open_feed(spark, "files", path=args.messages, options=RAW_JSON_OPTIONS, streaming=False)
+    as_of = datetime.fromisoformat(args.as_of) if args.as_of else datetime.utcnow()
+    rows = health_check(spark, args.checkpoint, msgs, as_of,
+                        producer_interval_seconds=args.interval, stream_threshold_seconds=args.threshold)
+    write_health(rows, args.health_table)
+    for r in rows.orderBy("component").collect():  # a handful of rows: one per component
+        print(json.dumps(r.asDict(), default=str))
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="snapline")
     p.add_argument("--master", default=None, help="only for local runs; spark-submit sets it")
@@ -128,6 +150,14 @@ def main(argv: list[str] | None = None) -> None:
     v.add_argument("--history", required=True); v.add_argument("--raw-glob")
     v.set_defaults(fn=verify)
 
+    h = sub.add_parser("health")
+    h.add_argument("--checkpoint", required=True, help="checkpoint folder of the Kafka stream")
+    h.add_argument("--messages", help="landed messages (instead of --servers/--topic)")
+    h.add_argument("--servers"); h.add_argument("--topic")
+    h.add_argument("--health-table", required=True); h.add_argument("--as-of")
+    h.add_argument("--interval", type=int, default=60); h.add_argument("--threshold", type=float, default=120)
+    h.set_defaults(fn=health)
+
     args = p.parse_args(argv)
     args.fn(args)
 

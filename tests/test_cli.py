@@ -30,3 +30,22 @@ def test_bronze_silver_verify(spark, tmp_path):
     assert v["duplicates"] == 0
     assert v["history_rows"] == 667 and v["keys"] == 15
     assert v["n_snapshot_rows"] == 951
+
+
+def test_health_job(spark, tmp_path):
+    from pyspark.sql import functions as F
+    # a Kafka-shaped checkpoint: batch 0 and 1 of topic "view", partitions 0..2
+    off = tmp_path / "ck" / "offsets"
+    off.mkdir(parents=True)
+    meta = '{"batchWatermarkMs":0,"batchTimestampMs":0,"conf":{}}'
+    (off / "0").write_text(f'v1\n{meta}\n{{"view":{{"0":10,"1":10,"2":10}}}}')
+    (off / "1").write_text(f'v1\n{meta}\n{{"view":{{"0":400,"1":400,"2":400}}}}')
+    msgs = str(tmp_path / "msgs")
+    landed_messages(spark, SF_SMALL).filter(F.col("topic") == "view").write.options(**RAW_JSON_OPTIONS).json(msgs)
+    rows = cli("health", "--checkpoint", str(tmp_path / "ck"), "--messages", msgs,
+               "--health-table", str(tmp_path / "health"), "--as-of", "2024-01-15T12:00:00")
+    comps = {r["component"]: r for r in rows}
+    assert set(comps) == {"pyspark_view", "producer_view"}
+    assert comps["pyspark_view"]["lag_messages"] is not None
+    assert comps["producer_view"]["status"] in ("healthy", "degraded", "down")
+    assert spark.read.parquet(str(tmp_path / "health")).count() == 2
