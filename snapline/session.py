@@ -45,11 +45,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     (local runs, tests) a fresh folder under the system temp dir is created and
     registered, so executors never write to a machine-local path on a cluster.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # no JVM context on this client (e.g. Spark Connect)
+        sc = None
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="snapline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if sc is not None:
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 

@@ -54,3 +54,19 @@ def test_bronze_dedup_within_watermark(spark, tmp_path):
     d = bronze_dedup(s, ["k", "t"], "t", "1 hour")
     run_available(d, "parquet", str(tmp_path / "ck"), path=str(tmp_path / "out"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_raw_sink_skips_empty_and_stamps(spark, tmp_path):
+    import os
+
+    from snapline.plans.derived import avail
+    from snapline.sources.raw import read_raw
+    from snapline.streaming.sinks import raw_sink
+    write = raw_sink(str(tmp_path / "raw"), "t", "run", clock=lambda: datetime(2024, 2, 1, 12))
+    a = avail(spark, SF_SMALL).drop("insert_timestamp")
+    write(a.limit(0), 0)
+    assert not os.path.exists(tmp_path / "raw")
+    write(a, 1)
+    back = read_raw(spark, str(tmp_path / "raw" / "t" / "2024" / "02" / "01" / "run-epoch-1"))
+    assert back.count() == a.count()
+    assert back.select("insert_timestamp").distinct().first()[0] == datetime(2024, 2, 1, 12)
