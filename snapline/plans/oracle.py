@@ -273,7 +273,7 @@ WITH days AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events),
 m AS (SELECT day, unnest(range(CAST(day AS TIMESTAMP), CAST(day AS TIMESTAMP) + INTERVAL 1 DAY, INTERVAL 1 MINUTE)) AS minute
       FROM days)
 SELECT day, count(*) AS n_minutes, CAST(sum(CASE WHEN {_MNIGHT} THEN 1 ELSE 0 END) AS BIGINT) AS night_minutes,
-       sum(CASE WHEN {_MNIGHT} THEN 0.25 ELSE 1.0 END) * 1.0 AS expected_cycles
+       CAST(sum(CASE WHEN {_MNIGHT} THEN 0.25 ELSE 1.0 END) AS DOUBLE) AS expected_cycles
 FROM m GROUP BY day"""
 
 _CHECK_NIGHT = _NIGHT.replace("ts", "check_timestamp")
