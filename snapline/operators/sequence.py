@@ -1,4 +1,5 @@
-"""Skew-safe previous/next row of the same key.
+"""Skew-safe sequence primitives: previous/next row of the same key (``with_neighbor``),
+row numbering inside a group (``number_rows``) and the as-of join (``asof_join``).
 
 ``lag``/``lead`` over ``partitionBy(key)`` sends a whole key to one task. Here the
 order axis is cut into time buckets. Inside a ``(key, bucket)`` the neighbour comes
