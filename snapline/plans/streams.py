@@ -49,18 +49,19 @@ def land_raw_days(spark: SparkSession, sf: str, base: str, files_per_day: int =
     (one write job per day, so file times follow the days). Each day is hash-partitioned
     by station: a file holds whole station-days, so per-station order holds however the
     stream groups a day's files into batches, and no task writes a whole day."""
-    raw = avail(spark, sf).withColumn("_day", F.to_date("request_timestamp")).persist()
-    try:
-        days = [r[0] for r in raw.select("_day").distinct().orderBy("_day").collect()]
-        out = []
-        for d in days:
-            p = f"{base}/{d:%Y/%m/%d}"
-            (raw.filter(F.col("_day") == F.lit(d)).drop("_day").repartition(files_per_day, "stationcode")
-                .write.mode("overwrite").options(**RAW_JSON_OPTIONS).json(p))
-            out.append(p)
-        return out
-    finally:
-        raw.unpersist()
+    days = [r[0] for r in spark.read.parquet(f"{sf.rstrip('/')}/events.parquet")
+            .select(F.to_date("ts").alias("d")).distinct().orderBy("d").collect()]
+    out = []
+    for d in days:
+        # the day's rows by event time: the filter reaches the parquet scan (row-group stats)
+        lo = F.lit(datetime(d.year, d.month, d.day)).cast("timestamp_ntz")
+        day = avail(spark, sf).filter((F.col("kafka_timestamp") >= lo)
+                                      & (F.col("kafka_timestamp") < lo + F.expr("INTERVAL 1 DAY")))
+        p = f"{base}/{d:%Y/%m/%d}"
+        (day.repartition(files_per_day, "stationcode")
+            .write.mode("overwrite").options(**RAW_JSON_OPTIONS).json(p))
+        out.append(p)
+    return out
 
 
 def raw_stream(spark: SparkSession, base: str, files_per_batch: int | None = FILES_PER_DAY) -> DataFrame:
