@@ -65,22 +65,46 @@ def fold_key(pdf, spec: FeedSpec, lookback_days: int | None, prior: tuple | None
     return pdf.loc[keep_idx], (json.dumps(vals), kept_us, seen_us)
 
 
-def stateful_changes(stream: DataFrame, spec: FeedSpec, lookback_days: int | None = -1) -> DataFrame:
-    """Streaming DataFrame of typed rows -> streaming DataFrame of kept rows."""
+def stateful_changes(stream: DataFrame, spec: FeedSpec, lookback_days: int | None = -1,
+                     watermark_delay: str | None = None) -> DataFrame:
+    """Streaming DataFrame of typed rows -> streaming DataFrame of kept rows.
+
+    With a look-back and ``watermark_delay`` the state of a key is evicted once event
+    time (the watermark on the cycle) passes its last kept cycle plus the look-back.
+    Any later on-time row would be re-emitted anyway, so the result is unchanged and
+    state holds only keys seen within the look-back. Rows older than the watermark
+    are dropped by Spark.
+    """
     if lookback_days == -1:
         lookback_days = spec.lookback_days
+    from pyspark.sql import functions as F
     from snapline.session import ship_package
     ship_package(stream.sparkSession)
+    evict = watermark_delay is not None and lookback_days is not None
+    if evict:
+        stream = (stream.withColumn("_event_time", F.col(spec.cycle).cast("timestamp"))
+                        .withWatermark("_event_time", watermark_delay))
     schema = stream.schema
+    horizon_ms = None if lookback_days is None else lookback_days * 86_400_000
 
     def fn(key, pdfs, state):
         import pandas as pd
+        if state.hasTimedOut:
+            state.remove()
+            return
         pdf = pd.concat(list(pdfs), ignore_index=True)
         prior = state.get if state.exists else None
         kept, new_state = fold_key(pdf, spec, lookback_days, prior)
         state.update(new_state)
+        if evict and new_state[1] is not None:
+            expire_ms = new_state[1] // 1000 + horizon_ms
+            if expire_ms >= state.getCurrentWatermarkMs():
+                state.setTimeoutTimestamp(expire_ms)
+            else:
+                state.remove()
         yield kept
 
-    return stream.groupBy(*spec.keys).applyInPandasWithState(
+    out = stream.groupBy(*spec.keys).applyInPandasWithState(
         fn, schema, "vals string, last_kept long, last_seen long", "append",
-        GroupStateTimeout.NoTimeout)
+        GroupStateTimeout.EventTimeTimeout if evict else GroupStateTimeout.NoTimeout)
+    return out.drop("_event_time") if evict else out

@@ -38,11 +38,15 @@ def brute_fold(pdf, days):
     return set(out)
 
 
-def test_stateful_lookback_matches_brute_force(spark, tmp_path):
+import pytest
+
+
+@pytest.mark.parametrize("watermark", [None, "1 day"])
+def test_stateful_lookback_matches_brute_force(spark, tmp_path, watermark):
     root = str(tmp_path)
     land_raw_days(spark, SF_SMALL, f"{root}/raw")
     typed = apply_types(raw_stream(spark, f"{root}/raw"))
-    kept = stateful_changes(typed, STATION_SPEC, lookback_days=1)
+    kept = stateful_changes(typed, STATION_SPEC, lookback_days=1, watermark_delay=watermark)
     run_available(kept, "parquet", f"{root}/ck", path=f"{root}/out")
     got = {(r[0], pd.Timestamp(r[1])) for r in
            spark.read.parquet(f"{root}/out").select("stationcode", "request_timestamp").collect()}
