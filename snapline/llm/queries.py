@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapline.llm import bestfit, bitpack, token_count
+from snapline.llm import bestfit, bitpack, quality_rules, syncmer, token_count
 from snapline.llm.common import scratch, table, text_of, tokenizer_path
 
 
@@ -22,6 +22,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                           (F.col("n_tokens") > 4096).alias("over_limit"))
 
 
+def op4_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text, and their likenesses."""
+    return syncmer.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by the 49k word vocabulary, written bit-packed and read back."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -29,6 +34,14 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+def op9_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures and verdict of the standard rules for every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules.apply_rules(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 1024 ids of the 50k byte vocabulary."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -37,7 +50,9 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op4_closed_syncmers": op4_closed_syncmers,
     "op5_token_files": op5_token_files,
+    "op9_quality_cascade": op9_quality_cascade,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
