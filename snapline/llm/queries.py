@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapline.llm import bestfit, bitpack, quality_rules, syncmer, token_count
+from snapline.llm import bestfit, bitpack, ngram_join, pfair, quality_rules, syncmer, token_count
 from snapline.llm.common import scratch, table, text_of, tokenizer_path
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingle sets are 85 % alike."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.jaccard_components(docs, n=4, percent=85)
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document by the 32k piece vocabulary, through a cache of its own that
     starts empty (``spark.snapline.tokenCache`` names a lasting one)."""
@@ -22,6 +28,12 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                           (F.col("n_tokens") > 4096).alias("over_limit"))
 
 
+def op3_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every document in the mix of its sources by flattened weights."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return pfair.mix(docs, key=["doc_id"])
+
+
 def op4_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every document and of its edited text, and their likenesses."""
     return syncmer.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -49,7 +61,9 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_token_counts": op2_token_counts,
+    "op3_pfair_mix": op3_pfair_mix,
     "op4_closed_syncmers": op4_closed_syncmers,
     "op5_token_files": op5_token_files,
     "op9_quality_cascade": op9_quality_cascade,
