@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapline.llm import bestfit, bitpack, html_mincut, ngram_join, pfair, quality_rules, syncmer, token_count
+from snapline.llm import bestfit, bitpack, html_mincut, ngram_join, pfair, pii, quality_rules, syncmer, token_count
 from snapline.llm.common import scratch, table, text_of, tokenizer_path
 
 
@@ -46,6 +46,11 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts and checksum of the base spans, all spans."""
+    return pii.digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_html_mincut(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pfair_mix": op3_pfair_mix,
     "op4_closed_syncmers": op4_closed_syncmers,
     "op5_token_files": op5_token_files,
+    "op7_pii": op7_pii,
     "op8_html_mincut": op8_html_mincut,
     "op9_quality_cascade": op9_quality_cascade,
     "op10_best_fit_packing": op10_best_fit_packing,
