@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapline.llm import bestfit, bitpack, html_mincut, ngram_join, pfair, pii, quality_rules, syncmer, token_count
+from snapline.llm import bestfit, bitpack, html_mincut, kneser_ney, ngram_join, pfair, pii, quality_rules, syncmer, token_count
 from snapline.llm.common import scratch, table, text_of, tokenizer_path
 
 
@@ -46,6 +46,13 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity, threshold and verdict of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return kneser_ney.classify(docs, table(spark, sf_dir, "labels")).select(
+        "doc_id", "lang", "perplexity", "threshold", "accepted")
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: counts and checksum of the base spans, all spans."""
     return pii.digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -71,16 +78,24 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bestfit.best_fit_pack(docs, tokenizer_path("byte_bpe_50k.json"), "byte", 2)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of corpus_pipeline.py over the documents."""
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_token_counts": op2_token_counts,
     "op3_pfair_mix": op3_pfair_mix,
     "op4_closed_syncmers": op4_closed_syncmers,
     "op5_token_files": op5_token_files,
+    "op6_kneser_ney": op6_kneser_ney,
     "op7_pii": op7_pii,
     "op8_html_mincut": op8_html_mincut,
     "op9_quality_cascade": op9_quality_cascade,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "pipeline": pipeline,
 }
 
 ORACLE: dict[str, str] = {}
