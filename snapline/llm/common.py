@@ -150,7 +150,8 @@ class ChunkEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
+        self.keys = np.zeros(0, np.uint64)          # hashes of known chunks, ascending,
+        self.slot = np.zeros(0, np.int64)           # and their places in start and length
         self.start = np.zeros(1 << 16, np.int64)
         self.length = np.zeros(1 << 16, np.int32)
         self.pool = np.zeros(1 << 18, self.dtype)
@@ -187,11 +188,18 @@ class ChunkEncoder:
         w = c[1:] if c[0] == " " else c
         return bool(w and _SOLID.match(w[0]) and _SOLID.match(w[-1]))
 
-    def _learn(self, hashes: list[int], chunks: list[str]) -> None:
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """Slots of chunk hashes, -1 for unknown ones."""
+        if not len(self.keys):
+            return np.full(len(keys), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.slot[at], -1)
+
+    def _learn(self, hashes: np.ndarray, chunks: list[str]) -> None:
         """Store the ids of new chunks; one whose edge is not visible gets length -1."""
         solid = [i for i, c in enumerate(chunks) if self._safe(c)]
         found: dict[int, list[int]] = dict(zip(solid, self._chunk_ids([chunks[i] for i in solid])))
-        n, base = len(chunks), len(self.known)
+        n, base = len(chunks), len(self.keys)
         while base + n > len(self.start):
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
             self.length = np.concatenate([self.length, np.zeros_like(self.length)])
@@ -204,30 +212,30 @@ class ChunkEncoder:
         self.start[base:base + n] = self.used + np.cumsum(full) - full
         self.length[base:base + n] = lens
         self.used += len(flat)
-        self.known.update(zip(hashes, range(base, base + n)))
+        order = np.argsort(hashes)
+        place = np.searchsorted(self.keys, hashes[order])
+        self.keys = np.insert(self.keys, place, hashes[order])
+        self.slot = np.insert(self.slot, place, base + order)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of ids of each text."""
-        if len(self.known) > self.limit:
+        if len(self.keys) > self.limit:
             self._forget()
         start, stop, first, buf = self._cut(texts)
         if not len(start):
             return np.zeros(0, self.dtype), np.zeros(len(texts), np.int64)
         count = np.diff(np.concatenate([first, [len(start)]]))
         code, uniq = pd.factorize(span_hashes(buf, start, stop))
-        keys = uniq.tolist()
-        get = self.known.get
-        slot = [get(k, -1) for k in keys]
-        new = [i for i, s in enumerate(slot) if s < 0]
-        if new:
-            seen = np.zeros(len(keys), np.int64)
+        slot = self._find(uniq)
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            seen = np.zeros(len(uniq), np.int64)
             seen[code[::-1]] = np.arange(len(code))[::-1]     # first place of each chunk
             raw, place = buf.tobytes(), seen[new]
-            self._learn([keys[i] for i in new],
-                        [raw[a:b].decode("utf-8", "surrogatepass")
-                         for a, b in zip(start[place].tolist(), stop[place].tolist())])
-            slot = [get(k) for k in keys]
-        which = np.array(slot, np.int64)[code]
+            self._learn(uniq[new], [raw[a:b].decode("utf-8", "surrogatepass")
+                                    for a, b in zip(start[place].tolist(), stop[place].tolist())])
+            slot = self._find(uniq)
+        which = slot[code]
         run, lens = self.start[which], self.length[which].astype(np.int64)
         owner = np.repeat(np.arange(len(texts)), count)
         odd = np.unique(owner[lens < 0])                      # texts for the library, whole
