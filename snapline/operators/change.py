@@ -1,8 +1,8 @@
 """Change filters: keep only rows that are new or differ in a compared field.
 
 C1 ``changes_vs_state``  faithful: every batch row against the state before the batch.
-C2 ``changes_as_of``     each row not yet stored against its predecessor by cycle in
-                         (stored history within the look-back) + batch; replay-safe.
+C2 ``changes_as_of``     each row not yet stored against its predecessor by cycle in stored
+                         history + batch, and against the look-back of its own cycle; replay-safe.
 ``changes_sequential``   C2 over one self-contained input (no stored history).
 """
 
@@ -74,33 +74,63 @@ def history_window(history: DataFrame, spec: FeedSpec, lo: datetime, hi: datetim
 def changes_as_of(batch: DataFrame, history: DataFrame, spec: FeedSpec,
                   lookback_days: int | None = -1,
                   bounds: tuple | None = None) -> DataFrame:
-    """Rows of ``batch`` (deduplicated) to insert into ``history``.
-
-    A batch row already stored (same key and cycle) is skipped; every other row is
-    compared with its predecessor by cycle among stored rows of the look-back window
-    and the batch itself. Replaying any batch inserts nothing, and a batch holding
-    several cycles gives the same rows as feeding them one by one.
-
-    Of the stored rows older than the batch only the newest per key can be a
-    predecessor, so the look-back part is reduced to one row per key by an aggregate
-    (combined map-side) before it meets the batch; only stored rows inside the
-    batch's cycle range take part in the neighbour lookup as they are.
+    """Rows of ``batch`` (deduplicated) to insert into ``history``.
+
+    A row is kept when its key has no kept row at most ``lookback_days`` older than it
+    (per row, inclusive), or when a compared field differs from its predecessor by cycle.
+    A row already stored (same key and cycle) is skipped, so replaying a batch inserts
+    nothing, and consecutive batches give the same rows however the feed is cut. Rows
+    without a cycle have nothing to be compared with and are kept.
+
+    A batch spans at most the look-back (``load_batch`` cuts longer ones): then only a
+    key's run of values that began before the batch can outlive the look-back inside it,
+    and at most once. Of the stored rows older than the batch only the newest per key
+    matters, so the look-back part is reduced to one narrow row per key by an aggregate
+    (combined map-side) before it meets the batch.
     """
     if lookback_days == -1:
         lookback_days = spec.lookback_days
     lo, hi = bounds or batch_bounds(batch, spec)
     if lo is None:
-        return batch.limit(0)
+        return batch
+    if lookback_days is not None and hi - lo > timedelta(days=lookback_days):
+        raise ValueError(f"a batch may span at most the look-back of {lookback_days} days")
     from snapline.operators.state import latest_per_key
-    cols = batch.columns
-    stored = history_window(history, spec, lo, hi, lookback_days).select(*cols)
-    within = stored.filter((F.col(spec.date_col) >= F.lit(lo.date())) & (F.col(spec.cycle) >= F.lit(lo)))
-    before = stored.filter(F.col(spec.cycle) < F.lit(lo))
-    last_before = latest_per_key(before, spec.keys, spec.cycle, cols).select(*cols)
-    fresh = batch.join(within.select(*spec.keys, spec.cycle), spec.keys + [spec.cycle], "left_anti")
-    u = (last_before.unionByName(within).withColumn("_fresh", F.lit(False))
-         .unionByName(fresh.withColumn("_fresh", F.lit(True))))
-    x = with_neighbor(u, spec.keys, spec.cycle, list(spec.compared),
-                      buckets=spec.buckets, name="_prev")
-    keep = F.col("_fresh") & (_null_key(spec.keys) | differs(spec.compared, "_prev"))
-    return x.filter(keep).select(*cols)
+    keys, cycle, cols = spec.keys, F.col(spec.cycle), batch.columns
+    narrow = [*keys, spec.cycle, *spec.compared]
+    window = history_window(history, spec, lo, hi, lookback_days)
+    within = (window.filter((F.col(spec.date_col) >= F.lit(lo.date())) & (cycle >= F.lit(lo)))
+              .select(*narrow).withColumn("_fresh", F.lit(False)))
+    before = latest_per_key(window.filter(cycle < F.lit(lo)).select(*narrow), keys, spec.cycle,
+                            narrow).select(*narrow)
+    fresh = (batch.filter(cycle.isNotNull())
+             .join(within.select(*keys, spec.cycle), keys + [spec.cycle], "left_anti")
+             .withColumn("_fresh", F.lit(True)))
+    inside = fresh.unionByName(within, allowMissingColumns=True)
+    u = inside.unionByName(before.withColumn("_fresh", F.lit(False)), allowMissingColumns=True)
+    x = with_neighbor(u, keys, spec.cycle, list(spec.compared), buckets=spec.buckets, name="_prev")
+    out = (x.filter(F.col("_fresh") & (_null_key(keys) | differs(spec.compared, "_prev")))
+           .select(*cols).unionByName(batch.filter(cycle.isNull())))
+    if lookback_days is None:
+        return out
+    return out.unionByName(_outlived(inside, before, spec, hi, lookback_days, cols))
+
+
+def _outlived(inside: DataFrame, before: DataFrame, spec: FeedSpec, hi: datetime, days: int,
+              cols: list[str]) -> DataFrame:
+    """Unchanged rows to keep because their key's last kept row has left the look-back: per
+    key, the first fresh row past it, unless the key changed or has a stored row earlier in
+    the batch's range (the look-back then starts again there)."""
+    reach = F.expr(f"INTERVAL {int(days)} DAYS")
+    old = (before.filter(F.col(spec.cycle) + reach < F.lit(hi))
+           .select(*spec.keys, F.col(spec.cycle).alias("_kept"),
+                   F.struct(*spec.compared).alias("_last")))
+    rest = [c for c in cols if c not in (*spec.keys, spec.cycle)]
+    restart = F.when(~F.col("_fresh") | differs(spec.compared, "_last"), F.col(spec.cycle))
+    past = F.when(F.col("_fresh") & (F.col(spec.cycle) > F.col("_kept") + reach),
+                  F.struct(spec.cycle, *rest))
+    g = inside.join(old, spec.keys).groupBy(*spec.keys).agg(
+        F.min(restart).alias("_restart"), F.min(past).alias("_row"))
+    due = F.col("_restart").isNull() | (F.col(f"_row.{spec.cycle}") < F.col("_restart"))
+    return (g.filter(F.col("_row").isNotNull() & due)
+            .select(*[F.col(c) if c in spec.keys else F.col(f"_row.{c}").alias(c) for c in cols]))

@@ -6,6 +6,8 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
+from snapline.operators.merge import NULL_PARTITION
+
 
 def expired_partitions(df: DataFrame, date_col: str, as_of: date, days: int) -> DataFrame:
     """Per partition date: rows held and whether it is past retention
@@ -24,6 +26,8 @@ def drop_expired(spark, table_name: str, date_col: str, as_of: date, days: int)
     dropped = []
     for r in parts:
         spec = dict(kv.split("=", 1) for kv in r[0].split("/"))
+        if spec[date_col] == NULL_PARTITION:
+            continue
         d = date.fromisoformat(spec[date_col])
         if d < cutoff:
             spark.sql(f"ALTER TABLE {table_name} DROP IF EXISTS PARTITION ({date_col} = DATE'{d}')")
@@ -37,6 +41,8 @@ def drop_expired_paths(spark, path: str, date_col: str, as_of: date, days: int)
     cutoff = as_of - timedelta(days=days)
     dropped = []
     for value, full in partition_dirs(spark, path, date_col):
+        if value is None:                 # rows without a date never expire
+            continue
         d = date.fromisoformat(value)
         if d < cutoff:
             fs, p = _fs(spark, full)

@@ -1,5 +1,5 @@
-"""Skew-safe sequence primitives: previous/next row of the same key (``with_neighbor``),
-row numbering inside a group (``number_rows``) and the as-of join (``asof_join``).
+"""Skew-safe sequence primitives: previous/next row of the same key (``with_neighbor``)
+and the as-of join (``asof_join``).
 
 ``lag``/``lead`` over ``partitionBy(key)`` sends a whole key to one task. Here the
 order axis is cut into time buckets. Inside a ``(key, bucket)`` the neighbour comes
@@ -56,36 +56,12 @@ def with_neighbor(df: DataFrame, keys: list[str], order: str, cols: list[str], *
     (``next``) row of the same key by ``order``; NULL for the first/last row.
 
     ``buckets`` are the bucket widths in seconds, finest first. ``(keys, order)``
-    must be unique (dedup first).
+    must be unique (dedup first). Rows without an ``order`` value have no neighbour and
+    are nobody's neighbour.
     """
-    x = df.withColumn("_val", F.struct(*[F.col(c) for c in cols]))
-    out = _resolve(x, list(keys), order, direction == "prev", list(buckets), name, 0)
-    return out.drop("_val")
-
-
-def number_rows(df: DataFrame, group: list[str], order: list[str], name: str = "_pos",
-                parts: int | None = None) -> DataFrame:
-    """0-based position of every row inside its group by ``order`` (which must be a
-    total order within the group), without sending a group to one task.
-
-    Rows are range-partitioned on (group, order), so a large group spans many
-    contiguous partitions. Each row is numbered inside its (partition, group) block.
-    The block sizes (at most one block per partition and group it spans) are summed
-    in partition order to give every block its offset, and the offset is added back
-    by a join on the block.
-    """
-    group, order = list(group), list(order)
-    ranged = df.repartitionByRange(*([parts] if parts else []), *[F.col(c) for c in group + order])
-    x = ranged.withColumn("_p", F.spark_partition_id())
-    block = Window.partitionBy("_p", *group).orderBy(*[F.col(c) for c in order])
-    x = x.withColumn("_local", F.row_number().over(block) - 1)
-    sizes = x.groupBy("_p", *group).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*group).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(F.col("_p").alias("_bp"), *[F.col(c).alias(f"_bg{i}") for i, c in enumerate(group)],
-                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    cond = [F.col("_p") == F.col("_bp")] + [F.col(c).eqNullSafe(F.col(f"_bg{i}")) for i, c in enumerate(group)]
-    return (x.join(offsets, cond)
-             .select(*df.columns, (F.col("_local") + F.col("_off")).alias(name)))
+    x = df.withColumns({"_val": F.struct(*[F.col(c) for c in cols]), "_unordered": F.col(order).isNull()})
+    out = _resolve(x, [*keys, "_unordered"], order, direction == "prev", list(buckets), name, 0)
+    return out.withColumn(name, F.when(~F.col("_unordered"), F.col(name))).drop("_val", "_unordered")
 
 
 def asof_join(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str,

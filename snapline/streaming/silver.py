@@ -5,77 +5,142 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from snapline.operators.change import batch_bounds, changes_as_of, changes_vs_state
 from snapline.operators.dedup import dedup_earliest
-from snapline.operators.envelope import apply_types
-from snapline.operators.merge import history_schema, insert_only, read_history, write_history
+from snapline.operators.envelope import apply_types, split_malformed
+from snapline.operators.merge import BATCH_COL, history_schema, insert_only, read_history, write_history
 from snapline.operators.state import last_known
+from snapline.schemas import RAW_JSON_OPTIONS
+from snapline.sources.raw import ACCEPTED, QUARANTINED, route_objects
 from snapline.spec import FeedSpec, STATION_SPEC
 from snapline.streaming.sinks import utc_now
 
+STAMP = "silver_updated_at"
+
+
+KEEP, DROP, QUARANTINE = "keep", "drop", "quarantine"
+
+
+def stored_schema(batch: DataFrame, spec: FeedSpec) -> T.StructType:
+    """Schema of the stored history for typed rows like ``batch``."""
+    fields = history_schema(batch.schema, spec).fields
+    if all(f.name != STAMP for f in fields):
+        fields = [*fields[:-2], T.StructField(STAMP, T.TimestampNTZType()), *fields[-2:]]
+    return T.StructType(fields)
+
+
+def accept(raw: DataFrame, on_malformed: str, quarantine: str | None, batch_id: str) -> DataFrame:
+    """Rows to load under the malformed-row policy: ``keep`` all, ``drop`` rows without any
+    record field, or write them under ``quarantine``/batch_id=... and load the rest."""
+    if on_malformed == KEEP:
+        return raw
+    good, bad = split_malformed(raw)
+    if on_malformed == QUARANTINE:
+        if not quarantine:
+            raise ValueError("quarantine needs a folder")
+        bad.write.mode("overwrite").options(**RAW_JSON_OPTIONS).json(f"{quarantine.rstrip('/')}/batch_id={batch_id}")
+    elif on_malformed != DROP:
+        raise ValueError(f"unknown policy {on_malformed!r}")
+    return good
+
 
 def load_batch(raw: DataFrame, path: str, batch_id: str, spec: FeedSpec = STATION_SPEC, *,
                mode: str = "asof", lookback_days: int | None = -1, typed: bool = False,
-               as_of: datetime | None = None, clock: Callable[[], datetime] = utc_now) -> int:
+               as_of: datetime | None = None, clock: Callable[[], datetime] = utc_now,
+               on_malformed: str = KEEP, quarantine: str | None = None) -> int:
     """Load one raw batch into the history at ``path``; returns rows inserted.
 
-    ``mode="asof"`` (C2): replay-safe, order-correct within the batch.
+    ``mode="asof"`` (C2): replay-safe, order-correct within the batch. A batch that spans
+    more than the look-back is loaded in slices of that length, each under its own id.
     ``mode="faithful"`` (C1): every batch row against the newest stored state per key
     (look-back from ``as_of``, default the batch's first cycle, no upper bound, as the
     reference does), then insert-only on ``(key, cycle)`` for the batch's dates. Replaying
     an old batch can then insert rows that were dropped the first time (hazard H3).
     The history is read without this batch id, so a retry recomputes the same rows
-    and overwrites its own output.
+    and overwrites its own output. Rows without a cycle are stored too (they have no date),
+    unless ``on_malformed`` turns them away (see :func:`accept`).
     """
-    spark = raw.sparkSession
     if lookback_days == -1:
         lookback_days = spec.lookback_days
+    if not typed:
+        raw = accept(raw, on_malformed, quarantine, batch_id)
     batch = raw if typed else apply_types(raw, date_col=spec.date_col)
     batch = dedup_earliest(batch, spec.keys + [spec.cycle], spec.order).persist()
     try:
         lo, hi = batch_bounds(batch, spec)
+        schema = stored_schema(batch, spec)
         if lo is None:
-            return 0
-        schema = history_schema(batch.schema, spec)
-        if "silver_updated_at" not in schema.fieldNames():
-            from pyspark.sql import types as T
-            schema = T.StructType(schema.fields[:-2] + [T.StructField("silver_updated_at", T.TimestampNTZType())]
-                                  + schema.fields[-2:])
-        # Only the date folders the look-back can reach are listed and read.
-        t0 = lo if mode == "asof" else (as_of or lo)
-        start = None if lookback_days is None else (t0 - timedelta(days=lookback_days)).date()
-        if mode == "asof":
-            hist = read_history(spark, path, schema, spec, exclude_batch=batch_id, since=start, until=hi.date())
-        else:
-            # the insert-only check also needs the batch's own dates
-            since = None if start is None else min(start, lo.date())
-            hist = read_history(spark, path, schema, spec, exclude_batch=batch_id, since=since)
-        if mode == "asof":
-            rows = changes_as_of(batch, hist.drop("silver_updated_at", "batch_id"), spec,
-                                 lookback_days, bounds=(lo, hi))
-        else:
-            state = last_known(hist, spec, as_of=t0, lookback_days=lookback_days,
-                               cols=list(spec.compared))
-            cand = changes_vs_state(batch, state, spec)
-            dates = [r[0] for r in batch.select(spec.date_col).distinct().collect()]
-            rows = insert_only(cand, hist, spec, dates=dates)
-        return write_history(rows, path, spec, batch_id, as_of=clock())
+            return write_history(batch, path, spec, batch_id, as_of=clock())
+        if mode != "asof":
+            rows = _faithful(batch, path, schema, batch_id, spec, lookback_days, as_of or lo, lo)
+            return write_history(rows, path, spec, batch_id, as_of=clock())
+        step = None if lookback_days is None else timedelta(days=lookback_days)
+        if step is None or hi - lo <= step:
+            return _slice_as_of(batch, (lo, hi), path, schema, batch_id, spec, lookback_days, clock)
+        n, written = 0, 0
+        while lo <= hi:
+            end = lo + step
+            part = batch.filter((F.col(spec.cycle) >= F.lit(lo)) & (F.col(spec.cycle) < F.lit(end)))
+            if n == 0:
+                part = part.unionByName(batch.filter(F.col(spec.cycle).isNull()))
+            written += _slice_as_of(part, (lo, min(end, hi)), path, schema, f"{batch_id}-s{n:05d}", spec,
+                                    lookback_days, clock, whole=batch_id)
+            lo, n = end, n + 1
+        return written
     finally:
         batch.unpersist()
 
 
+def _slice_as_of(batch: DataFrame, bounds: tuple, path: str, schema: T.StructType, batch_id: str,
+                 spec: FeedSpec, lookback_days: int | None, clock: Callable, whole: str | None = None) -> int:
+    """Only the date folders the look-back can reach are listed and read."""
+    lo, hi = bounds
+    start = None if lookback_days is None else (lo - timedelta(days=lookback_days)).date()
+    hist = read_history(batch.sparkSession, path, schema, spec, exclude_batch=batch_id, since=start,
+                        until=hi.date())
+    if whole is not None:       # a retry must not see what its later slices wrote the first time
+        hist = hist.filter(~(F.col(BATCH_COL).startswith(f"{whole}-s") & (F.col(BATCH_COL) >= F.lit(batch_id))))
+    rows = changes_as_of(batch, hist.drop(STAMP, BATCH_COL), spec, lookback_days, bounds=bounds)
+    return write_history(rows, path, spec, batch_id, as_of=clock())
+
+
+def _faithful(batch: DataFrame, path: str, schema: T.StructType, batch_id: str, spec: FeedSpec,
+              lookback_days: int | None, t0: datetime, lo: datetime) -> DataFrame:
+    start = None if lookback_days is None else (t0 - timedelta(days=lookback_days)).date()
+    since = None if start is None else min(start, lo.date())   # the insert-only check needs the batch's dates
+    hist = read_history(batch.sparkSession, path, schema, spec, exclude_batch=batch_id, since=since)
+    state = last_known(hist, spec, as_of=t0, lookback_days=lookback_days, cols=list(spec.compared))
+    cand = changes_vs_state(batch, state, spec)
+    dates = [r[0] for r in batch.select(spec.date_col).distinct().collect() if r[0] is not None]
+    return insert_only(cand, hist, spec, dates=dates)
+
+
 def silver_sink(path: str, run_id: str, spec: FeedSpec = STATION_SPEC, *, mode: str = "asof",
                 lookback_days: int | None = -1, typed: bool = False,
-                clock: Callable[[], datetime] = utc_now,
-                metrics: list | None = None) -> Callable[[DataFrame, int], None]:
+                clock: Callable[[], datetime] = utc_now, metrics: list | None = None,
+                on_malformed: str = KEEP, quarantine: str | None = None,
+                prefix: str | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` callable: micro-batches are loaded one after another (a
-    stream runs its batches serially), batch id ``<run_id>-<epoch>``."""
+    stream runs its batches serially), batch id ``<run_id>-<epoch>``.
+
+    With ``prefix`` (S4, P6, P7) each row's ``source_file`` is routed by its name from the
+    prefix on: files that are not landed objects are ignored, misplaced ones go to
+    ``quarantine`` or, without it, are left out."""
 
     def run(df: DataFrame, epoch_id: int) -> None:
-        n = load_batch(df, path, f"{run_id}-{epoch_id:06d}", spec, mode=mode,
-                       lookback_days=lookback_days, typed=typed, clock=clock)
+        batch_id = f"{run_id}-{epoch_id:06d}"
+        if prefix is not None:
+            name = F.concat(F.lit(prefix), F.substring_index("source_file", f"/{prefix}", -1))
+            routed = route_objects(df.withColumn("_object", name), "_object", prefix)
+            if quarantine:
+                (routed.filter(F.col("route") == QUARANTINED).drop("_object", "route", "batch_date")
+                 .write.mode("overwrite").options(**RAW_JSON_OPTIONS)
+                 .json(f"{quarantine.rstrip('/')}/misplaced/batch_id={batch_id}"))
+            df = routed.filter(F.col("route") == ACCEPTED).drop("_object", "route", "batch_date", "source_file")
+        n = load_batch(df, path, batch_id, spec, mode=mode, lookback_days=lookback_days, typed=typed,
+                       clock=clock, on_malformed=on_malformed, quarantine=quarantine)
         if metrics is not None:
             metrics.append((epoch_id, n))
 
