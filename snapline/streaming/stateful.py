@@ -2,8 +2,9 @@
 
 Each key's state holds the compared values and cycle of its last kept row and the
 newest cycle seen. The state is O(1) per key. One call receives one key's rows of one
-micro-batch, which the source's per-trigger cap (``maxOffsetsPerTrigger`` /
-``maxFilesPerTrigger``) bounds; a key's history never passes through a task whole.
+micro-batch: at most as many as the source's per-trigger cap (``maxOffsetsPerTrigger`` /
+``maxFilesPerTrigger``) lets in, so set that cap for the memory of one task; a key's history
+never passes through a task whole.
 Within a micro-batch a key's rows are folded in cycle order, so the
 look-back expiry is exact per row (event time, not wall clock): a row is kept when it
 is the key's first, when the last kept row is more than N days older, or when a
@@ -24,6 +25,7 @@ DAY_MICROS = 86_400_000_000
 
 
 def _plain(v):
+    """A value as JSON can hold it; times and dates in ISO form."""
     import pandas as pd
     if v is None:
         return None
@@ -32,37 +34,74 @@ def _plain(v):
             return None
     except (TypeError, ValueError):
         pass
+    if hasattr(v, "isoformat"):
+        return v.isoformat()
     return v.item() if hasattr(v, "item") else v
 
 
-def _micros(v) -> int:
-    import pandas as pd
-    return int(pd.Timestamp(v).value // 1000)
-
-
 def fold_key(pdf, spec: FeedSpec, lookback_days: int | None, prior: tuple | None):
     """Fold one key's rows (a pandas frame) against ``prior`` state
-    ``(values_json, last_kept_us, last_seen_us)``; returns (kept rows, new state)."""
-    order = [spec.cycle] + list(spec.order)
-    pdf = pdf.sort_values(order, na_position="first", kind="mergesort")
+    ``(values_json, last_kept_us, last_seen_us)``; returns (kept rows, new state).
+
+    Values are compared between neighbouring rows as whole columns. Rows are walked one by
+    one only where the look-back runs out within a stretch of equal values, and there from
+    kept row to kept row.
+    """
+    import numpy as np
+    import pandas as pd
+    pdf = pdf.sort_values([spec.cycle, *spec.order], na_position="first", kind="mergesort")
     pdf = pdf.drop_duplicates(subset=[spec.cycle], keep="first")
     vals, kept_us, seen_us = (json.loads(prior[0]), prior[1], prior[2]) if prior else (None, None, None)
     horizon = None if lookback_days is None else lookback_days * DAY_MICROS
-    keep_idx = []
-    for idx, row in zip(pdf.index, pdf[[spec.cycle, *spec.compared]].itertuples(index=False)):
-        t = _micros(row[0])
-        cur = [_plain(v) for v in row[1:]]
-        if seen_us is not None and t == seen_us:
-            continue
-        late = seen_us is not None and t < seen_us
-        expired = kept_us is None or (horizon is not None and kept_us < t - horizon)
-        if vals is None or expired or cur != vals:
-            keep_idx.append(idx)
-            if not late:
-                vals, kept_us = cur, t
-        if not late:
-            seen_us = t
-    return pdf.loc[keep_idx], (json.dumps(vals), kept_us, seen_us)
+    undated = pdf[spec.cycle].isna().to_numpy()
+    t = pd.to_datetime(pdf[spec.cycle]).to_numpy("datetime64[us]").astype("int64")
+    same = np.ones(len(pdf), bool)          # equal to the row before (for the first: to the state)
+    far = np.zeros(len(pdf), bool)          # differs from the state
+    for i, c in enumerate(spec.compared):
+        code, names = pd.factorize(pdf[c], use_na_sentinel=True)
+        same[1:] &= code[1:] == code[:-1]
+        if vals is not None:
+            now = [_plain(v) for v in names]
+            far |= code != (now.index(vals[i]) if vals[i] is not None and vals[i] in now
+                            else -1 if vals[i] is None else -2)
+    late = np.zeros(len(pdf), bool) if seen_us is None else t < seen_us
+    again = np.zeros(len(pdf), bool) if seen_us is None else t == seen_us
+    keep = undated.copy()
+    # Late rows meet the state as it is before this batch.
+    old = late & ~undated
+    if old.any():
+        gone = False if horizon is None else kept_us < t - horizon
+        keep |= old & (far | gone)
+    live = np.flatnonzero(~late & ~again & ~undated)
+    if len(live):
+        first = live[0]
+        new = np.ones(len(live), bool)
+        # rows before the first live one are late or copies, so live rows follow each other
+        new[1:] = ~same[live[1:]]
+        new[0] = vals is None or bool(far[first])
+        times = t[live]
+        if horizon is not None:
+            starts = np.flatnonzero(new)
+            runs = list(zip(starts, [*starts[1:], len(live)]))
+            if not new[0]:
+                runs.insert(0, (0, starts[0] if len(starts) else len(live)))
+            for a, b in runs:
+                last = times[a] if new[a] else kept_us
+                if times[b - 1] - last <= horizon:
+                    continue
+                i = a
+                while True:
+                    i += int(np.searchsorted(times[i:b], last + horizon, side="right"))
+                    if i >= b:
+                        break
+                    new[i] = True
+                    last = times[i]
+        keep[live[new]] = True
+        if new.any():
+            kept_us = int(times[np.flatnonzero(new)[-1]])
+            vals = [_plain(v) for v in pdf[list(spec.compared)].iloc[live[-1]].tolist()]
+        seen_us = int(times[-1])
+    return pdf[keep], (json.dumps(vals), kept_us, seen_us)
 
 
 def stateful_changes(stream: DataFrame, spec: FeedSpec, lookback_days: int | None = -1,
@@ -95,6 +134,9 @@ def stateful_changes(stream: DataFrame, spec: FeedSpec, lookback_days: int | Non
         pdf = pd.concat(list(pdfs), ignore_index=True)
         prior = state.get if state.exists else None
         kept, new_state = fold_key(pdf, spec, lookback_days, prior)
+        if new_state[2] is None:            # only rows without a cycle so far
+            yield kept
+            return
         state.update(new_state)
         if evict and new_state[1] is not None:
             expire_ms = new_state[1] // 1000 + horizon_ms
