@@ -31,7 +31,8 @@ def bronze(args) -> None:
     from snapline.operators.envelope import decode_envelope
     from snapline.schemas import RAW_JSON_OPTIONS
     from snapline.sources.feed import kafka_options, open_feed
-    from snapline.streaming.jobs import start
+    from pyspark.sql import functions as F
+    from snapline.streaming.jobs import bronze_dedup, start
     from snapline.streaming.sinks import raw_sink
     spark = _session(args)
     if args.source == "kafka":
@@ -40,21 +41,31 @@ def bronze(args) -> None:
     else:
         feed = open_feed(spark, "files", path=args.path, options=RAW_JSON_OPTIONS,
                          max_per_trigger=args.max_per_trigger)
-    q = start(decode_envelope(feed), raw_sink(args.raw_base, args.table, args.run_id), args.checkpoint,
-              name=f"bronze-{args.table}", trigger=_trigger(args))
+    rows = decode_envelope(feed)
+    if args.dedup:
+        rows = bronze_dedup(rows.withColumn("_at", F.col("kafka_timestamp").cast("timestamp")),
+                            ["stationcode", "request_timestamp"], "_at", args.dedup).drop("_at")
+    name, trigger = f"bronze-{args.table}", _trigger(args)
+    if args.sink == "files":
+        q = start(rows, "json", args.checkpoint, name=name, trigger=trigger,
+                  path=f"{args.raw_base.rstrip('/')}/{args.table}", options=RAW_JSON_OPTIONS)
+    else:
+        q = start(rows, raw_sink(args.raw_base, args.table, args.run_id), args.checkpoint, name=name,
+                  trigger=trigger)
     q.awaitTermination()
 
 
 def silver(args) -> None:
-    from snapline.schemas import RAW_JSON_OPTIONS, RAW_SCHEMA
+    from snapline.sources.raw import read_raw
     from snapline.streaming.jobs import start
     from snapline.streaming.silver import silver_sink
     spark = _session(args)
-    r = spark.readStream.schema(RAW_SCHEMA).options(**RAW_JSON_OPTIONS)
-    if args.max_per_trigger:
-        r = r.option("maxFilesPerTrigger", args.max_per_trigger)
+    raw = read_raw(spark, args.raw_glob, streaming=True, max_files_per_trigger=args.max_per_trigger)
+    if args.prefix is None:
+        raw = raw.drop("source_file")
     lookback = None if args.lookback_days < 0 else args.lookback_days
-    q = start(r.json(args.raw_glob), silver_sink(args.history, args.run_id, mode=args.mode, lookback_days=lookback),
+    q = start(raw, silver_sink(args.history, args.run_id, mode=args.mode, lookback_days=lookback,
+                               on_malformed=args.on_malformed, quarantine=args.quarantine, prefix=args.prefix),
               args.checkpoint, name="silver", trigger=_trigger(args))
     q.awaitTermination()
 
@@ -99,21 +110,31 @@ def verify(args) -> None:
 
 
 def health(args) -> None:
-    from datetime import datetime
+    from datetime import datetime, timedelta, timezone
     from snapline.operators.health import write_health
     from snapline.plans.monitor import health_check
     from snapline.schemas import RAW_JSON_OPTIONS
     from snapline.sources.feed import kafka_options, open_feed
     spark = _session(args)
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
+    as_of = datetime.fromisoformat(args.as_of) if args.as_of else now
     if args.servers:
-        msgs = open_feed(spark, "kafka", streaming=False,
-                         options=kafka_options(args.servers, args.topic, starting="earliest"))
+        # A tail of the topic: a producer silent for longer is down whatever came before.
+        since = as_of.replace(tzinfo=timezone.utc) - timedelta(hours=args.tail_hours)
+        options = kafka_options(args.servers, args.topic, starting="earliest")
+        options |= {"startingTimestamp": str(int(since.timestamp() * 1000)),
+                    "startingOffsetsByTimestampStrategy": "latest"}
+        msgs = open_feed(spark, "kafka", streaming=False, options=options)
     else:
         msgs = open_feed(spark, "files", path=args.messages, options=RAW_JSON_OPTIONS, streaming=False)
-    as_of = datetime.fromisoformat(args.as_of) if args.as_of else datetime.utcnow()
-    rows = health_check(spark, args.checkpoint, msgs, as_of,
+    probes = None
+    if args.probes:
+        probes = spark.read.parquet(args.probes)
+        probes = probes.filter(probes.check_timestamp <= as_of).orderBy(probes.check_timestamp.desc()).limit(1)
+    topics = args.expect or ([args.topic] if args.topic else [])
+    rows = health_check(spark, args.checkpoint, msgs, as_of, topics=topics, probes=probes,
                         producer_interval_seconds=args.interval, stream_threshold_seconds=args.threshold)
-    write_health(rows, args.health_table)
+    write_health(rows, args.health_table, args.check_id or f"{as_of:%Y%m%dT%H%M%S}")
     for r in rows.orderBy("component").collect():  # a handful of rows: one per component
         print(json.dumps(r.asDict(), default=str))
 
@@ -131,6 +152,9 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--checkpoint", required=True); b.add_argument("--run-id", required=True)
     b.add_argument("--max-per-trigger", type=int); b.add_argument("--trigger", default="30 seconds")
     b.add_argument("--once", action="store_true")
+    b.add_argument("--sink", choices=["dated", "files"], default="dated",
+                   help="a folder per batch, or Spark's file sink with its commit log")
+    b.add_argument("--dedup", help="drop copies that arrive within this delay, e.g. '1 hour'")
     b.set_defaults(fn=bronze)
 
     s = sub.add_parser("silver")
@@ -140,6 +164,9 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--lookback-days", type=int, default=7, help="negative: unbounded")
     s.add_argument("--max-per-trigger", type=int); s.add_argument("--trigger", default="30 seconds")
     s.add_argument("--once", action="store_true")
+    s.add_argument("--on-malformed", choices=["keep", "drop", "quarantine"], default="keep")
+    s.add_argument("--quarantine", help="folder for malformed rows and misplaced files")
+    s.add_argument("--prefix", help="load only objects <prefix>YYYY/MM/DD/<file>.json")
     s.set_defaults(fn=silver)
 
     c = sub.add_parser("compact")
@@ -155,6 +182,9 @@ def main(argv: list[str] | None = None) -> None:
     h.add_argument("--messages", help="landed messages (instead of --servers/--topic)")
     h.add_argument("--servers"); h.add_argument("--topic")
     h.add_argument("--health-table", required=True); h.add_argument("--as-of")
+    h.add_argument("--expect", nargs="*", help="topics that must report")
+    h.add_argument("--probes", help="table of broker probe results")
+    h.add_argument("--tail-hours", type=float, default=24); h.add_argument("--check-id")
     h.add_argument("--interval", type=int, default=60); h.add_argument("--threshold", type=float, default=120)
     h.set_defaults(fn=health)
 

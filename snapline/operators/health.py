@@ -25,9 +25,9 @@ PRODUCER_TOLERANCE_FACTOR = 2
 KRAFT_COMPONENT = "kraft_controller"
 KAFKA_COMPONENT = "kafka"
 
-NO_MESSAGE = "no message published on this topic"
-NO_CHECKPOINT = "no checkpoint found: the stream has not processed a micro-batch yet"
-NO_CONTROLLER = "no active controller (controller id missing)"
+NO_MESSAGE = "topic is silent: nothing to read"
+NO_CHECKPOINT = "stream has committed nothing so far"
+NO_CONTROLLER = "cluster reports no controller id"
 
 
 def _null(t: str) -> Column:
@@ -86,9 +86,15 @@ def join_offsets(committed: DataFrame, watermarks: DataFrame,
 def partition_lag(offsets: DataFrame) -> DataFrame:
     """Lag per (check, stream, partition) = clamp(high - committed), NULL when
     the high watermark is unknown. ``offsets``: ``check_timestamp, stream, partition,
-    committed, high``."""
-    return offsets.select("check_timestamp", "stream", "partition", "committed", "high",
-                          clamp_lag("high", "committed").alias("lag_messages"))
+    committed, high``; other columns stay."""
+    return offsets.withColumn("lag_messages", clamp_lag("high", "committed"))
+
+
+def with_expected(rows: DataFrame, expected: DataFrame, on: list[str]) -> DataFrame:
+    """M2/M3: one row at least for every (check, component) that should report: what
+    ``rows`` does not hold comes with NULL measures, which the checks report as down.
+    ``expected`` holds the columns ``on``."""
+    return expected.select(*on).distinct().join(rows, on, "left")
 
 
 def stream_health(offsets: DataFrame, threshold_seconds: float = STREAM_THRESHOLD_SECONDS,
@@ -98,10 +104,7 @@ def stream_health(offsets: DataFrame, threshold_seconds: float = STREAM_THRESHOL
     ``lag_seconds`` = check time - newest commit; ``lag_messages`` = sum of clamped
     partition lags (NULL if any high watermark is unknown); nothing committed -> down.
     """
-    p = partition_lag(offsets).join(
-        offsets.select("check_timestamp", "stream", "partition", "commit_time"),
-        ["check_timestamp", "stream", "partition"])
-    g = p.groupBy("check_timestamp", "stream").agg(
+    g = partition_lag(offsets).groupBy("check_timestamp", "stream").agg(
         F.max("commit_time").alias("commit_time"),
         F.sum("committed").alias("committed"),
         F.sum("high").alias("high"),
@@ -175,9 +178,10 @@ def incidents(health: DataFrame, as_of: datetime, hours: int = 24) -> DataFrame:
                   .orderBy(F.col("check_timestamp").desc(), F.col("component")))
 
 
-def write_health(health: DataFrame, path: str) -> None:
-    """K5/K9: append health rows partitioned by check date, clustered by
-    (component, status) inside files."""
-    (health.withColumn("check_date", F.to_date("check_timestamp"))
+def write_health(health: DataFrame, path: str, check_id: str) -> None:
+    """K5/K9: health rows partitioned by check date and check id, clustered by (component,
+    status) inside files. A repeated check replaces its own rows."""
+    (health.withColumns({"check_date": F.to_date("check_timestamp"), "check_id": F.lit(check_id)})
            .repartition("check_date").sortWithinPartitions("component", "status")
-           .write.mode("append").partitionBy("check_date").parquet(path))
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("check_date", "check_id").parquet(path))
