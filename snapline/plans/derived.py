@@ -73,6 +73,8 @@ def avail_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------------
 
 STREAM_PARTITIONS = 3
+# Fixed value: the event types, each a topic of its own.
+TOPICS = ("click", "error", "purchase", "signup", "view")
 
 
 def _hour_end(ts: str = "ts"):
@@ -155,3 +157,25 @@ def landed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select(F.col("event_type").alias("topic"),
                     (F.col("user_id") % STREAM_PARTITIONS).cast("int").alias("partition"),
                     F.col("event_id").alias("offset"), "timestamp", "value")
+
+
+def pages(spark: SparkSession, sf_dir: str, records: DataFrame, page_size: int) -> DataFrame:
+    """Page documents ``{"results":[...]}`` of every cycle, as a limit/offset poll returns
+    them: ``request_timestamp, page_no, doc``; a cycle whose size is a multiple of the page
+    size ends with an empty page. A cycle is one poll: it holds at most one record per
+    station, which bounds the window and the page."""
+    from pyspark.sql import Window
+    from snapline.functions.text import json_text
+    w = Window.partitionBy("request_timestamp").orderBy("stationcode")
+    x = records.select("request_timestamp", F.struct("stationcode", "capacity", "numbikesavailable").alias("r"),
+                       (F.row_number().over(w) - 1).alias("_rn"))
+    x = x.withColumn("page_no", F.floor(F.col("_rn") / page_size).cast("int"))
+    filled = (x.groupBy("request_timestamp", "page_no")
+              .agg(F.sort_array(F.collect_list(F.struct("_rn", "r"))).alias("_rs"))
+              .select("request_timestamp", "page_no",
+                      json_text(F.struct(F.transform("_rs", lambda e: e["r"]).alias("results"))).alias("doc")))
+    full = (x.groupBy("request_timestamp").agg(F.count(F.lit(1)).alias("_n"))
+            .filter(F.col("_n") % page_size == 0)
+            .select("request_timestamp", (F.col("_n") / page_size).cast("int").alias("page_no"),
+                    F.lit('{"results":[]}').alias("doc")))
+    return filled.unionByName(full)

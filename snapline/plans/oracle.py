@@ -113,11 +113,11 @@ def _latest(src: str, cols: str, where: str = "TRUE") -> str:
   FROM {src} WHERE request_timestamp IS NOT NULL AND {where}) WHERE rn = 1"""
 
 
-ORACLE["last_known_state"] = "WITH " + DEDUP + "\n" + _latest(
-    "dedup", CMP_COLS, f"request_timestamp >= {BATCH} - INTERVAL 7 DAY AND request_timestamp < {BATCH}")
+ORACLE["last_known_state"] = "WITH " + KEPT + "\n" + _latest(
+    "kept", CMP_COLS, f"request_timestamp >= {BATCH} - INTERVAL 7 DAY AND request_timestamp < {BATCH}")
 
-ORACLE["change_filter_batch"] = "WITH " + DEDUP + f""",
-last_known AS ({_latest('dedup', CMP_COLS, f"request_timestamp >= {BATCH} - INTERVAL 7 DAY AND request_timestamp < {BATCH}")}),
+ORACLE["change_filter_batch"] = "WITH " + KEPT + f""",
+last_known AS ({_latest('kept', CMP_COLS, f"request_timestamp >= {BATCH} - INTERVAL 7 DAY AND request_timestamp < {BATCH}")}),
 batch AS (SELECT * FROM dedup WHERE request_date = DATE '2024-01-20')
 SELECT {', '.join('b.' + c for c in SILVER_COLS.split(', '))}
 FROM batch b LEFT JOIN last_known l ON b.stationcode = l.stationcode
@@ -223,7 +223,7 @@ FROM g"""
 
 ORACLE["paged_records"] = "WITH " + _PAGES + """
 SELECT n.request_timestamp, CAST(n.rn // 4 AS INTEGER) AS page_no, n.stationcode, n.capacity, n.numbikesavailable
-FROM numbered n WHERE NOT (hour(n.request_timestamp) = 7 AND n.rn // 4 = 1)"""
+FROM numbered n"""
 
 ORACLE["path_routing"] = """
 WITH names AS (
@@ -323,7 +323,7 @@ stream AS (
          CASE WHEN commit_time IS NULL THEN NULL ELSE CAST(lag_messages AS BIGINT) END AS lag_messages,
          CASE WHEN commit_time IS NULL THEN '{{}}'
               ELSE '{{"committed_offset":' || CAST(committed AS BIGINT) || ',"kafka_high_watermark":' || CAST(high AS BIGINT) || '}}' END AS details,
-         CASE WHEN commit_time IS NULL THEN 'no checkpoint found: the stream has not processed a micro-batch yet' END AS error_message,
+         CASE WHEN commit_time IS NULL THEN 'stream has committed nothing so far' END AS error_message,
          {_CHECK_NIGHT} AS night_mode_active
   FROM sg2)"""
 
@@ -350,7 +350,7 @@ kraft AS (
          CASE WHEN status = 'healthy' AND coalesce(controller_id, -1) < 0 THEN 'down' ELSE status END AS status,
          latency_ms, lag_seconds, lag_messages, details,
          CASE WHEN status = 'healthy' AND coalesce(controller_id, -1) < 0
-              THEN 'no active controller (controller id missing)' ELSE error_message END AS error_message,
+              THEN 'cluster reports no controller id' ELSE error_message END AS error_message,
          night_mode_active
   FROM kafka),
 brokers AS (SELECT * EXCLUDE (controller_id) FROM kafka UNION ALL SELECT * FROM kraft)"""
@@ -410,8 +410,61 @@ SELECT event_id, kafka_timestamp,
        event_type = 'error' AND k5 != 3 AS malformed
 FROM m"""
 
-# The streams' final tables equal the sequential change filter (daily batches, no look-back).
-ORACLE["stream_silver"] = ORACLE["change_filter_asof"]
+# C2 with the 7-day look-back, row by row: a row is kept when its key's last kept row is absent,
+# more than 7 days older, or has other values.
+_VALS = "row(" + ", ".join(CMP) + ")"
+ORACLE["stream_silver"] = "WITH RECURSIVE " + DEDUP + f""",
+n AS (SELECT stationcode, request_timestamp, {_VALS} AS v,
+             ROW_NUMBER() OVER (PARTITION BY stationcode ORDER BY request_timestamp) AS i FROM dedup),
+f AS (
+  SELECT stationcode, request_timestamp, i, v AS kept_v, request_timestamp AS kept_at, TRUE AS keep FROM n WHERE i = 1
+  UNION ALL
+  SELECT n.stationcode, n.request_timestamp, n.i,
+         CASE WHEN n.v IS DISTINCT FROM f.kept_v OR f.kept_at < n.request_timestamp - INTERVAL 7 DAY THEN n.v ELSE f.kept_v END,
+         CASE WHEN n.v IS DISTINCT FROM f.kept_v OR f.kept_at < n.request_timestamp - INTERVAL 7 DAY
+              THEN n.request_timestamp ELSE f.kept_at END,
+         n.v IS DISTINCT FROM f.kept_v OR f.kept_at < n.request_timestamp - INTERVAL 7 DAY
+  FROM f JOIN n ON n.stationcode = f.stationcode AND n.i = f.i + 1)
+SELECT {', '.join('d.' + c for c in SILVER_COLS.split(', '))}
+FROM dedup d JOIN f ON d.stationcode = f.stationcode AND d.request_timestamp = f.request_timestamp WHERE f.keep"""
+
+# The first batch meets an empty history, so all its rows are stored; the day's rows are compared
+# with the newest stored row of the 7 days before the day's first cycle.
+ORACLE["silver_faithful"] = "WITH " + DEDUP + f""",
+lo AS (SELECT min(request_timestamp) AS lo FROM dedup WHERE request_date = DATE '2024-01-20'),
+last AS (SELECT * EXCLUDE (rn) FROM (
+  SELECT d.*, ROW_NUMBER() OVER (PARTITION BY stationcode ORDER BY request_timestamp DESC) AS rn FROM dedup d, lo
+  WHERE request_timestamp < {BATCH} AND request_timestamp >= lo.lo - INTERVAL 7 DAY) WHERE rn = 1)
+SELECT {SILVER_COLS} FROM dedup WHERE request_timestamp < {BATCH}
+UNION ALL
+SELECT {', '.join('b.' + c for c in SILVER_COLS.split(', '))}
+FROM dedup b LEFT JOIN last l ON b.stationcode = l.stationcode
+WHERE b.request_date = DATE '2024-01-20' AND (l.stationcode IS NULL OR {_differs('b', 'l')})"""
+
+# Three daily loads: per row the predecessor among the good rows of these days (they span less than the
+# look-back). Damaged rows have neither key nor cycle; the two kept days store the earliest copy of them.
+ORACLE["silver_malformed"] = "WITH " + TYPED.replace("FROM avail", "FROM avail WHERE event_type != 'error' "
+    "AND kafka_timestamp >= TIMESTAMP '2024-01-10' AND kafka_timestamp < TIMESTAMP '2024-01-13'") + f""",
+dedup AS (SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY stationcode, request_timestamp
+            ORDER BY kafka_timestamp, name) AS rn FROM typed) WHERE rn = 1),
+lagged AS (SELECT *, {_lag_cols('stationcode', 'request_timestamp')},
+                  LAG(request_timestamp) OVER (PARTITION BY stationcode ORDER BY request_timestamp) AS p_ts FROM dedup),
+bad AS (SELECT ts FROM events WHERE event_type = 'error' AND ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-13')
+SELECT stationcode, request_timestamp, kafka_timestamp, request_date, 'stored' AS place FROM lagged
+WHERE p_ts IS NULL OR {_lag_differs()}
+UNION ALL
+SELECT NULL, NULL, min(ts), NULL, 'stored' FROM bad WHERE ts < TIMESTAMP '2024-01-12' GROUP BY CAST(ts AS DATE)
+UNION ALL
+SELECT NULL, NULL, ts, NULL, 'quarantine' FROM bad WHERE ts >= TIMESTAMP '2024-01-12'"""
+
+# A batch a day: batches and log offsets count the feed's days; every batch commits one file.
+ORACLE["checkpoint_offsets"] = """
+SELECT CAST(range AS BIGINT) AS batch_id, 0 AS source_index, CAST(range AS BIGINT) AS log_offset
+FROM range((SELECT count(DISTINCT CAST(ts AS DATE)) FROM events))"""
+ORACLE["sink_manifest"] = """
+SELECT count(DISTINCT CAST(ts AS DATE)) AS n_files, count(*) AS n_rows FROM events"""
+
+# Without a look-back the stream's final table equals the sequential change filter.
 ORACLE["stream_resume"] = ORACLE["change_filter_asof"]
 ORACLE["stream_stateful"] = ORACLE["change_filter_asof"]
 
@@ -438,3 +491,25 @@ ORACLE["history_reconstruction"] = "WITH " + DEDUP + f"\nSELECT stationcode, req
 ORACLE["history_maintenance"] = "WITH " + KEPT + f"""
 SELECT {SILVER_COLS}, 'compact' AS batch_id FROM kept
 WHERE request_date >= DATE '2024-01-10'"""
+
+# No checkpoint: every expected stream is down. A topic without a message is down too.
+_AT = "TIMESTAMP '2024-01-15 12:00:00'"
+ORACLE["health_outage"] = f"""
+WITH topics AS (SELECT unnest(['click', 'error', 'purchase', 'signup', 'view', 'never-written']) AS topic),
+m AS (SELECT event_type AS topic, max(ts) AS last_ts, max(event_id) + 1 AS high FROM events
+      WHERE ts <= {_AT} GROUP BY 1),
+j AS (SELECT t.topic, {_AT} AS check_timestamp, m.last_ts, m.high,
+             (epoch_us({_AT}) - epoch_us(m.last_ts)) / 1e6 AS age FROM topics t LEFT JOIN m USING (topic)),
+k AS (SELECT *, {_CHECK_NIGHT} AS night FROM j),
+p AS (SELECT *, 600.0 * CASE WHEN night THEN 4.0 ELSE 1.0 END * 2 AS tol FROM k)
+SELECT check_timestamp, 'pyspark_' || topic AS component, 'down' AS status, CAST(NULL AS DOUBLE) AS latency_ms,
+       CAST(NULL AS DOUBLE) AS lag_seconds, CAST(NULL AS BIGINT) AS lag_messages, '{{}}' AS details,
+       'stream has committed nothing so far' AS error_message, night AS night_mode_active FROM k
+UNION ALL
+SELECT check_timestamp, 'producer_' || topic,
+       CASE WHEN last_ts IS NULL THEN 'down' WHEN age <= tol THEN 'healthy' WHEN age <= tol * 3 THEN 'degraded'
+            ELSE 'down' END,
+       CAST(NULL AS DOUBLE), round_even(age, 1), CAST(NULL AS BIGINT),
+       CASE WHEN last_ts IS NULL THEN '{{}}' ELSE '{{"latest_offset":' || CAST(high AS BIGINT) || '}}' END,
+       CASE WHEN last_ts IS NULL THEN 'topic is silent: nothing to read' END, night
+FROM p"""

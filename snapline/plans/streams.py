@@ -1,7 +1,7 @@
 """Streaming queries over the derived feed.
 
 The feed is landed as raw JSON-lines, one folder per day (what the raw sink writes),
-and read back as a file stream, one day per micro-batch. The stream's final table is
+and read back as a file stream, a day or a week per micro-batch. The stream's final table is
 compared with the batch queries' oracle.
 """
 
@@ -9,66 +9,85 @@ from __future__ import annotations
 
 import os
 import uuid
-from datetime import datetime
+from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from snapline.operators.envelope import apply_types
-from snapline.operators.merge import history_schema, read_history
+from snapline.operators.envelope import apply_types, decode_envelope, encode_envelope
+from snapline.operators.merge import history_schema, partition_dirs, read_history
 from snapline.plans.derived import avail
-from snapline.schemas import RAW_SCHEMA
+from snapline.schemas import RAW_JSON_OPTIONS, RAW_SCHEMA, SILVER_OUT
 from snapline.session import checkpoint_dir
-from snapline.sources.logs import checkpoint_offsets, sink_manifest
+from snapline.sources.logs import checkpoint_offsets, committed_files
 from snapline.sources.raw import read_raw
 from snapline.spec import STATION_SPEC
 from snapline.streaming.jobs import run_available
-from snapline.streaming.silver import silver_sink
-from snapline.schemas import RAW_JSON_OPTIONS
+from snapline.streaming.silver import load_batch, silver_sink
 from snapline.sources.feed import open_feed
-from snapline.operators.envelope import decode_envelope
 from snapline.plans.derived import landed_messages
 from snapline.streaming.sinks import json_file_sink, raw_sink
 from snapline.streaming.stateful import stateful_changes
 
-SILVER_OUT = ["stationcode", "request_timestamp", "name", "is_installed", "capacity",
-              "numdocksavailable", "numbikesavailable", "mechanical", "ebike", "is_renting",
-              "is_returning", "duedate", "lat", "lon", "nom_arrondissement_communes",
-              "code_insee_commune", "station_opening_hours", "kafka_timestamp",
-              "insert_timestamp", "request_date"]
 
 
 def _scratch(spark: SparkSession, tag: str) -> str:
     return os.path.join(checkpoint_dir(spark), f"{tag}-{uuid.uuid4().hex[:12]}")
 
 
-FILES_PER_DAY = 4
+FILE_BYTES = 128 << 20                  # of input a landed file holds at most, about
+LOOKBACK_DAYS = 7                       # of the stream with the reference's look-back
 
 
-def land_raw_days(spark: SparkSession, sf: str, base: str, files_per_day: int = FILES_PER_DAY) -> list[str]:
-    """Write the feed as raw JSON-lines, one folder per request day, oldest first
-    (one write job per day, so file times follow the days). Each day is hash-partitioned
-    by station: a file holds whole station-days, so per-station order holds however the
-    stream groups a day's files into batches, and no task writes a whole day."""
-    days = [r[0] for r in spark.read.parquet(f"{sf.rstrip('/')}/events.parquet")
-            .select(F.to_date("ts").alias("d")).distinct().orderBy("d").collect()]
+def _input_bytes(spark: SparkSession, sf: str) -> int:
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{sf.rstrip('/')}/events.parquet")
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
+def land_days(df: DataFrame, day: Column, spread: str, base: str, files_per_day: int,
+              since: date | None = None, until: date | None = None) -> list[str]:
+    """Write ``df`` as JSON-lines in one job: a folder per day under ``base``, each day's rows
+    spread over ``files_per_day`` tasks by ``spread`` (a key's day stays in one file). A file
+    stream takes files by age, so each day's files then get the day as their time: one metadata
+    call a file. Days outside [since, until) are left out. Returns the folders, oldest first."""
+    spark = df.sparkSession
+    x = df.withColumns({"_day": day, "_part": F.pmod(F.xxhash64(spread), F.lit(files_per_day))})
+    if since is not None:
+        x = x.filter(F.col("_day") >= F.lit(since))
+    if until is not None:
+        x = x.filter(F.col("_day") < F.lit(until))
+    (x.withColumn("day", F.date_format("_day", "yyyy-MM-dd"))
+      .repartition("_day", "_part").drop("_day", "_part")
+      .write.mode("append").partitionBy("day").options(**RAW_JSON_OPTIONS).json(base))
     out = []
-    for d in days:
-        # the day's rows by event time: the filter reaches the parquet scan (row-group stats)
-        lo = F.lit(datetime(d.year, d.month, d.day)).cast("timestamp_ntz")
-        day = avail(spark, sf).filter((F.col("kafka_timestamp") >= lo)
-                                      & (F.col("kafka_timestamp") < lo + F.expr("INTERVAL 1 DAY")))
-        p = f"{base}/{d:%Y/%m/%d}"
-        (day.repartition(files_per_day, "stationcode")
-            .write.mode("overwrite").options(**RAW_JSON_OPTIONS).json(p))
-        out.append(p)
-    return out
-
-
-def raw_stream(spark: SparkSession, base: str, files_per_batch: int | None = FILES_PER_DAY) -> DataFrame:
+    for value, folder in partition_dirs(spark, base, "day"):
+        at = date.fromisoformat(value)
+        if (since is None or at >= since) and (until is None or at < until):
+            ms = int(datetime(at.year, at.month, at.day, tzinfo=timezone.utc).timestamp() * 1000)
+            p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+            for st in fs.listStatus(p):
+                fs.setTimes(st.getPath(), ms, -1)
+            out.append(folder)
+    return sorted(out)
+
+
+def files_per_day(spark: SparkSession, sf: str) -> int:
+    """By the input's size, as if all of it fell on one day of a month."""
+    return max(1, -(-_input_bytes(spark, sf) // (30 * FILE_BYTES)))
+
+
+def land_raw_days(spark: SparkSession, sf: str, base: str, since: date | None = None,
+                  until: date | None = None) -> list[str]:
+    """The feed as raw JSON-lines, one folder per request day."""
+    return land_days(avail(spark, sf), F.to_date("request_timestamp"), "stationcode", base,
+                     files_per_day(spark, sf), since, until)
+
+
+def raw_stream(spark: SparkSession, base: str, files_per_batch: int | None = 1) -> DataFrame:
     r = spark.readStream.schema(RAW_SCHEMA).options(**RAW_JSON_OPTIONS)
     if files_per_batch:
         r = r.option("maxFilesPerTrigger", files_per_batch)
-    return r.json(f"{base}/*/*/*")
+    return r.json(f"{base}/*")
 
 
 def _silver(spark, path) -> DataFrame:
@@ -77,35 +96,62 @@ def _silver(spark, path) -> DataFrame:
 
 
 def q_stream_silver(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw files -> foreachBatch silver load (C2, no look-back)."""
+    """Raw files -> foreachBatch silver load (C2 with the 7-day look-back): a batch
+    opens the date folders of its look-back, however long the history is. A backlog is
+    taken a week of files at a time; the rows do not depend on that."""
     root = _scratch(spark, "stream-silver")
     land_raw_days(spark, sf, f"{root}/raw")
-    run_available(raw_stream(spark, f"{root}/raw"),
-                  silver_sink(f"{root}/silver", "run1", lookback_days=None),
-                  f"{root}/ck")
+    run_available(raw_stream(spark, f"{root}/raw", 7 * files_per_day(spark, sf)),
+                  silver_sink(f"{root}/silver", "run1", lookback_days=LOOKBACK_DAYS), f"{root}/ck")
     return _silver(spark, f"{root}/silver").select(*SILVER_OUT)
 
 
+def q_silver_faithful(spark: SparkSession, sf: str) -> DataFrame:
+    """C1 load in two batches: everything before a day, then the day against the state stored."""
+    root = _scratch(spark, "silver-faithful")
+    day = datetime(2024, 1, 20)
+    feed = avail(spark, sf)
+    cycle = F.col("request_timestamp")
+    for i, part in enumerate((feed.filter(cycle < F.lit(day)),
+                              feed.filter((cycle >= F.lit(day)) & (cycle < F.lit(day + timedelta(days=1)))))):
+        load_batch(part, f"{root}/silver", f"b{i}", mode="faithful", lookback_days=LOOKBACK_DAYS)
+    return _silver(spark, f"{root}/silver").select(*SILVER_OUT)
+
+
+def q_silver_malformed(spark: SparkSession, sf: str) -> DataFrame:
+    """C3/S5 with damaged messages: error events decode to rows without any field. Three loads:
+    two days keep them (they are stored without a date), a third sends them to quarantine."""
+    root = _scratch(spark, "silver-malformed")
+    src = avail(spark, sf, extra=("event_type",))
+    m = encode_envelope(src, keep=["event_type"])
+    bad = F.when(F.col("event_type") == "error", F.lit("not json")).otherwise(F.col("value"))
+    d = decode_envelope(m.withColumn("value", bad)).withColumn("insert_timestamp", F.lit(None).cast("timestamp_ntz"))
+    for i, policy in enumerate(("keep", "keep", "quarantine")):
+        lo = datetime(2024, 1, 10 + i)
+        part = d.filter((F.col("kafka_timestamp") >= F.lit(lo)) & (F.col("kafka_timestamp") < F.lit(lo + timedelta(days=1))))
+        load_batch(part, f"{root}/silver", f"b{i}", lookback_days=LOOKBACK_DAYS, on_malformed=policy,
+                   quarantine=f"{root}/quarantine")
+    stored = _silver(spark, f"{root}/silver").select("stationcode", "request_timestamp", "kafka_timestamp",
+                                                     "request_date", F.lit("stored").alias("place"))
+    q = spark.read.schema(RAW_SCHEMA).options(**RAW_JSON_OPTIONS).json(f"{root}/quarantine")
+    return stored.unionByName(q.select("stationcode", "request_timestamp", "kafka_timestamp",
+                                       F.lit(None).cast("date").alias("request_date"),
+                                       F.lit("quarantine").alias("place")))
+
+
 def q_stream_resume(spark: SparkSession, sf: str) -> DataFrame:
     """Stop after half the days, land the rest, resume on the same checkpoint;
-    then lose the checkpoint and replay everything under a new run id. The history
-    equals one uninterrupted run."""
+    then lose the checkpoint and replay everything under a new run id, a week of files a
+    batch. The history equals one uninterrupted run."""
     root = _scratch(spark, "stream-resume")
-    raw = avail(spark, sf).withColumn("_day", F.to_date("request_timestamp"))
-    days = [r[0] for r in raw.select("_day").distinct().orderBy("_day").collect()]
-    half = days[len(days) // 2]
-    # Land the first half, run, land the rest, resume.
-    for d in days:
-        p = f"{root}/raw/{d:%Y/%m/%d}"
-        (raw.filter(F.col("_day") == F.lit(d)).drop("_day").repartition(FILES_PER_DAY, "stationcode")
-            .write.mode("overwrite").options(**RAW_JSON_OPTIONS).json(p))
-        if d == half:
-            run_available(raw_stream(spark, f"{root}/raw"),
-                          silver_sink(f"{root}/silver", "run1", lookback_days=None), f"{root}/ck1")
-    run_available(raw_stream(spark, f"{root}/raw"),
-                  silver_sink(f"{root}/silver", "run1", lookback_days=None), f"{root}/ck1")
-    # Checkpoint lost: replay everything (one batch) under a new run id.
-    run_available(raw_stream(spark, f"{root}/raw", files_per_batch=None),
+    n = files_per_day(spark, sf)
+    half = date(2024, 1, 16)
+    sink = silver_sink(f"{root}/silver", "run1", lookback_days=None)
+    land_raw_days(spark, sf, f"{root}/raw", until=half)
+    run_available(raw_stream(spark, f"{root}/raw", 7 * n), sink, f"{root}/ck1")
+    land_raw_days(spark, sf, f"{root}/raw", since=half)
+    run_available(raw_stream(spark, f"{root}/raw", 7 * n), sink, f"{root}/ck1")
+    run_available(raw_stream(spark, f"{root}/raw", 7 * n),
                   silver_sink(f"{root}/silver", "run2", lookback_days=None), f"{root}/ck2")
     return _silver(spark, f"{root}/silver").select(*SILVER_OUT)
 
@@ -114,7 +160,7 @@ def q_stream_stateful(spark: SparkSession, sf: str) -> DataFrame:
     """Typed file stream -> per-key state -> parquet file sink."""
     root = _scratch(spark, "stream-stateful")
     land_raw_days(spark, sf, f"{root}/raw")
-    typed = apply_types(raw_stream(spark, f"{root}/raw"))
+    typed = apply_types(raw_stream(spark, f"{root}/raw", 7 * files_per_day(spark, sf)))
     kept = stateful_changes(typed, STATION_SPEC, lookback_days=None)
     run_available(kept, "parquet", f"{root}/ck", path=f"{root}/out")
     return spark.read.parquet(f"{root}/out").select(*SILVER_OUT)
@@ -130,20 +176,20 @@ def _json_stream(df: DataFrame, checkpoint: str, out: str) -> None:
 
 
 def q_checkpoint_offsets(spark: SparkSession, sf: str) -> DataFrame:
-    """Offsets log of a raw-to-JSON stream (K1 file sink) over the feed."""
+    """Offsets log of a raw-to-JSON stream (K1 file sink) over the feed, a day a batch."""
     root = _scratch(spark, "stream-logs")
     land_raw_days(spark, sf, f"{root}/raw")
-    _json_stream(raw_stream(spark, f"{root}/raw"), f"{root}/ck", f"{root}/out")
+    _json_stream(raw_stream(spark, f"{root}/raw", files_per_day(spark, sf)), f"{root}/ck", f"{root}/out")
     return checkpoint_offsets(spark, f"{root}/ck").select("batch_id", "source_index", "log_offset")
 
 
 def q_sink_manifest(spark: SparkSession, sf: str) -> DataFrame:
-    """Commit log of the same JSON file sink: one row per committed file."""
+    """What the same JSON file sink committed: files and rows, as its readers see them."""
     root = _scratch(spark, "stream-sink")
     land_raw_days(spark, sf, f"{root}/raw")
-    _json_stream(raw_stream(spark, f"{root}/raw"), f"{root}/ck", f"{root}/out")
-    m = sink_manifest(spark, f"{root}/out")
-    return m.select("batch_id", "size", "isDir", "action")
+    _json_stream(raw_stream(spark, f"{root}/raw", files_per_day(spark, sf)), f"{root}/ck", f"{root}/out")
+    m = committed_files(spark, f"{root}/out", RAW_SCHEMA, **RAW_JSON_OPTIONS)
+    return m.agg(F.count(F.lit(1)).alias("n_files"), F.sum("n_rows").alias("n_rows"))
 
 
 LANDING_CLOCK = datetime(2024, 2, 1)
@@ -154,13 +200,9 @@ def q_raw_landing(spark: SparkSession, sf: str) -> DataFrame:
     stream -> decode -> raw JSON-lines sink (fixed batch clock) -> batch read of the
     raw layer with its explicit schema."""
     root = _scratch(spark, "raw-landing")
-    m = landed_messages(spark, sf).withColumn("_day", F.to_date("timestamp"))
-    days = [r[0] for r in m.select("_day").distinct().orderBy("_day").collect()]
-    for d in days:
-        (m.filter(F.col("_day") == F.lit(d)).drop("_day").repartition(FILES_PER_DAY, "partition")
-          .write.mode("overwrite").options(**RAW_JSON_OPTIONS).json(f"{root}/msgs/{d:%Y/%m/%d}"))
-    feed = open_feed(spark, "files", path=f"{root}/msgs/*/*/*", options=RAW_JSON_OPTIONS,
-                     max_per_trigger=FILES_PER_DAY)
+    n = files_per_day(spark, sf)
+    land_days(landed_messages(spark, sf), F.to_date("timestamp"), "offset", f"{root}/msgs", n)
+    feed = open_feed(spark, "files", path=f"{root}/msgs/*", options=RAW_JSON_OPTIONS, max_per_trigger=7 * n)
     run_available(decode_envelope(feed), raw_sink(f"{root}/raw", "avail", "run1", clock=lambda: LANDING_CLOCK),
                   f"{root}/ck")
     raw = read_raw(spark, f"{root}/raw/avail/*/*/*/*")
@@ -171,6 +213,8 @@ def q_raw_landing(spark: SparkSession, sf: str) -> DataFrame:
 STREAM_QUERIES = {
     "raw_landing": q_raw_landing,
     "stream_silver": q_stream_silver,
+    "silver_faithful": q_silver_faithful,
+    "silver_malformed": q_silver_malformed,
     "stream_resume": q_stream_resume,
     "stream_stateful": q_stream_stateful,
     "checkpoint_offsets": q_checkpoint_offsets,

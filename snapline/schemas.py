@@ -55,6 +55,9 @@ SILVER_COLUMNS = [
     "insert_timestamp", "silver_updated_at",
 ]
 
+# The columns queries return of it: without the load time, with the partition date.
+SILVER_OUT = [c for c in SILVER_COLUMNS if c != "silver_updated_at"] + ["request_date"]
+
 # Health row (one per component per check).
 HEALTH_SCHEMA = T.StructType([
     T.StructField("check_timestamp", T.TimestampNTZType()),
@@ -69,17 +72,6 @@ HEALTH_SCHEMA = T.StructType([
 ])
 HEALTH_COLUMNS = [f.name for f in HEALTH_SCHEMA.fields]
 
-# File-sink commit log entry.
-MANIFEST_SCHEMA = T.StructType([
-    T.StructField("path", T.StringType()),
-    T.StructField("size", T.LongType()),
-    T.StructField("isDir", T.BooleanType()),
-    T.StructField("modificationTime", T.LongType()),
-    T.StructField("blockReplication", T.IntegerType()),
-    T.StructField("blockSize", T.LongType()),
-    T.StructField("action", T.StringType()),
-])
-
 # Fixed JSON-lines options of the raw layer: explicit nulls, ISO timestamps with
 # microseconds (instants with offset, wall-clock values without).
 RAW_JSON_OPTIONS = {

@@ -41,9 +41,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and scratch tables.
 
-    Uses ``spark.checkpoint.dir`` when the cluster names one; only when it is unset
-    (local runs, tests) a fresh folder under the system temp dir is created and
-    registered, so executors never write to a machine-local path on a cluster.
+    Uses ``spark.checkpoint.dir`` when the cluster names one. Only a local session (one
+    machine) may go without: it gets a fresh folder under the system temp dir. On a cluster
+    an unset folder is an error, as executors would not share it.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -53,6 +53,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="snapline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None:
@@ -60,11 +62,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
-def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A path under the shared checkpoint folder."""
-    return os.path.join(checkpoint_dir(spark), *parts)
-
-
 def cluster_conf(input_bytes: int, total_cores: int, *, target_partition_bytes: int = 256 << 20,
                  shuffle_expansion: float = 1.0) -> dict[str, str]:
     """Size scans and shuffles for a run over ``input_bytes`` on ``total_cores`` cores.
@@ -90,17 +87,28 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``snapline`` importable in Python workers (needed by the stateful
-    variant's state function): zip the package into the shared checkpoint folder once
-    per application and register it with ``addPyFile``."""
+    """Make ``snapline`` importable in Python workers: zip the package in memory, write it
+    once per application to the shared checkpoint folder, whatever file system that is, and
+    register it with ``addPyFile``."""
+    import io
+    import zipfile
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
-    import shutil
     pkg = os.path.dirname(os.path.abspath(__file__))
-    dest = os.path.join(checkpoint_dir(spark), f"pyfiles-{sc.applicationId}")
-    os.makedirs(dest, exist_ok=True)
-    archive = shutil.make_archive(os.path.join(dest, "snapline"), "zip",
-                                  root_dir=os.path.dirname(pkg), base_dir="snapline")
-    sc.addPyFile(archive)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(pkg):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    dest = f"{checkpoint_dir(spark)}/pyfiles-{sc.applicationId}/snapline.zip"
+    path = sc._jvm.org.apache.hadoop.fs.Path(dest)
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(dest if ":" in dest else f"file://{dest}")
     _SHIPPED.add(sc.applicationId)

@@ -1,11 +1,8 @@
-"""Readers of Spark's own logs: stream checkpoint offsets (S7, A3) and the file-sink
-commit log (S8)."""
+"""What a stream has committed: its checkpoint's offsets (S7, A3) and its sink's files."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-from snapline.schemas import MANIFEST_SCHEMA
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def checkpoint_offsets(spark: SparkSession, checkpoint: str) -> DataFrame:
@@ -22,7 +19,7 @@ def checkpoint_offsets(spark: SparkSession, checkpoint: str) -> DataFrame:
     per_source = raw.select(
         F.col("name").cast("long").alias("batch_id"), "modified",
         meta["batchTimestampMs"].alias("batch_timestamp_ms"),
-        F.posexplode(F.slice("lines", 3, 1 << 20)).alias("source_index", "offset_json"))
+        F.posexplode(F.slice("lines", F.lit(3), F.size("lines"))).alias("source_index", "offset_json"))
     per_source = per_source.filter(F.length("offset_json") > 0)
     kafka = F.from_json("offset_json", "map<string, map<string, long>>")
     return per_source.select(
@@ -44,15 +41,9 @@ def latest_batch(offsets: DataFrame) -> DataFrame:
                        F.max_by("modified", "batch_id").alias("modified"))
 
 
-def sink_manifest(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Files committed by a file sink, from ``<out>/_spark_metadata/<n>``.
-
-    DataFrame readers skip ``_``-prefixed folders, so the log is listed with
-    ``wholeTextFiles``; each file is ``v1`` then one JSON entry per committed file."""
-    rdd = spark.sparkContext.wholeTextFiles(f"{out_dir.rstrip('/')}/_spark_metadata/[0-9]*")
-    files = spark.createDataFrame(rdd, "log_file string, content string")
-    lines = files.select(
-        F.regexp_extract("log_file", r"/([0-9]+)(\.compact)?$", 1).cast("long").alias("batch_id"),
-        F.explode(F.split("content", "\n")).alias("line"))
-    entries = lines.filter((F.col("line") != "v1") & (F.length("line") > 0))
-    return entries.select("batch_id", F.from_json("line", MANIFEST_SCHEMA).alias("e")).select("batch_id", "e.*")
+def committed_files(spark: SparkSession, out_dir: str, schema: T.StructType, **options: str) -> DataFrame:
+    """Files a file sink has committed, with their size and rows. Spark's reader of the
+    folder honours the sink's commit log, compacted or not."""
+    rows = spark.read.schema(schema).options(**options).json(out_dir)
+    return rows.groupBy(F.col("_metadata.file_path").alias("path"),
+                        F.col("_metadata.file_size").alias("size")).agg(F.count(F.lit(1)).alias("n_rows"))

@@ -4,34 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from snapline.functions.text import json_text
-from snapline.operators.sequence import number_rows
-
 # Fixed value: records per API page.
 PAGE_SIZE = 100
 
 
-def paginate(df: DataFrame, cycle: str, order: list[str], record_cols: list[str],
-             page_size: int = PAGE_SIZE) -> DataFrame:
-    """Group each cycle's records into page documents ``{"results":[...]}`` the way a
-    limit/offset poll returns them; a cycle whose size is a multiple of the page size
-    ends with an empty page. Output: ``cycle, page_no, doc``. Positions come from
-    ``number_rows`` (a cycle is never numbered in one task); a page holds at most
-    ``page_size`` records."""
-    x = number_rows(df, [cycle], list(order), name="_rn")
-    x = x.withColumn("page_no", F.floor(F.col("_rn") / page_size).cast("int"))
-    rec = F.struct(*[F.col(c) for c in record_cols])
-    pages = (x.groupBy(cycle, "page_no")
-              .agg(F.sort_array(F.collect_list(F.struct(F.col("_rn"), rec.alias("r")))).alias("_rs"))
-              .select(cycle, "page_no",
-                      json_text(F.struct(F.transform("_rs", lambda e: e["r"]).alias("results"))).alias("doc")))
-    full = (df.groupBy(cycle).agg(F.count(F.lit(1)).alias("_n"))
-              .filter(F.col("_n") % page_size == 0)
-              .select(cycle, (F.col("_n") / page_size).cast("int").alias("page_no"),
-                      F.lit('{"results":[]}').alias("doc")))
-    return pages.unionByName(full)
-
-
 def explode_pages(pages: DataFrame, record_schema: T.StructType, keep: list[str] = ()) -> DataFrame:
     """Page documents -> one row per record (``from_json`` + ``explode``)."""
     s = T.StructType([T.StructField("results", T.ArrayType(record_schema))])
@@ -55,3 +31,11 @@ def snapshot_completeness(pages: DataFrame, cycle: str, page_size: int = PAGE_SI
     complete = ((F.col("n_pages") == F.col("_last") + 1)
                 & (F.col("_last_n") < page_size) & (F.col("_short") == 1))
     return g.select(cycle, "n_pages", "n_records", complete.alias("complete"))
+
+
+def drop_empty_snapshots(pages: DataFrame, cycle: str) -> DataFrame:
+    """Leave out the pages of cycles without a single record (a poll that returned
+    nothing publishes nothing)."""
+    sz = F.size(F.from_json("doc", "results array<string>")["results"])
+    filled = pages.groupBy(cycle).agg(F.max(sz).alias("_most")).filter(F.col("_most") > 0).select(cycle)
+    return pages.join(filled, cycle, "left_semi")

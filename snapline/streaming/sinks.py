@@ -46,3 +46,15 @@ def raw_sink(base: str, table: str, run_id: str,
             df.unpersist()
 
     return write
+
+
+def publish(messages: DataFrame, *, servers: str | None = None, topic: str | None = None,
+            path: str | None = None) -> None:
+    """Write encoded messages (``value``, and ``key`` if there is one) to a topic, which
+    needs the Kafka connector, or as lines of text files under ``path``."""
+    if path is not None:
+        messages.select("value").write.mode("append").text(path)
+        return
+    cols = [F.col(c).cast("string") for c in ("key", "value") if c in messages.columns]
+    (messages.select(*cols).write.format("kafka")
+     .option("kafka.bootstrap.servers", servers).option("topic", topic).save())

@@ -28,7 +28,7 @@ def test_stream_health_unknown_high_and_no_commit(spark):
     h = {r["component"]: r for r in stream_health(df, 120).collect()}
     assert h["pyspark_s"]["status"] == "healthy" and h["pyspark_s"]["lag_messages"] is None
     assert h["pyspark_s"]["lag_seconds"] == 60.0
-    assert h["pyspark_q"]["status"] == "down" and h["pyspark_q"]["error_message"].startswith("no checkpoint")
+    assert h["pyspark_q"]["status"] == "down" and h["pyspark_q"]["error_message"].startswith("stream has committed nothing")
 
 
 def test_cluster_conf():

@@ -30,15 +30,12 @@ def test_matches_plain_lag_and_lead_with_hot_key(spark):
         assert got.exceptAll(ref.select("k", "t", "p", "n")).count() == 0
 
 
-def test_number_rows_matches_row_number_with_hot_group(spark):
-    from snapline.operators.sequence import number_rows
-    rnd = random.Random(11)
-    data = [("hot" if rnd.random() < 0.4 else f"g{rnd.randint(0, 20)}", i, rnd.randint(0, 9)) for i in range(4000)]
-    df = spark.createDataFrame(data, "g string, o int, v int")
-    got = number_rows(df, ["g"], ["o"], parts=16)
-    ref = df.withColumn("_pos", F.row_number().over(Window.partitionBy("g").orderBy("o")) - 1)
-    assert got.count() == 4000
-    assert got.exceptAll(ref).count() == 0
+def test_rows_without_order_have_no_neighbour(spark):
+    df = spark.createDataFrame([("a", None, 1), ("a", datetime(2024, 1, 1), 2), ("a", datetime(2024, 1, 3), 3),
+                                ("b", None, 4)], "k string, t timestamp_ntz, v int")
+    got = {r["v"]: (r["x"]["v"] if r["x"] else None)
+           for r in with_neighbor(df, ["k"], "t", ["v"], buckets=(3600, 86400), name="x").collect()}
+    assert got == {1: None, 2: None, 3: 2, 4: None}
 
 
 def test_asof_join_matches_brute_force(spark):

@@ -12,13 +12,6 @@ from snapline.streaming.stateful import stateful_changes
 from tests.conftest import SF_SMALL
 
 
-def test_stream_equals_batch(spark):
-    s = E.queries()["stream_silver"](spark, SF_SMALL)
-    b = E.queries()["change_filter_asof"](spark, SF_SMALL)
-    assert s.count() == b.count() == 667
-    assert s.exceptAll(b).count() == 0
-
-
 def test_resume_and_replay_equal_single_run(spark):
     s = E.queries()["stream_resume"](spark, SF_SMALL)
     b = E.queries()["change_filter_asof"](spark, SF_SMALL)
@@ -54,8 +47,3 @@ def test_stateful_lookback_matches_brute_force(spark, tmp_path, watermark):
     assert got == want
     offs = checkpoint_offsets(spark, f"{root}/ck")
     assert latest_batch(offs).first()["batch_id"] == offs.count() - 1
-
-
-def test_sink_manifest(spark):
-    m = E.queries()["sink_manifest"](spark, SF_SMALL)
-    assert m.count() > 0 and m.filter(F.col("action") != "add").count() == 0
