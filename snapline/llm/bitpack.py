@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapline.llm.common import ChunkEncoder, batched, cut, scratch, text_of
+from snapline.llm.common import ChunkEncoder, batched, cut, scratch, small_batches, text_of
 
 # The file layout. All numbers little-endian.
 #   header   magic(8) width(u4) block(u4) n_ids(u8) n_docs(u8) n_blocks(u8)
@@ -157,16 +157,19 @@ def write_token_files(docs: DataFrame, out: str, model: str, kind: str, end_id:
     to files under ``out``, a folder all executors share. Returns the manifest: one row per
     file, whose (part, seq) order is the key order.
 
-    Documents are dealt out by ranges of (key, text), so a repeated key spreads over tasks, and
+    Documents are dealt out by ranges of (key, hash of the text), so a repeated key spreads over
+    tasks and no text is sampled for the ranges, and
     a task holds one file of about ``file_ids`` ids at a time. The manifest is cut to the shared folder:
     only files it names count, so a task that ran twice cannot add ids twice. A null text is the
     empty text and still gets its end id. Null keys come first and are stored as the smallest
     64-bit number. Other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     n = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
     rows = (docs.select(F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("key"),
                         text_of(text).alias("text"))
-            .repartitionByRange(int(n), "key", "text").sortWithinPartitions("key", "text"))
+            .repartitionByRange(int(n), "key", F.xxhash64("text"))
+            .sortWithinPartitions("key", F.xxhash64("text"), "text"))
     return cut(rows.mapInPandas(_writer(out, model, kind, end_id, file_ids, block), MANIFEST),
                "token-files")
 
