@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapline.llm.common import _powers, batched, cut, mix64, text_of
+from snapline.llm.common import NO_ID, _powers, batched, cut, mix64, small_batches, text_of
 
 K, S, SKETCH = 12, 5, 64
 
@@ -109,7 +109,7 @@ def _walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     held: tuple | None = None                     # id, text, sketch of the row still open
     head: str | None = None
     for pdf in frames:
-        ids, all_texts = pdf["doc_id"].astype("Int64").tolist(), pdf["text"].tolist()
+        ids, all_texts = pdf["doc_id"].tolist(), pdf["text"].tolist()
         for lo, hi in batched(all_texts):
             texts = all_texts[lo:hi]
             own = list(zip(ids[lo:hi], texts, sketches(texts)))
@@ -126,23 +126,23 @@ def _walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 head = None
             held = chain[-1]
             if rows:
-                yield pd.DataFrame(rows, columns=EDGES.names).astype({"doc_id": "Int64"})
+                yield pd.DataFrame(rows, columns=EDGES.names)
     if held is not None:
         doc, text, sketch = held
         yield pd.DataFrame([(doc, len(text), None, sketch.tobytes(), None, None, None, part, head,
-                             text)], columns=EDGES.names).astype({"doc_id": "Int64"})
+                             text)], columns=EDGES.names)
 
 
 def _close(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in frames:
         rows = []
         for doc, text, sketch, after, after_sketch in zip(
-                pdf["doc_id"].astype("Int64"), pdf["tail"], pdf["fingerprint"], pdf["after"],
+                pdf["doc_id"], pdf["tail"], pdf["fingerprint"], pdf["after"],
                 pdf["after_sketch"]):
             edited = _edit(text, after)
             rows.append((doc, *_row(text, np.frombuffer(sketch, np.uint32), edited,
                                     sketches([edited])[0], np.frombuffer(after_sketch, np.uint32))))
-        yield pd.DataFrame(rows, columns=ROWS.names).astype({"doc_id": "Int64"})
+        yield pd.DataFrame(rows, columns=ROWS.names)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -150,16 +150,19 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     beginning of the next document, descending by id; the last one's next is the first) and how
     like its fingerprint is to the edited text's and to the next document's.
 
-    One shuffle deals the texts out by ranges of (id, text) and sorts them; a task then streams
+    One shuffle deals the texts out by ranges of (id, hash of the text) and sorts them; a task then streams
     its rows and holds one open document. Neighbours in different tasks meet through one head
-    and one tail row per task. Rows with equal ids are ordered by their text, null ids come
+    and one tail row per task. Rows with equal ids are ordered by their texts' hashes, null ids come
     last, a null text is the empty text (empty sketch, 0 characters). A single row is its own
     next one. No rows, no result. Columns other than ``doc_id`` and ``text`` are ignored.
     """
+    small_batches(docs.sparkSession)
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    down = F.col("doc_id").desc_nulls_last()
-    dealt = (docs.select(F.col("doc_id").cast("long"), text_of().alias("text"))
-             .repartitionByRange(n, down, "text").sortWithinPartitions(down, "text"))
+    down = F.col("doc_id").desc()
+    dealt = (docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"),
+                         text_of().alias("text"))
+             .repartitionByRange(n, down, F.xxhash64("text"))
+             .sortWithinPartitions(down, F.xxhash64("text"), "text"))
     rows = cut(dealt.mapInPandas(_walk, EDGES), "fingerprints")
     heads = rows.where("head is not null").select(
         F.col("part").alias("next_part"), F.col("head").alias("after"),
@@ -174,4 +177,5 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     tails = (rows.where("tail is not null").select("doc_id", "fingerprint", "tail", "part")
              .join(follows, "part").join(heads, "next_part"))
     done = rows.where("tail is null").select(*ROWS.names).unionByName(tails.mapInPandas(_close, ROWS))
+    done = done.withColumn("doc_id", F.nullif(F.col("doc_id"), F.lit(NO_ID)))
     return done.withColumns({c: F.translate(F.base64(F.col(c)), "\r\n", "") for c in ("fingerprint", "edited_fingerprint")})
