@@ -19,13 +19,19 @@ def write_avoidance(deduped: DataFrame, history: DataFrame, spec: FeedSpec) -> D
     ``dense_ratio`` = 1 - history / deduplicated rows — the rows a filter-less load
     would really have written.
     """
-    key = spec.keys[0]
-    base = deduped.agg(F.count(F.lit(1)).alias("n_snapshot_rows"),
-                       F.countDistinct(spec.cycle).alias("n_cycles"),
-                       F.countDistinct(key).alias("n_keys"))
-    hist = history.agg(F.count(F.lit(1)).alias("n_history_rows"))
-    # Two one-row aggregates side by side (a join on a constant, one row each).
-    j = base.withColumn("_one", F.lit(1)).join(hist.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    def part(df: DataFrame, **cols) -> DataFrame:
+        zero = F.lit(0).cast("long")
+        return df.select(*[F.coalesce(cols.get(c, zero).cast("long"), zero).alias(c)
+                           for c in ("n_snapshot_rows", "n_cycles", "n_keys", "n_history_rows")])
+
+    # Per-cycle counts, the distinct keys and the history's count, added up by one aggregate.
+    cycles = deduped.groupBy(spec.cycle).agg(F.count(F.lit(1)).alias("n"))
+    parts = part(cycles, n_snapshot_rows=F.col("n"), n_cycles=F.col(spec.cycle).isNotNull().cast("int"))
+    keys = deduped.select(spec.keys[0]).filter(F.col(spec.keys[0]).isNotNull()).distinct()
+    parts = parts.unionByName(part(keys, n_keys=F.lit(1)))
+    stored = history.agg(F.count(F.lit(1)).alias("n"))
+    parts = parts.unionByName(part(stored, n_history_rows=F.col("n")))
+    j = parts.agg(*[F.sum(c).alias(c) for c in parts.columns])
     grid = F.col("n_cycles") * F.col("n_keys")
     return j.select(
         "n_snapshot_rows", "n_cycles", "n_keys", "n_history_rows",

@@ -97,10 +97,14 @@ def q_replay_noop(spark, sf):
     hist = kept(spark, sf)
     b = _batch(spark, sf)
     new = changes_as_of(b, hist, SPEC)
-    stored = b.join(hist.select("stationcode", "request_timestamp"), ["stationcode", "request_timestamp"], "left_semi")
-    one = lambda df, n: df.agg(F.count(F.lit(1)).alias(n)).withColumn("_one", F.lit(1))
-    return (one(b, "n_batch").join(one(stored, "n_already_stored"), "_one")
-            .join(one(new, "n_inserted"), "_one").drop("_one"))
+    known = hist.select("stationcode", "request_timestamp", F.lit(1).alias("_known"))
+    both = b.select("stationcode", "request_timestamp").join(known, ["stationcode", "request_timestamp"], "left")
+    counts = both.agg(F.count(F.lit(1)).alias("n_batch"), F.count("_known").alias("n_already_stored"),
+                      F.lit(0).cast("long").alias("n_inserted"))
+    zero = F.lit(0).cast("long")
+    counts = counts.unionByName(new.agg(F.count(F.lit(1)).alias("n_inserted")).select(
+        zero.alias("n_batch"), zero.alias("n_already_stored"), "n_inserted"))
+    return counts.agg(*[F.sum(c).alias(c) for c in counts.columns])
 
 
 def q_merge_insert_only(spark, sf):

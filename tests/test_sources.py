@@ -40,7 +40,7 @@ def test_route_objects(spark):
 def test_write_health_layout(spark, tmp_path):
     from snapline.plans.catalog import health_table
     h = health_table(spark, SF_SMALL)
-    write_health(h, str(tmp_path / "health"))
+    write_health(h, str(tmp_path / "health"), "one")
     back = spark.read.parquet(str(tmp_path / "health"))
     assert back.count() == h.count()
     assert "check_date" in back.columns
