@@ -132,7 +132,8 @@ def silver_sink(path: str, run_id: str, spec: FeedSpec = STATION_SPEC, *, mode:
     def run(df: DataFrame, epoch_id: int) -> None:
         batch_id = f"{run_id}-{epoch_id:06d}"
         if prefix is not None:
-            name = F.concat(F.lit(prefix), F.substring_index("source_file", f"/{prefix}", -1))
+            name = F.when(F.col("source_file").contains(f"/{prefix}"), F.concat(
+                F.lit(prefix), F.substring_index("source_file", f"/{prefix}", -1))).otherwise(F.col("source_file"))
             routed = route_objects(df.withColumn("_object", name), "_object", prefix)
             if quarantine:
                 (routed.filter(F.col("route") == QUARANTINED).drop("_object", "route", "batch_date")
