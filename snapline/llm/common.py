@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from snapline.session import checkpoint_dir
 
 
+# Stands for a missing id inside operators, so that ids never pass through floating point.
+NO_ID = -(1 << 63)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -39,6 +43,14 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand Python workers at most ``rows`` rows at a time: texts are wide, and a worker keeps
+    the memory of its largest batch. A smaller setting of the session stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def text_of(col: str = "text"):
     """The text, with null as the empty text."""
     return F.coalesce(F.col(col), F.lit(""))
@@ -277,7 +289,7 @@ class ChunkEncoder:
         return start, stop, np.searchsorted(start, at[:-1]), buf
 
 
-def batched(texts: list[str], chars: int = 1 << 20) -> Iterable[tuple[int, int]]:
+def batched(texts: list[str], chars: int = 1 << 19) -> Iterable[tuple[int, int]]:
     """Index ranges of about ``chars`` characters each, so that long texts do not pile up."""
     lo = size = 0
     for i, t in enumerate(texts):

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapline.llm.common import batched, text_of
+from snapline.llm.common import batched, cut, small_batches, text_of
 
 CACHE_SCHEMA = T.StructType([
     T.StructField("digest", T.BinaryType()),
@@ -74,6 +74,7 @@ def count_tokens(docs: DataFrame, model_path: str, cache_path: str, *, text: str
     ``docs`` named like ``out`` is replaced; all others stay.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     version = tokenizer_digest(model_path)
     content = text_of(text)
     digest = F.unhex(F.sha2(content, 256))
@@ -83,8 +84,8 @@ def count_tokens(docs: DataFrame, model_path: str, cache_path: str, *, text: str
     misses = distinct.join(stored.select("digest"), "digest", "left_anti")
     (misses.mapInPandas(_encode_misses(model_path, version), CACHE_SCHEMA)
      .write.mode("append").parquet(cache_path))
-    counts = (read_cache(spark, cache_path).where(F.col("tokenizer") == version)
-              .groupBy("digest").agg(F.max("n_tokens").alias("_n_tokens")))
+    counts = cut(read_cache(spark, cache_path).where(F.col("tokenizer") == version)
+                 .groupBy("digest").agg(F.max("n_tokens").alias("_n_tokens")), "token-counts")
     keyed = docs.withColumn("_digest", digest).drop(out)
     return (keyed.join(counts.withColumnRenamed("digest", "_digest"), "_digest", "left")
             .withColumnRenamed("_n_tokens", out).drop("_digest"))
