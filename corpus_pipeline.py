@@ -17,10 +17,18 @@ from snapline.llm.common import cut, table, tokenizer_path
 WORDS, PERCENT = 5, 80
 
 
+def _aside(docs: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, list]:
+    """``docs`` with its columns called ``names`` set aside under other names, and the columns
+    that give them back."""
+    held = {c: f"_own_{c}" for c in docs.columns if c in names}
+    back = [F.col(held[c]).alias(c) if c in held else F.col(c) for c in docs.columns]
+    return docs.withColumnsRenamed(held), back
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity stays below their language's threshold."""
-    scored = kneser_ney.classify(docs, table(spark, sf_dir, "labels"))
-    return scored.where("accepted").select(*docs.columns)
+    own, back = _aside(docs, ("perplexity", "threshold", "accepted"))
+    return kneser_ney.classify(own, table(spark, sf_dir, "labels")).where("accepted").select(*back)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +53,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in the order of the mix of their sources."""
-    placed = pfair.mix(docs, key=["doc_id", "n_chars"], rows_per_bucket=2_000)
-    return placed.orderBy("period", "slot", "place").select(*docs.columns)
+    own, back = _aside(docs, pfair.MIX)
+    return pfair.mix(own, key=["doc_id", "n_chars"]).orderBy("period", "slot", "place").select(*back)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
