@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snapline.llm.bitpack import encoder
-from snapline.llm.common import batched, cut, partitions_for, text_of
+from snapline.llm.common import NO_ID, batched, cut, partitions_for, small_batches, text_of
 
 PIECES = T.StructType([
     T.StructField("doc_id", T.LongType()),
@@ -120,11 +120,12 @@ def best_fit_pack(docs: DataFrame, model: str, kind: str, end_id: int, *, capaci
     Null texts count as empty: their one id is the end id. Null and repeated keys are packed like
     any other row; columns other than ``doc_id`` and ``text`` are ignored. No rows, no pieces.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long"), text_of().alias("text"))
+    small_batches(docs.sparkSession)
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), text_of().alias("text"))
     pieces = cut(rows.mapInPandas(_pieces(model, kind, end_id, capacity), PIECES), "pieces")
     tasks = partitions_for(pieces.count(), pieces_per_task)
     order = F.xxhash64("doc_id", "piece", "ids_crc32")
     dealt = (pieces.withColumn("_order", order).repartition(tasks, "_order")
              .sortWithinPartitions("_order", "doc_id", "piece", "start", "length").drop("_order"))
-    return dealt.mapInPandas(_pack(capacity, open_bins), PACKED)
+    return dealt.mapInPandas(_pack(capacity, open_bins), PACKED).withColumn(
+        "doc_id", F.nullif(F.col("doc_id"), F.lit(NO_ID)))
