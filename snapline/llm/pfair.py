@@ -48,7 +48,7 @@ def edf_period(weights: Column) -> Column:
 
 
 def schedule(sized: DataFrame) -> DataFrame:
-    """Where the blocks of every source go in each phase: (_src, job, first_period, until, slot).
+    """Where the blocks of every source go in each phase: (_src, job, _first, _until, slot).
 
     ``sized`` has one row per source: _src, weight, n_blocks. A period gives each source still
     running as many slots as its weight. A source with b blocks runs for ceil(b / weight)
@@ -56,19 +56,19 @@ def schedule(sized: DataFrame) -> DataFrame:
     proportions of the rest stay on target. Phases are at most as many as sources, and a phase
     has a row per slot of its period: a bound set by the targets, not by the rows mixed.
     """
-    runs = sized.select("_src", "weight", F.ceil(F.col("n_blocks") / F.col("weight")).alias("until"))
-    by_end = Window.orderBy("until")
-    phases = runs.select("until").distinct().select(
-        F.row_number().over(by_end).alias("phase"), "until",
-        F.coalesce(F.lag("until").over(by_end), F.lit(0)).alias("first_period"))
-    active = (runs.join(phases, "until")
+    runs = sized.select("_src", "weight", F.ceil(F.col("n_blocks") / F.col("weight")).alias("_until"))
+    by_end = Window.orderBy("_until")
+    phases = runs.select("_until").distinct().select(
+        F.row_number().over(by_end).alias("phase"), "_until",
+        F.coalesce(F.lag("_until").over(by_end), F.lit(0)).alias("_first"))
+    active = (runs.join(phases, "_until")
               .select("_src", "weight", F.explode(F.sequence(F.lit(1), "phase")).alias("phase"))
               .groupBy("phase").agg(F.sort_array(F.collect_list(F.struct("_src", "weight"))).alias("s")))
     slots = active.join(phases, "phase").select(
-        "phase", "first_period", "until", "s", F.posexplode(edf_period(F.col("s.weight"))).alias("slot", "i"))
+        "phase", "_first", "_until", "s", F.posexplode(edf_period(F.col("s.weight"))).alias("slot", "i"))
     job = F.row_number().over(Window.partitionBy("phase", "i").orderBy("slot")) - 1
     return slots.select(F.get("s", F.col("i"))["_src"].alias("_src"), job.alias("_job"),
-                        "first_period", "until", "slot")
+                        "_first", "_until", "slot")
 
 
 def number_in_source(docs: DataFrame, key: list[str], rows_per_bucket: int) -> DataFrame:
@@ -92,7 +92,7 @@ MIX = ("block", "period", "slot", "place")
 
 
 def mix(docs: DataFrame, weights: DataFrame | None = None, *, key: list[str] | None = None,
-        block_rows: int = 64, rows_per_bucket: int = 20_000) -> DataFrame:
+        block_rows: int = 64, rows_per_bucket: int = 500) -> DataFrame:
     """``docs`` with the place of every row in the mix: ordered by (period, slot, place), the
     sources interleave so that at every block boundary each running source is less than one block
     from its target share.
@@ -124,7 +124,7 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, *, key: list[str] | N
             .join(hint(sized.select("_src", F.col("weight").alias("_w"))), "_src")
             .withColumns({"period": F.floor(F.col("block") / F.col("_w")),
                           "_job": (F.col("block") % F.col("_w")).cast("int")}))
-    within = (F.col("period") >= F.col("first_period")) & (F.col("period") < F.col("until"))
+    within = (F.col("period") >= F.col("_first")) & (F.col("period") < F.col("_until"))
     return (rows.join(hint(plan), ["_src", "_job"]).where(within)
             .withColumn("place", F.pmod("_n", F.lit(block_rows)))
-            .drop("_src", "_job", "first_period", "until", "_w", "_n"))
+            .drop("_src", "_job", "_first", "_until", "_w", "_n"))
