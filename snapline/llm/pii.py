@@ -10,11 +10,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapline.llm.common import text_of
+from snapline.llm.common import small_batches, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -159,7 +160,8 @@ def _tally(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for t in pdf["text"]:
             for s in candidates(t):
                 seen[(KINDS.index(s.kind), *votes(t, s), *shape_of(t, s))] += 1
-        yield pd.DataFrame({"row": [list(k) for k in seen], "n": list(seen.values())})
+        if seen:
+            yield pd.DataFrame({"row": [list(k) for k in seen], "n": list(seen.values())})
 
 
 def expect_votes(table: np.ndarray, weight: np.ndarray, rounds: int = 50) -> np.ndarray:
@@ -204,6 +206,7 @@ def train(docs: DataFrame, *, text: str = "text", rounds: int = 300) -> np.ndarr
     Candidates are counted by (kind, votes, shape): at most 4 * 3**6 * 5**3 combinations, a bound
     of the code and not of the data, and only these counts come to the driver.
     """
+    small_batches(docs.sparkSession)
     got = (docs.select(text_of(text).alias("text"))
            .mapInPandas(_tally, "row array<int>, n long")
            .groupBy("row").agg(F.sum("n").alias("n")).orderBy("row").collect())
@@ -259,13 +262,15 @@ def detect(docs: DataFrame, *, text: str = "text", accept: float = 0.9) -> DataF
                          T.StructField("end", T.IntegerType()), T.StructField("base", T.BooleanType())])
     schema = T.StructType([*keep, T.StructField("pii", T.ArrayType(span))])
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            yield pdf.assign(pii=[
-                [(s.kind, s.start, s.end, s.base) for s in find(t, weights, accept)]
-                if isinstance(t, str) else [] for t in pdf[text]])
+    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())]))
 
-    return docs.select(*[f.name for f in keep]).mapInPandas(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [[{"kind": s.kind, "start": s.start, "end": s.end, "base": s.base} for s in find(t, weights, accept)]
+                     if t else [] for t in b.column(text).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, kind)], [*b.schema.names, "pii"])
+
+    return docs.select(*[f.name for f in keep]).mapInArrow(run, schema)
 
 
 def mask(t: str, spans: list[Span]) -> str:
@@ -282,21 +287,17 @@ def redact(docs: DataFrame, *, text: str = "text", length: str | None = "n_chars
     """``docs`` with personal data in ``text`` replaced by [EMAIL], [IP], [CARD] or [PHONE], and
     ``length``, if there is such a column, brought up to date where the text changed. Null texts stay null."""
     weights = train(docs, text=text)
-    schema = docs.schema
-    sized = length is not None and length in docs.columns
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            new = [mask(t, find(t, weights)) if isinstance(t, str) else t for t in pdf[text]]
-            if sized:
-                old = pdf[length]
-                pdf[length] = [len(b) if isinstance(b, str) and a != b else n
-                               for a, b, n in zip(pdf[text], new, old)]
-                pdf[length] = pdf[length].astype("Int64")
-            pdf[text] = new
-            yield pdf
-
-    return docs.mapInPandas(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            old = b.column(text).to_pylist()
+            new = [mask(t, find(t, weights)) if t else t for t in old]
+            cols = {**dict(zip(b.schema.names, b.columns)), text: pa.array(new, b.schema.field(text).type)}
+            if length in cols:
+                cols[length] = pa.array([n if x == y else len(y) for x, y, n in zip(old, new, cols[length].to_pylist())],
+                                        b.schema.field(length).type)
+            yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def _is(kind: str):
