@@ -10,10 +10,13 @@ from dataclasses import dataclass, field
 from math import log
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from snapline.llm.common import small_batches
+
 # How HTML elements are read.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea iframe object svg math title select".split())
@@ -230,7 +233,8 @@ def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if side:
                     seen[("", side)] += 1
                     seen.update((f, side) for f in features(b, i / len(bs)))
-        yield pd.DataFrame([(f, s, n) for (f, s), n in seen.items()], columns=["f", "side", "n"])
+        if seen:
+            yield pd.DataFrame([(f, s, n) for (f, s), n in seen.items()], columns=["f", "side", "n"])
 
 
 def train(pages: DataFrame) -> dict[str, float]:
@@ -354,14 +358,17 @@ def extract(pages: DataFrame, odds: dict[str, float] | None = None) -> DataFrame
     A null or empty page has the empty text. Repeated pages are extracted alike. Columns named
     text or n_chars are replaced; all others stay. No rows, no result.
     """
+    small_batches(pages.sparkSession)
     odds = train(pages) if odds is None else odds
     keep = [f for f in pages.schema.fields if f.name not in ("text", "n_chars")]
     schema = T.StructType([*keep, T.StructField("text", T.StringType()),
                            T.StructField("n_chars", T.LongType())])
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            texts = [main_text(p, odds) if isinstance(p, str) else "" for p in pdf["html"]]
-            yield pdf.assign(text=texts, n_chars=[len(t) for t in texts])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [main_text(p, odds) if p else "" for p in b.column("html").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
+                [*b.schema.names, "text", "n_chars"])
 
-    return pages.select(*[f.name for f in keep]).mapInPandas(run, schema)
+    return pages.select(*[f.name for f in keep]).mapInArrow(run, schema)
