@@ -348,6 +348,11 @@ def q_topic_watermarks(spark, sf):
     return topic_watermarks(derived.landed_messages(spark, sf))
 
 
+def q_broker_summary(spark, sf):
+    from snapline.sources.feed import broker_summary
+    return broker_summary(q_topic_watermarks(spark, sf))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "envelope_roundtrip": q_envelope_roundtrip,
     "typed_snapshot": q_typed_snapshot,
@@ -387,6 +392,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lineitem_change_history": q_lineitem_change_history,
     "decode_malformed": q_decode_malformed,
     "topic_watermarks": q_topic_watermarks,
+    "broker_summary": q_broker_summary,
     "hot_key_change_history": q_hot_key_change_history,
 }
 

@@ -513,3 +513,7 @@ SELECT check_timestamp, 'producer_' || topic,
        CASE WHEN last_ts IS NULL THEN '{{}}' ELSE '{{"latest_offset":' || CAST(high AS BIGINT) || '}}' END,
        CASE WHEN last_ts IS NULL THEN 'topic is silent: nothing to read' END, night
 FROM p"""
+
+ORACLE["broker_summary"] = """
+SELECT count(DISTINCT topic) AS topic_count, count(*) AS partition_count
+FROM (SELECT DISTINCT event_type AS topic, user_id % 3 AS partition FROM events)"""
