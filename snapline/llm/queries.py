@@ -98,4 +98,45 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": pipeline,
 }
 
-ORACLE: dict[str, str] = {}
+# The others rest on tokenizers, trained models, hashes or graph search; tests hold them against
+# brute force.
+ORACLE: dict[str, str] = {"op1_ngram_join": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(ws) < 4 THEN array_to_string(ws, ' ')
+             ELSE ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3] END AS g
+      FROM d, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS r(i) WHERE len(ws) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id
+      GROUP BY 1, 2),
+e AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * k >= 85 * (nx.n + ny.n - k)),
+links AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+reach AS (SELECT doc_id, doc_id AS other FROM d
+          UNION SELECT reach.doc_id, links.y FROM reach JOIN links ON reach.other = links.x)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(reach.other) AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN reach ON reach.doc_id = d.doc_id GROUP BY d.doc_id, n.n""",
+    "op9_quality_cascade": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+g AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g
+      FROM w, unnest(range(1, len(ws) - 1)) AS r(i)),
+again AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM g) WHERE c > 1),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM again)
+            GROUP BY doc_id),
+m AS (SELECT w.*, CAST(len(ws) AS BIGINT) AS n_words,
+             CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+             CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, len(ls) AS n_lines,
+             CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+             CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words
+      FROM w LEFT JOIN covered USING (doc_id)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR n_symbols > 0.1::DOUBLE * n_words OR word_chars < 2 * n_words OR word_chars > 20 * n_words
+            OR n_dup_lines > 0.5::DOUBLE * n_lines
+            OR length(regexp_replace(t, '[^0-9]+', '', 'g')) > 0.3::DOUBLE * greatest(length(t), 1)
+            OR len(list_filter(ws, lambda x: x = upper(x) AND x <> lower(x))) > 0.5::DOUBLE * n_words
+            OR len(list_distinct(ws)) < 0.05::DOUBLE * n_words
+            OR len(regexp_extract_all(t, '\.\.\.|…')) > 0.3::DOUBLE * n_lines + 10) AS kept
+FROM b"""}
