@@ -6,11 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapline.llm.common import batched, cut, text_of
+from snapline.llm.common import batched, cut, small_batches, text_of
 
 ORDER = 4                       # characters of a gram, 16 bits each in one 64-bit code
 BITS = 16
@@ -59,10 +60,10 @@ def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             code, uniq = pd.factorize(g)
             codes.append(uniq)
             counts.append(np.bincount(code, np.repeat(good[lo:hi], size), len(uniq)))
-            if sum(map(len, codes)) > 2_000_000:
+            if sum(map(len, codes)) > 500_000:
                 m = merged()
                 codes, counts = [m["gram"].to_numpy()], [m["c"].to_numpy()]
-                if len(m) > 1_000_000:
+                if len(m) > 400_000:
                     yield m
                     codes, counts = [], []
     if codes:
@@ -141,11 +142,11 @@ def _with_scores(docs: DataFrame, table: DataFrame, text: str) -> DataFrame:
         schema = T.StructType([*docs.schema.fields, T.StructField("_nll", T.DoubleType()),
                                T.StructField("_n", T.LongType())])
 
-        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys, lp = model.value
-            for pdf in frames:
-                texts = [t if isinstance(t, str) else "" for t in pdf[text]]
-                nll, n = [], []
+            for b in batches:
+                texts = [t or "" for t in b.column(text).to_pylist()]
+                nll, n = [np.zeros(0)], [np.zeros(0, np.int64)]
                 for lo, hi in batched(texts):
                     g, size = grams(texts[lo:hi])
                     code, uniq = pd.factorize(g)
@@ -153,9 +154,11 @@ def _with_scores(docs: DataFrame, table: DataFrame, text: str) -> DataFrame:
                     owner = np.repeat(np.arange(len(size)), size)
                     nll.append(-np.bincount(owner, values, len(size)))
                     n.append(size)
-                yield pdf.assign(_nll=np.concatenate(nll) if nll else [], _n=np.concatenate(n) if n else [])
+                yield pa.RecordBatch.from_arrays(
+                    [*b.columns, pa.array(np.concatenate(nll)), pa.array(np.concatenate(n))],
+                    [*b.schema.names, "_nll", "_n"])
 
-        return docs.mapInPandas(run, schema)
+        return docs.mapInArrow(run, schema)
 
     def counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
@@ -172,13 +175,14 @@ def _with_scores(docs: DataFrame, table: DataFrame, text: str) -> DataFrame:
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, text: str = "text", quantile: float = 0.999,
-             margin: float = 1.1, steady: int = 100) -> DataFrame:
+             margin: float = 1.1, steady: int = 100, hold_out: int = 4) -> DataFrame:
     """``docs`` with ``perplexity``, ``threshold`` and ``accepted``.
 
-    The model counts the characters of all trusted documents (see :func:`trusted_ids`), so it
-    grows with them. A language's threshold is ``margin`` times the ``quantile`` of its trusted
-    documents' perplexities; a language without trusted documents takes the quantile of all of
-    them. Short texts say little: every text is scored as if ``steady`` more characters of the
+    One trusted document in ``hold_out`` (by a hash of its id, see :func:`trusted_ids`) is kept
+    from the model, which counts the characters of all others and so grows with them; 0 keeps
+    none. A language's threshold is ``margin`` times the ``quantile`` of its held-out documents'
+    perplexities, which texts the model has not seen can be measured by; a language without
+    any takes the quantile of all of them. Short texts say little: every text is scored as if ``steady`` more characters of the
     trusted mean followed.
 
     Two scans of the texts (counts, scores) and one of the trusted ones (thresholds); texts are
@@ -188,18 +192,25 @@ def classify(docs: DataFrame, labels: DataFrame, *, text: str = "text", quantile
     A null language is a language. Repeated rows get equal results. Existing columns of these three names
     are replaced; all others stay. No rows, no result.
     """
+    small_batches(docs.sparkSession)
     docs = docs.drop("perplexity", "threshold", "accepted")
     marked = _mark(docs, trusted_ids(labels))
     nothing = docs.withColumns({"perplexity": F.lit(None).cast("double"),
                                 "threshold": F.lit(None).cast("double"), "accepted": F.lit(True)})
-    counts = cut(marked.select(text_of(text).alias("text"), F.col("_trusted").alias("trusted"))
+    held = F.pmod(F.xxhash64("doc_id"), F.lit(hold_out)) == 0 if hold_out else F.lit(False)
+    counts = cut(marked.select(text_of(text).alias("text"), (F.col("_trusted") & ~held).alias("trusted"))
                  .mapInPandas(_count, COUNTS).groupBy("gram").agg(F.sum("c").alias("c")), "kn-grams")
     if counts.where("c > 0").isEmpty():
-        return nothing
+        return nothing if not hold_out else classify(
+            docs, labels, text=text, quantile=quantile, margin=margin, steady=steady, hold_out=0)
     table = cut(log_probabilities(counts), "kn-table")
     lang = F.coalesce(F.concat(F.lit("="), F.col("lang")), F.lit("")) if "lang" in docs.columns else F.lit("")
-    good = cut(_with_scores(marked.where("_trusted").select(lang.alias("_lang"), F.col(text).alias(text)),
+    measured = F.col("_trusted") & held if hold_out else F.col("_trusted")
+    good = cut(_with_scores(marked.where(measured).select(lang.alias("_lang"), F.col(text).alias(text)),
                             table, text).drop(text), "kn-trusted")
+    if good.isEmpty():                  # too few to hold any out
+        good = cut(_with_scores(marked.where("_trusted").select(lang.alias("_lang"), F.col(text).alias(text)),
+                                table, text).drop(text), "kn-trusted")
     mean = good.agg((F.sum("_nll") / F.sum("_n")).alias("m")).first()["m"]
     ppl = F.exp((F.col("_nll") + steady * mean) / (F.col("_n") + steady))
     at = F.percentile_approx(ppl, F.lit(quantile), F.lit(10_000)) * margin
