@@ -19,11 +19,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapline.llm.common import (batched, cut, joined_bytes, mix64, partitions_for, span_hashes,
-                                 text_of, words_of)
+from snapline.llm.common import (batched, cut, joined_bytes, mix64, partitions_for, small_batches,
+                                 span_hashes, text_of, words_of)
 
 # Ids of at most this many documents may be broadcast (16 MB); beyond it they are joined by shuffle.
 BROADCAST_IDS = 2_000_000
+# Least number of buckets the counting prefixes are dealt into.
+BUCKETS = 128
 # Shares of a document's shingles: the extra length of the counting prefix.
 SLACK = 15
 
@@ -71,7 +73,8 @@ POSTS = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("c
                       T.StructField("docs", T.BinaryType())])
 COUNTS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_shared", T.LongType())])
 SETS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()),
-                     T.StructField("s", T.ArrayType(T.LongType(), False))])
+                     T.StructField("s", T.ArrayType(T.LongType(), False)),
+                     T.StructField("sig", T.BinaryType())])
 
 
 def _each(frames: Iterator[pd.DataFrame], n: int) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
@@ -81,15 +84,18 @@ def _each(frames: Iterator[pd.DataFrame], n: int) -> Iterator[tuple[np.ndarray,
             yield ids[lo:hi], shingle_sets(texts[lo:hi], n)
 
 
+def _sig(s: np.ndarray) -> bytes:
+    return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+
+
 def _sizes(n: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for ids, sets in _each(frames, n):
-            yield pd.DataFrame({"doc_id": ids, "n": [len(s) for s in sets], "sig": [
-                hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]})
+            yield pd.DataFrame({"doc_id": ids, "n": [len(s) for s in sets], "sig": [_sig(s) for s in sets]})
     return run
 
 
-def _posts(n: int, percent: int, buckets: int, flush: int = 2_000_000):
+def _posts(n: int, percent: int, buckets: int, flush: int = 500_000):
     """Counting prefixes of many documents at a time, as one row per bucket of codes. A code held
     by two documents of this task is counted here and travels once, without a document."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -104,14 +110,13 @@ def _posts(n: int, percent: int, buckets: int, flush: int = 2_000_000):
             c, d = c[order], d[order]
             new = np.concatenate([[True], c[1:] != c[:-1]])
             alone = new & np.concatenate([new[1:], [True]])
-            keep = new
+            here = d[~alone]
             d = np.where(alone, d, np.iinfo(np.int64).min)
-            together = docs_of_shared = np.concatenate(docs)[order][~alone]
-            if len(together):
-                ids, n_shared = np.unique(docs_of_shared, return_counts=True)
+            if len(here):
+                ids, n_shared = np.unique(here, return_counts=True)
                 yield pd.DataFrame({"bucket": [-1], "codes": [n_shared.astype(np.int64).tobytes()],
                                     "docs": [ids.tobytes()]})
-            c, d = c[keep], d[keep]
+            c, d = c[new], d[new]
             b = (c >> np.uint64(32)).astype(np.int64) * buckets >> 32
             cuts = np.searchsorted(b, np.arange(buckets + 1))
             low = (c * np.uint64(buckets)).astype(np.uint64) >> np.uint64(32)
@@ -159,7 +164,7 @@ def _sets(n: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for ids, sets in _each(frames, n):
             yield pd.DataFrame({"doc_id": ids, "n": [len(s) for s in sets],
-                                "s": [s.view(np.int64) for s in sets]})
+                                "s": [s.view(np.int64) for s in sets], "sig": [_sig(s) for s in sets]})
     return run
 
 
@@ -282,12 +287,13 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Dat
     Nothing is capped: a frequent shingle or a large group only changes which pairs need a look.
     A group whose members are alike settles in the pivot round, in proportion to its size.
 
-    Rows with a null id are left out of the search and returned with null component_id; rows
-    that repeat an id are taken as one document with the first of their texts (by text) and each
-    returned. A null or empty text has no shingles and is its own component. Other columns are
+    Rows with a null id are left out of the search and returned with null component_id and 0
+    shingles; rows that repeat an id are taken as one document with one of their texts (the one
+    with the smallest digest) and each returned. A null or empty text has no shingles and is its own component. Other columns are
     ignored. No rows, no result.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     sizes = cut(rows.where("doc_id is not null").mapInPandas(_sizes(n), SIZES), "join-sizes")
     one = cut(sizes.groupBy("doc_id").agg(F.min(F.struct("sig", "n")).alias("v"))
@@ -297,8 +303,9 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Dat
 
     # 2. pruning
     total = one.agg(F.sum("n")).first()[0] or 0
-    buckets = min(1 << 16, partitions_for(total * (100 - percent + SLACK) / 100, 1_000_000,
-                                          int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    # A document's shared codes spread over the buckets and come back as one row from each. With
+    # BUCKETS at least, that is about a row per shared code at any size of the corpus.
+    buckets = min(1 << 16, partitions_for(total * (100 - percent + SLACK) / 100, 1_000_000, BUCKETS))
     posts = rows.where("doc_id is not null").mapInPandas(_posts(n, percent, buckets), POSTS)
     spread = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("docs"), F.lit(buckets))) \
         .otherwise(F.col("bucket")).cast("int")
@@ -313,7 +320,10 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Dat
     # 3. short lists of the documents left
     ids = live.select("doc_id")
     sets = _only(rows, ids).mapInPandas(_sets(n), SETS)
-    sets = cut(sets.dropDuplicates(["doc_id"]) if one.count() < sizes.count() else sets, "join-sets")
+    again = one.count() < sizes.count()
+    if again:                       # of the rows that repeat an id, one with the text that counts
+        sets = sets.join(live, ["doc_id", "sig"], "left_semi").dropDuplicates(["doc_id"])
+    sets = cut(sets.drop("sig"), "join-sets")
     posted = sets.select("doc_id", "n", F.explode("s").alias("h"))
     lists = posted.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     ranked = (posted.join(lists, "h").groupBy("doc_id", "n")
@@ -360,7 +370,6 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Dat
         "sig", "n", F.coalesce("component_id", "head").alias("component_id"))
     done = one.join(of_class, ["sig", "n"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
-    again = sizes.count() != one.count()
     nulls = rows.where("doc_id is null")
     if again or not nulls.isEmpty():
         done = rows.select("doc_id").join(done, "doc_id", "left").withColumn(
