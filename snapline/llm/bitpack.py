@@ -151,7 +151,7 @@ def _writer(out: str, model: str, kind: str, end_id: int, file_ids: int, block:
 
 
 def write_token_files(docs: DataFrame, out: str, model: str, kind: str, end_id: int, *,
-                      key: str = "doc_id", text: str = "text", file_ids: int = 1 << 22,
+                      key: str = "doc_id", text: str = "text", file_ids: int = 1 << 21,
                       block: int = 4096) -> DataFrame:
     """Encode every whole text, append ``end_id``, and write the ids in ascending ``key`` order
     to files under ``out``, a folder all executors share. Returns the manifest: one row per
