@@ -273,8 +273,9 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Dat
 
     1. Documents with equal sets form a class; its smallest id stands for it.
     2. Pruning. With shingles in hash order, two documents that overlap in T shingles share at
-       least k of their first n - T + k. So a document that shares fewer than k of that prefix
-       with any other has no partner. The shared codes are counted over all documents; a code
+       least k of their first n - T + k. Prefixes are rounded up and the count asked for is rounded
+       down, so what a smaller partner's shorter prefix holds is enough. A document that shares
+       fewer with any other has no partner. The shared codes are counted over all documents; a code
        is reduced map-side, so a frequent one travels once per task.
     3. T-occurrence search among the rest. Lists are ordered by their true length; a document's
        prefix holds its short lists. Sizes and places in the lists rule pairs out. First every
@@ -313,7 +314,8 @@ def jaccard_components(docs: DataFrame, *, n: int = 5, percent: int = 80) -> Dat
               .applyInPandas(_count_shared, COUNTS)
               .groupBy("doc_id").agg(F.sum("n_shared").alias("n_shared")))
     live = cut(heads.withColumnRenamed("head", "doc_id").join(shared, "doc_id")
-               .where(F.col("n_shared") >= F.ceil(F.col("n") * SLACK / 100)).select("doc_id", "sig"),
+               .where(F.col("n_shared") >= F.greatest(F.lit(1), F.floor(F.col("n") * min(SLACK, percent) / 100)))
+               .select("doc_id", "sig"),
                "join-live")
     _release(spark)
 

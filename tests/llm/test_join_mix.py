@@ -61,6 +61,26 @@ def test_components_match_brute_force(spark, seed, n, percent):
     assert got == brute(rows, n, percent)
 
 
+def test_small_texts_with_words_added_or_removed(spark):
+    """Pairs whose prefixes are of different length; each pair has words of its own, so no third
+    text helps."""
+    rows = []
+    for size in range(4, 48):
+        for more in range(1, 5):
+            for front in (True, False):
+                w = [f"s{size}m{more}{front}w{i}" for i in range(size + more)]
+                d = len(rows)
+                rows += [(d, " ".join(w)), (d + 1, " ".join(w[more:] if front else w[:size]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for n, percent in ((4, 85), (5, 80)):
+        want = {}
+        for a, b in zip(rows[::2], rows[1::2]):
+            want |= brute([a, b], n, percent)
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"])
+               for r in ngram_join.jaccard_components(df, n=n, percent=percent).collect()}
+        assert got == want
+
+
 def test_components_edge_rows(spark):
     assert ngram_join.jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     text = " ".join(f"w{i}" for i in range(30))
