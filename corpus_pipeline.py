@@ -58,8 +58,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of 1024 ids."""
-    return bestfit.best_fit_pack(docs, tokenizer_path("byte_bpe_50k.json"), "byte", 2)
+    """Pieces of all documents in sequences of 1024 ids, along the order of the mix."""
+    return bestfit.best_fit_pack(docs, tokenizer_path("byte_bpe_50k.json"), "byte", 2, in_order=True)
 
 
 STAGES = [("quality classifier", quality), ("n-gram Jaccard join", near_duplicates), ("PII", personal_data),

@@ -99,6 +99,31 @@ def test_run_and_empty_tables(spark, data, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
+def test_sequences_follow_the_mix(spark, tmp_path, monkeypatch):
+    """Changed weights change the sequences, whose numbers run along the mixed order."""
+    from snapline.llm import bestfit, pfair
+    step = dict(corpus_pipeline.STAGES)
+    text = " ".join(WORDS * 20)
+    docs = spark.createDataFrame([(i, text + f" {i}", "en", "a" if i % 3 else "b", 1, 1, "x", b"s") for i in range(1200)], SCHEMA)
+    plain_mix, found = pfair.mix, {}
+    for name, a, b in (("more a", 9, 1), ("more b", 1, 9)):
+        weights = spark.createDataFrame([("a", a), ("b", b)], "source string, weight int")
+        monkeypatch.setattr(pfair, "mix", lambda d, **kw: plain_mix(d, weights, **kw))
+        step["mixing sources"](spark, docs, "").write.parquet(f"{tmp_path}/{a}")
+        again = spark.read.parquet(f"{tmp_path}/{a}")
+        ordered = plain_mix(docs, weights, key=["doc_id", "n_chars"]).orderBy("period", "slot", "place")
+        place = {r["doc_id"]: r["_place"] for r in bestfit.in_row_order(again).collect()}
+        assert [r["doc_id"] for r in ordered.collect()] == sorted(place, key=place.get)
+        got = step["best-fit packing"](spark, again, "").collect()
+        assert len({r["doc_id"] for r in got}) == 1200
+        first = {}
+        for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"])):
+            first.setdefault(r["doc_id"], r["sequence_id"])
+        found[name] = [d for d in sorted(first, key=lambda d: (first[d], d))]
+    share = {k: sum(d % 3 == 0 for d in v[:300]) / 300 for k, v in found.items()}
+    assert share["more a"] < 0.4 < 0.6 < share["more b"]
+
+
 def test_repeated_ids_leave_one_document(spark, data):
     t = " ".join(WORDS * 3)
     df = spark.createDataFrame([(1, t, "en", "a", 3, 1, "x", b"s")] * 3 + [(2, t, "en", "a", 3, 1, "x", b"s"), (None, t, "en", "a", 3, 1, "x", b"s")] * 2, SCHEMA)
