@@ -36,7 +36,7 @@ _MORE = (
     ("ip", re.compile(r"(?<![\w:])(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}(?![\w:])")),
     ("phone", re.compile(r"(?<![\w+.(-])(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20.-][0-9]{3,4}[\x20.-][0-9]{4}(?![\w-])")),
 )
-_CUE = re.compile(r"\(at\)|\[at\]|\( at \)|\[ at \]|[0-9a-fA-F]:[0-9a-fA-F]|[0-9]{3}\)?[\x20.-][0-9]{3}")
+_CUE = re.compile(r"[\[(]\x20?at\x20?[\])]|[0-9a-fA-F]:[0-9a-fA-F]|[0-9]{3}\)?[\x20.-][0-9]{3}")
 # Gazetteers (top-level domains, issuer prefixes) and words near each kind.
 DOMAINS = frozenset("com org net edu gov mil int info biz io co de fr es uk it nl eu us ca au ch at be "
                     "pl se no dk fi pt ie ru jp cn in br mx example test".split())

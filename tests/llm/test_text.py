@@ -172,6 +172,11 @@ def test_expectation_maximisation_finds_the_reliable_labeler():
     assert ((p > 0.5) == truth).mean() > 0.93
 
 
+def test_loose_emails_do_not_need_another_cue():
+    for a in ("(at)", "[at]", "( at)", "(at )", "( at )", "[at)", "( at]", "[ at ]"):
+        assert [s.kind for s in pii.candidates(f"jo {a} host.com")] == ["email"], a
+
+
 def test_redaction_follows_length(spark):
     df = spark.createDataFrame([(2 ** 60 + 1, "a@b.co x", 8, None), (None, None, None, 3)],
                                "doc_id long, text string, n_chars long, extra long")
