@@ -91,7 +91,7 @@ def base_spans(t: str) -> list[Span]:
     out = [Span("email", a, b, True) for a, b in _emails(t)] if "@" in t else []
     if _DIGIT.search(t):
         for m in _IP.finditer(t):
-            if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m.group().split(".")):
+            if all(len(p.lstrip("0")) < 4 and int(p.lstrip("0") or "0") <= 255 for p in m.group().split(".")):
                 out.append(Span("ip", *m.span(), True))
         for m in _CARD.finditer(t):
             d = m.group().replace(" ", "").replace("-", "")

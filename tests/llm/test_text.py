@@ -172,6 +172,12 @@ def test_expectation_maximisation_finds_the_reliable_labeler():
     assert ((p > 0.5) == truth).mean() > 0.93
 
 
+def test_addresses_of_many_zeros():
+    zeros = "0" * 5000
+    for t, n in ((f"{zeros}.1.2.3", 1), (f"1.2.{zeros}255.3", 1), (f"1.2.{zeros}256.3", 0)):
+        assert sum(s.kind == "ip" for s in pii.base_spans(t)) == n
+
+
 def test_loose_emails_do_not_need_another_cue():
     for a in ("(at)", "[at]", "( at)", "(at )", "( at )", "[at)", "( at]", "[ at ]"):
         assert [s.kind for s in pii.candidates(f"jo {a} host.com")] == ["email"], a
