@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapline.llm import bestfit, bitpack, html_mincut, kneser_ney, ngram_join, pfair, pii, quality_rules, syncmer, token_count
+from snapline.llm import (
+    bestfit, bitpack, html_mincut, importance, kneser_ney, ngram_join, pfair, pii, quality_rules, syncmer, token_count,
+    toxicity, vector_codes)
 from snapline.llm.common import scratch, table, text_of, tokenizer_path
 
 
@@ -78,6 +80,25 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bestfit.best_fit_pack(docs, tokenizer_path("byte_bpe_50k.json"), "byte", 2)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of all embeddings, their errors, and the digest of the codebooks."""
+    return vector_codes.compress(table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"))
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document, drawn to look like the benchmark."""
+    return importance.resample(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                               table(spark, sf_dir, "benchmark").select("text")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.classify(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic")).select(
+        "doc_id", "held_out", "score", "predicted")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of corpus_pipeline.py over the documents."""
     import corpus_pipeline
@@ -95,9 +116,43 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_mincut": op8_html_mincut,
     "op9_quality_cascade": op9_quality_cascade,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_importance": op12_importance,
+    "op13_toxicity": op13_toxicity,
     "pipeline": pipeline,
 }
 
+def _vector_codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """The codebook rounds written out, one pair of steps each: nearest entries, new entries."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS (
+  SELECT id, p, arg_min(j, (d, j)) AS j, min(d) AS d FROM (
+    SELECT v.id, v.p, c.j, list_sum(list_transform(v.x, lambda q, i: (q - c.x[i]) * (q - c.x[i]))) AS d
+    FROM v JOIN c{r} c ON c.p = v.p) GROUP BY id, p)""")
+        if r < rounds:
+            steps.append(f"""c{r + 1} AS (
+  SELECT c.p, c.j, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN (
+    SELECT p, j, list(y ORDER BY i) AS x FROM (
+      SELECT v.p, a.j, u.i, CAST((sum(v.x[u.i]) - ((sum(v.x[u.i]) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS y
+      FROM v JOIN a{r} a USING (id, p), unnest(range(1, len(v.x) + 1)) AS u(i) GROUP BY v.p, a.j, u.i)
+    GROUP BY p, j) m ON m.p = c.p AND m.j = c.j)""")
+    body = ",\n".join(steps)
+    return f"""
+WITH k AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS id, vec_id, label,
+                  list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+           FROM embeddings WHERE embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+v AS (SELECT id, p, x[p * len(x) // {parts} + 1:(p + 1) * len(x) // {parts}] AS x FROM k, unnest(range({parts})) AS r(p)),
+c0 AS (SELECT p, id AS j, x FROM v WHERE id < {entries}),
+{body},
+book AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, j)) AS h FROM c{rounds}),
+e AS (SELECT id, string_agg(printf('%02x', j), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+      FROM a{rounds} GROUP BY id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM k JOIN e USING (id), book"""
+
+
 # The others rest on tokenizers, trained models, hashes or graph search; tests hold them against
 # brute force.
 ORACLE: dict[str, str] = {"op1_ngram_join": r"""
@@ -139,4 +194,37 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR len(list_filter(ws, lambda x: x = upper(x) AND x <> lower(x))) > 0.5::DOUBLE * n_words
             OR len(list_distinct(ws)) < 0.05::DOUBLE * n_words
             OR len(regexp_extract_all(t, '\.\.\.|…')) > 0.3::DOUBLE * n_lines + 10) AS kept
-FROM b"""}
+FROM b""",
+    "op11_vector_codes": _vector_codes_sql(),
+    "op12_importance": r"""
+WITH RECURSIVE t AS (
+  SELECT 0 AS side, doc_id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+w AS (SELECT side, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM t),
+f AS (SELECT side, doc_id, unnest(ws || list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS g FROM w),
+u AS (SELECT g, hex(encode(g)) AS h, octet_length(encode(g)) AS n FROM (SELECT DISTINCT g FROM f)),
+longest AS (SELECT max(n) AS n FROM u),
+byte AS (SELECT i AS b, list_reduce(list_prepend(i, range(8)), lambda c, k:
+              CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) AS r(i)),
+ahead AS (SELECT 0 AS d, b, v FROM byte
+          UNION ALL SELECT d + 1, a.b, xor(a.v >> 8, byte.v) FROM ahead a JOIN byte ON byte.b = a.v & 255
+          WHERE d + 1 < (SELECT n FROM longest)),
+zeros AS (SELECT 0 AS n, CAST(4294967295 AS BIGINT) AS z
+          UNION ALL SELECT n + 1, xor(z >> 8, byte.v) FROM zeros JOIN byte ON byte.b = z & 255
+          WHERE n < (SELECT n FROM longest)),
+p AS (SELECT g, n, n - 1 - i AS d, CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT) AS b FROM u, unnest(range(n)) AS r(i)),
+k AS (SELECT g, xor(xor(x, z), 4294967295) % 10000 AS bucket
+      FROM (SELECT g, any_value(n) AS n, bit_xor(v) AS x FROM p JOIN ahead USING (d, b) GROUP BY g) JOIN zeros USING (n)),
+fb AS (SELECT side, doc_id, bucket FROM f JOIN k USING (g)),
+n AS (SELECT bucket, count(*) FILTER (side = 0) AS s, count(*) FILTER (side = 1) AS t FROM fb GROUP BY bucket),
+g AS (SELECT bucket, CAST(floor(1000 * ln(CAST((t + 1) * ((SELECT sum(s) FROM n) + 10000) AS DOUBLE)
+                                          / CAST((s + 1) * ((SELECT sum(t) FROM n) + 10000) AS DOUBLE))) AS BIGINT) AS gain FROM n),
+d AS (SELECT doc_id, count(*) AS n, sum(gain) AS total FROM fb JOIN g USING (bucket) WHERE side = 0 GROUP BY doc_id),
+x AS (SELECT w.doc_id, len(ws) AS words, coalesce(n, 0) AS n_features, coalesce(CAST(floor(total / n) AS BIGINT), 0) AS weight,
+             CAST('0x' || substr(sha256('7:' || w.doc_id), 1, 8) AS BIGINT) AS h
+      FROM w LEFT JOIN d USING (doc_id) WHERE side = 0),
+y AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM x),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM y WHERE words >= 20)
+SELECT y.doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score,
+       CASE WHEN place <= 25 * n // 100 THEN place END AS rank
+FROM y LEFT JOIN r USING (doc_id)"""}
