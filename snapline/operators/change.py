@@ -3,6 +3,7 @@
 C1 ``changes_vs_state``  faithful: every batch row against the state before the batch.
 C2 ``changes_as_of``     each row not yet stored against its predecessor by cycle in stored
                          history + batch, and against the look-back of its own cycle; replay-safe.
+``changes_in_one_pass``  the same for a batch of any span.
 ``changes_sequential``   C2 over one self-contained input (no stored history).
 """
 
@@ -13,7 +14,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from snapline.operators.sequence import with_neighbor
+from snapline.operators.sequence import asof_join, with_neighbor
+from snapline.operators.spacing import _cut, spaced
 from snapline.spec import FeedSpec
 
 
@@ -116,6 +118,58 @@ def changes_as_of(batch: DataFrame, history: DataFrame, spec: FeedSpec,
     return out.unionByName(_outlived(inside, before, spec, hi, lookback_days, cols))
 
 
+def changes_in_one_pass(batch: DataFrame, history: DataFrame, spec: FeedSpec, lookback_days: int | None = -1,
+                        bounds: tuple | None = None) -> DataFrame:
+    """C2/C5 for a batch of any span: the rows that :func:`changes_as_of` gives for consecutive
+    batches, in a number of jobs that does not grow with the look-backs the batch spans.
+
+    Stored rows, rows without a predecessor and rows that differ from it start a run. Inside a
+    run nothing changes, so only rows past the look-back of the run's start can be kept; they are
+    few in a feed that changes, and :func:`spaced` chooses among them.
+    """
+    if lookback_days == -1:
+        lookback_days = spec.lookback_days
+    lo, hi = bounds or batch_bounds(batch, spec)
+    if lo is None:
+        return batch
+    from snapline.operators.state import latest_per_key
+    keys, cycle = spec.keys, F.col(spec.cycle)
+    narrow = [*keys, spec.cycle, *spec.compared]
+    window = history_window(history, spec, lo, hi, lookback_days)
+    within = window.filter((F.col(spec.date_col) >= F.lit(lo.date())) & (cycle >= F.lit(lo))).select(*narrow)
+    before = latest_per_key(window.filter(cycle < F.lit(lo)).select(*narrow), keys, spec.cycle, narrow).select(*narrow)
+    fresh = batch.filter(cycle.isNotNull()).join(within.select(*keys, spec.cycle), keys + [spec.cycle], "left_anti")
+    return derive(fresh, within.unionByName(before), spec, lookback_days).unionByName(batch.filter(cycle.isNull()))
+
+
+def derive(fresh: DataFrame, given: DataFrame, spec: FeedSpec, lookback_days: int | None) -> DataFrame:
+    """Rows of ``fresh`` to keep, beside ``given`` rows (key, cycle, compared columns) that are
+    kept already; both have cycles, and no (key, cycle) twice."""
+    keys, cycle = spec.keys, F.col(spec.cycle)
+    narrow = [*keys, spec.cycle, *spec.compared]
+    u = (fresh.select(*narrow).withColumn("_fresh", F.lit(True))
+         .unionByName(given.select(*narrow).withColumn("_fresh", F.lit(False))))
+    x = with_neighbor(u, keys, spec.cycle, list(spec.compared), buckets=spec.buckets, name="_prev").select(
+        *keys, spec.cycle, "_fresh",
+        (~F.col("_fresh") | _null_key(keys) | differs(spec.compared, "_prev")).alias("_start"))
+    if lookback_days is None:
+        chosen = x.filter("_fresh and _start").select(*keys, spec.cycle)
+    else:
+        reach = F.expr(f"INTERVAL {int(lookback_days)} DAYS")
+        x = _cut(x, "change-runs")
+        runs = asof_join(x.filter(~F.col("_start")), x.filter("_start").select(*keys, F.col(spec.cycle).alias("_run")),
+                         keys, spec.cycle, "_run", [], buckets=spec.buckets, name="_began")
+        late = _cut(runs.withColumn("_run", F.col("_began._run")).filter(cycle > F.col("_run") + reach)
+                    .select(*keys, "_run", spec.cycle), "change-outlived")
+        chosen = x.filter("_fresh and _start").select(*keys, spec.cycle)
+        if not late.isEmpty():
+            again = spaced(late, [*keys, "_run"], spec.cycle, cycle + reach + F.expr("INTERVAL 1 MICROSECOND"),
+                           block_seconds=max(4 * 86400 * max(1, lookback_days), max(spec.buckets)))
+            chosen = chosen.unionByName(again.select(*keys, spec.cycle))
+    chosen = chosen.withColumnsRenamed({c: f"_c_{c}" for c in [*keys, spec.cycle]})
+    return fresh.join(chosen, [F.col(c).eqNullSafe(F.col(f"_c_{c}")) for c in [*keys, spec.cycle]], "left_semi")
+
+
 def _outlived(inside: DataFrame, before: DataFrame, spec: FeedSpec, hi: datetime, days: int,
               cols: list[str]) -> DataFrame:
     """Unchanged rows to keep because their key's last kept row has left the look-back: per

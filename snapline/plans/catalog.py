@@ -16,7 +16,7 @@ from datetime import date, datetime
 
 from snapline.functions.cadence import Cadence, effective_interval, is_night, local_time
 from snapline.operators import audit, health, state
-from snapline.operators.cadence import expected_cycles, thin
+from snapline.operators.cadence import expected_cycles, thin, thin_by_gap
 from snapline.operators.change import changes_as_of, changes_vs_state
 from snapline.operators.merge import insert_only
 from snapline.operators.retention import expired_partitions
@@ -218,6 +218,11 @@ def q_cadence_thin(spark, sf):
     return thin(e, ["user_id"], "ts", THIN_CADENCE)
 
 
+def q_cadence_gap(spark, sf):
+    e = table(spark, sf, "events").select("user_id", "ts", "event_id")
+    return thin_by_gap(e, ["user_id"], "ts", THIN_CADENCE)
+
+
 def q_expected_cycles(spark, sf):
     days = table(spark, sf, "events").select(F.to_date("ts").alias("day")).distinct()
     return expected_cycles(days, "day", FEED_CADENCE)
@@ -379,6 +384,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "night_flag": q_night_flag,
     "effective_interval": q_effective_interval,
     "cadence_thin": q_cadence_thin,
+    "cadence_gap": q_cadence_gap,
     "expected_cycles": q_expected_cycles,
     "freshness_status": q_freshness_status,
     "partition_lag": q_partition_lag,

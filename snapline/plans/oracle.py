@@ -267,6 +267,20 @@ s AS (SELECT *, CAST(floor(epoch_us(ts) / (iv * 1000000.0)) AS BIGINT) AS slot F
 SELECT user_id, night, slot, min(ts) AS ts, arg_min(event_id, ts) AS event_id
 FROM s GROUP BY user_id, night, slot"""
 
+# Row by row: each row is kept when the interval in force at the last kept row has passed.
+ORACLE["cadence_gap"] = f"""
+WITH RECURSIVE n AS (
+  SELECT user_id, ts, event_id, {_NIGHT} AS night,
+         CASE WHEN {_NIGHT} THEN CAST(21600 * 4.0 AS INTEGER) ELSE 21600 END AS iv,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts) AS i FROM events),
+f AS (
+  SELECT user_id, i, ts + to_seconds(iv) AS due, TRUE AS keep FROM n WHERE i = 1
+  UNION ALL
+  SELECT n.user_id, n.i, CASE WHEN n.ts >= f.due THEN n.ts + to_seconds(n.iv) ELSE f.due END, n.ts >= f.due
+  FROM f JOIN n ON n.user_id = f.user_id AND n.i = f.i + 1)
+SELECT n.user_id, n.ts, n.night, n.iv AS interval_seconds, n.event_id
+FROM n JOIN f ON f.user_id = n.user_id AND f.i = n.i WHERE f.keep"""
+
 _MNIGHT = _NIGHT.replace("ts", "minute")
 ORACLE["expected_cycles"] = f"""
 WITH days AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events),

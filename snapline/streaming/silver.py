@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from snapline.operators.change import batch_bounds, changes_as_of, changes_vs_state
+from snapline.operators.change import batch_bounds, changes_as_of, changes_in_one_pass, changes_vs_state
 from snapline.operators.dedup import dedup_earliest
 from snapline.operators.envelope import apply_types, split_malformed
 from snapline.operators.merge import BATCH_COL, history_schema, insert_only, read_history, write_history
@@ -52,8 +52,7 @@ def load_batch(raw: DataFrame, path: str, batch_id: str, spec: FeedSpec = STATIO
                on_malformed: str = KEEP, quarantine: str | None = None) -> int:
     """Load one raw batch into the history at ``path``; returns rows inserted.
 
-    ``mode="asof"`` (C2): replay-safe, order-correct within the batch. A batch that spans
-    more than the look-back is loaded in slices of that length, each under its own id.
+    ``mode="asof"`` (C2): replay-safe, order-correct within the batch, which may span any time.
     ``mode="faithful"`` (C1): every batch row against the newest stored state per key
     (look-back from ``as_of``, default the batch's first cycle, no upper bound, as the
     reference does), then insert-only on ``(key, cycle)`` for the batch's dates. Replaying
@@ -79,29 +78,21 @@ def load_batch(raw: DataFrame, path: str, batch_id: str, spec: FeedSpec = STATIO
         step = None if lookback_days is None else timedelta(days=lookback_days)
         if step is None or hi - lo <= step:
             return _slice_as_of(batch, (lo, hi), path, schema, batch_id, spec, lookback_days, clock)
-        n, written = 0, 0
-        while lo <= hi:
-            end = lo + step
-            part = batch.filter((F.col(spec.cycle) >= F.lit(lo)) & (F.col(spec.cycle) < F.lit(end)))
-            if n == 0:
-                part = part.unionByName(batch.filter(F.col(spec.cycle).isNull()))
-            written += _slice_as_of(part, (lo, min(end, hi)), path, schema, f"{batch_id}-s{n:05d}", spec,
-                                    lookback_days, clock, whole=batch_id)
-            lo, n = end, n + 1
-        return written
+        hist = read_history(batch.sparkSession, path, schema, spec, exclude_batch=batch_id,
+                            since=(lo - step).date(), until=hi.date())
+        rows = changes_in_one_pass(batch, hist.drop(STAMP, BATCH_COL), spec, lookback_days, bounds=(lo, hi))
+        return write_history(rows, path, spec, batch_id, as_of=clock())
     finally:
         batch.unpersist()
 
 
 def _slice_as_of(batch: DataFrame, bounds: tuple, path: str, schema: T.StructType, batch_id: str,
-                 spec: FeedSpec, lookback_days: int | None, clock: Callable, whole: str | None = None) -> int:
+                 spec: FeedSpec, lookback_days: int | None, clock: Callable) -> int:
     """Only the date folders the look-back can reach are listed and read."""
     lo, hi = bounds
     start = None if lookback_days is None else (lo - timedelta(days=lookback_days)).date()
     hist = read_history(batch.sparkSession, path, schema, spec, exclude_batch=batch_id, since=start,
                         until=hi.date())
-    if whole is not None:       # a retry must not see what its later slices wrote the first time
-        hist = hist.filter(~(F.col(BATCH_COL).startswith(f"{whole}-s") & (F.col(BATCH_COL) >= F.lit(batch_id))))
     rows = changes_as_of(batch, hist.drop(STAMP, BATCH_COL), spec, lookback_days, bounds=bounds)
     return write_history(rows, path, spec, batch_id, as_of=clock())
 
