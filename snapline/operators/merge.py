@@ -133,36 +133,65 @@ def partition_dirs(spark: SparkSession, path: str, column: str) -> list[tuple[st
     return out
 
 
+def replace_dates(rows: DataFrame, path: str, spec: FeedSpec, dates: list[date], batch_id: str) -> None:
+    """Make ``rows`` the whole content of the history's ``dates``, under one batch folder a date.
+
+    The new folders are written beside the table (``<path>/_swap/<batch_id>``, hidden from
+    readers); once all of them stand, a marker says so, and only then date after date is swapped:
+    the old folder is renamed out of the table, the new one into it. A date is never read twice
+    over. A job that dies before the marker has changed nothing; one that dies after it is
+    finished by :func:`finish_swaps`, which every load that replaces dates runs first.
+    """
+    spark = rows.sparkSession
+    stage = f"{path.rstrip('/')}/_swap/{batch_id}"
+    fs, root = _fs(spark, stage)
+    fs.delete(root, True)
+    staged = rows.withColumn(BATCH_COL, F.lit(batch_id))
+    layout(staged, spec).write.partitionBy(spec.date_col, BATCH_COL).parquet(stage)
+    for d in dates:                                # a date left without rows is swapped for an empty one
+        fs.mkdirs(_fs(spark, f"{stage}/{spec.date_col}={d}")[1])
+    fs.create(_fs(spark, f"{stage}/_ready")[1], True).close()
+    finish_swaps(spark, path, spec)
+
+
+def finish_swaps(spark: SparkSession, path: str, spec: FeedSpec) -> None:
+    """Complete the swaps of :func:`replace_dates` that were ready, and drop those that were not."""
+    fs, root = _fs(spark, f"{path.rstrip('/')}/_swap")
+    if not fs.exists(root):
+        return
+    for st in fs.listStatus(root):
+        stage = st.getPath().toString()
+        if fs.exists(_fs(spark, f"{stage}/_ready")[1]):
+            for value, full in partition_dirs(spark, stage, spec.date_col):
+                live = f"{path.rstrip('/')}/{spec.date_col}={value}"
+                old = _fs(spark, f"{stage}/_old-{value}")[1]
+                # A swap that died between its renames left the old folder out already.
+                if fs.exists(_fs(spark, live)[1]) and not fs.exists(old):
+                    fs.rename(_fs(spark, live)[1], old)
+                fs.rename(_fs(spark, full)[1], _fs(spark, live)[1])
+                fs.delete(old, True)
+        fs.delete(st.getPath(), True)
+    fs.delete(root, True)
+
+
 def compact_dates(spark: SparkSession, path: str, schema: T.StructType, spec: FeedSpec,
                   dates: list[date]) -> int:
     """Rewrite each closed date's per-batch folders as one folder ``batch_id=compact``.
 
     One write covers all the dates: their rows are deduplicated on ``(key, cycle)``
-    (stored copies are identical), so a compaction interrupted between the write and
-    the folder swap is repaired by running it again. Then, per date, the old batch
-    folders are removed and the new folder takes the name ``compact``. Between the write
-    and the swap of a date a reader sees its rows twice, so compact closed dates while
-    nothing reads them. Returns the rows in the compacted dates.
+    (stored copies are identical), then the dates are swapped (see :func:`replace_dates`): no
+    reader sees a row twice, and an interrupted compaction is finished by the next one.
+    Returns the rows in the compacted dates.
     """
     from snapline.operators.dedup import dedup_earliest
     if not dates:
         return 0
+    finish_swaps(spark, path, spec)
     rows = read_history(spark, path, schema, spec, since=min(dates), until=max(dates)) \
         .filter(F.col(spec.date_col).isin(list(dates)))
     cols = [c for c in rows.columns if c != BATCH_COL]
     one = dedup_earliest(rows.select(*cols), spec.keys + [spec.cycle], [])
-    staged = one.withColumn(BATCH_COL, F.lit("compact-new"))
-    (layout(staged, spec).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(spec.date_col, BATCH_COL).parquet(path))
-    for d in dates:
-        day_dir = f"{path.rstrip('/')}/{spec.date_col}={d}"
-        fresh = f"{day_dir}/{BATCH_COL}=compact-new"
-        fs, fresh_p = _fs(spark, fresh)
-        if not fs.exists(fresh_p):
-            continue
-        for value, full in partition_dirs(spark, day_dir, BATCH_COL):
-            if value != "compact-new":
-                fs.delete(_fs(spark, full)[1], True)
-        fs.rename(fresh_p, _fs(spark, f"{day_dir}/{BATCH_COL}=compact")[1])
+    stored = {value for value, _ in partition_dirs(spark, path, spec.date_col)}
+    replace_dates(one, path, spec, [d for d in dates if str(d) in stored], "compact")
     return read_history(spark, path, schema, spec, since=min(dates), until=max(dates)) \
         .filter(F.col(spec.date_col).isin(list(dates))).count()

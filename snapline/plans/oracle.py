@@ -442,34 +442,50 @@ f AS (
 SELECT {', '.join('d.' + c for c in SILVER_COLS.split(', '))}
 FROM dedup d JOIN f ON d.stationcode = f.stationcode AND d.request_timestamp = f.request_timestamp WHERE f.keep"""
 
-# The first batch meets an empty history, so all its rows are stored; the day's rows are compared
-# with the newest stored row of the 7 days before the day's first cycle.
+# Rows that arrive in any order leave the history of the feed in order.
+ORACLE["late_rows"] = ORACLE["stream_silver"]
+
+# The first batch meets an empty history, so all its rows are stored; every row of the day, and
+# then of the rest, is compared with the newest stored row of the 7 days before its batch's first cycle.
+_OWN = ", ".join("b." + c for c in SILVER_COLS.split(", "))
 ORACLE["silver_faithful"] = "WITH " + DEDUP + f""",
-lo AS (SELECT min(request_timestamp) AS lo FROM dedup WHERE request_date = DATE '2024-01-20'),
-last AS (SELECT * EXCLUDE (rn) FROM (
-  SELECT d.*, ROW_NUMBER() OVER (PARTITION BY stationcode ORDER BY request_timestamp DESC) AS rn FROM dedup d, lo
-  WHERE request_timestamp < {BATCH} AND request_timestamp >= lo.lo - INTERVAL 7 DAY) WHERE rn = 1)
-SELECT {SILVER_COLS} FROM dedup WHERE request_timestamp < {BATCH}
-UNION ALL
-SELECT {', '.join('b.' + c for c in SILVER_COLS.split(', '))}
-FROM dedup b LEFT JOIN last l ON b.stationcode = l.stationcode
-WHERE b.request_date = DATE '2024-01-20' AND (l.stationcode IS NULL OR {_differs('b', 'l')})"""
-
-# Three daily loads: per row the predecessor among the good rows of these days (they span less than the
-# look-back). Damaged rows have neither key nor cycle; the two kept days store the earliest copy of them.
-ORACLE["silver_malformed"] = "WITH " + TYPED.replace("FROM avail", "FROM avail WHERE event_type != 'error' "
-    "AND kafka_timestamp >= TIMESTAMP '2024-01-10' AND kafka_timestamp < TIMESTAMP '2024-01-13'") + f""",
-dedup AS (SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY stationcode, request_timestamp
-            ORDER BY kafka_timestamp, name) AS rn FROM typed) WHERE rn = 1),
-lagged AS (SELECT *, {_lag_cols('stationcode', 'request_timestamp')},
-                  LAG(request_timestamp) OVER (PARTITION BY stationcode ORDER BY request_timestamp) AS p_ts FROM dedup),
-bad AS (SELECT ts FROM events WHERE event_type = 'error' AND ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-13')
-SELECT stationcode, request_timestamp, kafka_timestamp, request_date, 'stored' AS place FROM lagged
-WHERE p_ts IS NULL OR {_lag_differs()}
+s0 AS (SELECT {SILVER_COLS} FROM dedup WHERE request_timestamp < {BATCH}),
+day AS (SELECT * FROM dedup WHERE request_date = DATE '2024-01-20'),
+rest AS (SELECT * FROM dedup WHERE request_date > DATE '2024-01-20'),
+last0 AS (SELECT * EXCLUDE (rn) FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY stationcode ORDER BY request_timestamp DESC) AS rn FROM s0
+  WHERE request_timestamp >= (SELECT min(request_timestamp) FROM day) - INTERVAL 7 DAY) WHERE rn = 1),
+s1 AS (SELECT * FROM s0 UNION ALL
+       SELECT {_OWN} FROM day b LEFT JOIN last0 l ON b.stationcode = l.stationcode
+       WHERE l.stationcode IS NULL OR {_differs('b', 'l')}),
+last1 AS (SELECT * EXCLUDE (rn) FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY stationcode ORDER BY request_timestamp DESC) AS rn FROM s1
+  WHERE request_timestamp >= (SELECT min(request_timestamp) FROM rest) - INTERVAL 7 DAY) WHERE rn = 1)
+SELECT * FROM s1 UNION ALL
+SELECT {_OWN} FROM rest b LEFT JOIN last1 l ON b.stationcode = l.stationcode
+WHERE l.stationcode IS NULL OR {_differs('b', 'l')}"""
+
+# Loads of ten days: the good rows of all of them are filtered row by row with the look-back; damaged
+# ones have neither key nor cycle, and a load that keeps them stores the earliest copy of them.
+ORACLE["silver_malformed"] = "WITH RECURSIVE " + DEDUP.replace("FROM avail", "FROM avail WHERE event_type != 'error'") + f""",
+n AS (SELECT stationcode, request_timestamp, {_VALS} AS v,
+             ROW_NUMBER() OVER (PARTITION BY stationcode ORDER BY request_timestamp) AS i FROM dedup),
+f AS (
+  SELECT stationcode, request_timestamp, i, v AS kept_v, request_timestamp AS kept_at, TRUE AS keep FROM n WHERE i = 1
+  UNION ALL
+  SELECT n.stationcode, n.request_timestamp, n.i, n.v,
+         CASE WHEN n.v IS DISTINCT FROM f.kept_v OR f.kept_at < n.request_timestamp - INTERVAL 7 DAY
+              THEN n.request_timestamp ELSE f.kept_at END,
+         n.v IS DISTINCT FROM f.kept_v OR f.kept_at < n.request_timestamp - INTERVAL 7 DAY
+  FROM f JOIN n ON n.stationcode = f.stationcode AND n.i = f.i + 1),
+bad AS (SELECT ts, CAST(floor(date_diff('day', (SELECT min(CAST(ts AS DATE)) FROM events), CAST(ts AS DATE)) / 10) AS INTEGER) AS part
+        FROM events WHERE event_type = 'error')
+SELECT d.stationcode, d.request_timestamp, d.kafka_timestamp, d.request_date, 'stored' AS place
+FROM dedup d JOIN f ON d.stationcode = f.stationcode AND d.request_timestamp = f.request_timestamp WHERE f.keep
 UNION ALL
-SELECT NULL, NULL, min(ts), NULL, 'stored' FROM bad WHERE ts < TIMESTAMP '2024-01-12' GROUP BY CAST(ts AS DATE)
+SELECT NULL, NULL, min(ts), NULL, 'stored' FROM bad WHERE part % 3 = 0 GROUP BY part
 UNION ALL
-SELECT NULL, NULL, ts, NULL, 'quarantine' FROM bad WHERE ts >= TIMESTAMP '2024-01-12'"""
+SELECT NULL, NULL, ts, NULL, 'quarantine' FROM bad WHERE part % 3 = 1"""
 
 # A batch a day: batches and log offsets count the feed's days; every batch commits one file.
 ORACLE["checkpoint_offsets"] = """

@@ -22,6 +22,7 @@ from snapline.sources.logs import checkpoint_offsets, committed_files
 from snapline.sources.raw import read_raw
 from snapline.spec import STATION_SPEC
 from snapline.streaming.jobs import run_available
+from snapline.streaming.repair import load_with_repair
 from snapline.streaming.silver import load_batch, silver_sink
 from snapline.sources.feed import open_feed
 from snapline.plans.derived import landed_messages
@@ -106,31 +107,51 @@ def q_stream_silver(spark: SparkSession, sf: str) -> DataFrame:
     return _silver(spark, f"{root}/silver").select(*SILVER_OUT)
 
 
+LATE_BATCHES = 3
+
+
+def q_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole feed in batches that a hash of the row deals out, so that most rows come
+    late; each load repairs what it touches. The history equals that of the feed in order."""
+    root = _scratch(spark, "late-rows")
+    feed = avail(spark, sf).withColumn("_in", F.pmod(F.xxhash64("stationcode", "kafka_timestamp"), F.lit(LATE_BATCHES)))
+    for i in range(LATE_BATCHES):
+        load_with_repair(feed.filter(F.col("_in") == i).drop("_in"), f"{root}/silver", f"{root}/landed", f"b{i}",
+                         lookback_days=LOOKBACK_DAYS)
+    return _silver(spark, f"{root}/silver").select(*SILVER_OUT)
+
+
 def q_silver_faithful(spark: SparkSession, sf: str) -> DataFrame:
-    """C1 load in two batches: everything before a day, then the day against the state stored."""
+    """C1 load of the whole feed in three batches: everything before a day, the day against the
+    state stored, and everything after it against the state stored then."""
     root = _scratch(spark, "silver-faithful")
     day = datetime(2024, 1, 20)
     feed = avail(spark, sf)
     cycle = F.col("request_timestamp")
     for i, part in enumerate((feed.filter(cycle < F.lit(day)),
-                              feed.filter((cycle >= F.lit(day)) & (cycle < F.lit(day + timedelta(days=1)))))):
+                              feed.filter((cycle >= F.lit(day)) & (cycle < F.lit(day + timedelta(days=1)))),
+                              feed.filter(cycle >= F.lit(day + timedelta(days=1))))):
         load_batch(part, f"{root}/silver", f"b{i}", mode="faithful", lookback_days=LOOKBACK_DAYS)
     return _silver(spark, f"{root}/silver").select(*SILVER_OUT)
 
 
 def q_silver_malformed(spark: SparkSession, sf: str) -> DataFrame:
-    """C3/S5 with damaged messages: error events decode to rows without any field. Three loads:
-    two days keep them (they are stored without a date), a third sends them to quarantine."""
+    """C3/S5 with damaged messages: error events decode to rows without any field. The whole feed
+    is loaded ten days at a time; one load keeps them (they are stored without a date), the next
+    sends them to quarantine, the next drops them, and so on."""
     root = _scratch(spark, "silver-malformed")
     src = avail(spark, sf, extra=("event_type",))
     m = encode_envelope(src, keep=["event_type"])
     bad = F.when(F.col("event_type") == "error", F.lit("not json")).otherwise(F.col("value"))
     d = decode_envelope(m.withColumn("value", bad)).withColumn("insert_timestamp", F.lit(None).cast("timestamp_ntz"))
-    for i, policy in enumerate(("keep", "keep", "quarantine")):
-        lo = datetime(2024, 1, 10 + i)
-        part = d.filter((F.col("kafka_timestamp") >= F.lit(lo)) & (F.col("kafka_timestamp") < F.lit(lo + timedelta(days=1))))
-        load_batch(part, f"{root}/silver", f"b{i}", lookback_days=LOOKBACK_DAYS, on_malformed=policy,
-                   quarantine=f"{root}/quarantine")
+    span = src.agg(F.min("kafka_timestamp").alias("lo"), F.max("kafka_timestamp").alias("hi")).first()
+    lo, i = datetime(span["lo"].year, span["lo"].month, span["lo"].day), 0
+    while lo <= span["hi"]:
+        end = lo + timedelta(days=10)
+        part = d.filter((F.col("kafka_timestamp") >= F.lit(lo)) & (F.col("kafka_timestamp") < F.lit(end)))
+        load_batch(part, f"{root}/silver", f"b{i:03d}", lookback_days=LOOKBACK_DAYS,
+                   on_malformed=("keep", "quarantine", "drop")[i % 3], quarantine=f"{root}/quarantine")
+        lo, i = end, i + 1
     stored = _silver(spark, f"{root}/silver").select("stationcode", "request_timestamp", "kafka_timestamp",
                                                      "request_date", F.lit("stored").alias("place"))
     q = spark.read.schema(RAW_SCHEMA).options(**RAW_JSON_OPTIONS).json(f"{root}/quarantine")
@@ -213,6 +234,7 @@ def q_raw_landing(spark: SparkSession, sf: str) -> DataFrame:
 STREAM_QUERIES = {
     "raw_landing": q_raw_landing,
     "stream_silver": q_stream_silver,
+    "late_rows": q_late_rows,
     "silver_faithful": q_silver_faithful,
     "silver_malformed": q_silver_malformed,
     "stream_resume": q_stream_resume,

@@ -38,6 +38,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+# The folder in use, by application: a running session's settings cannot be changed.
+_CHECKPOINT: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and scratch tables.
 
@@ -51,14 +55,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # no JVM context on this client (e.g. Spark Connect)
         sc = None
     if not d and sc is not None:
-        d = sc.getCheckpointDir()
+        d = _CHECKPOINT.get(sc.applicationId) or sc.getCheckpointDir()
     if not d:
         if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="snapline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if sc is not None:
+    if sc is not None and _CHECKPOINT.get(sc.applicationId) != d:
         sc.setCheckpointDir(d)
+        _CHECKPOINT[sc.applicationId] = d
     return d.rstrip("/")
 
 
@@ -105,10 +109,11 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     dest = f"{checkpoint_dir(spark)}/pyfiles-{sc.applicationId}/snapline.zip"
     path = sc._jvm.org.apache.hadoop.fs.Path(dest)
-    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path, True)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(path, True)
     try:
         out.write(bytearray(buf.getvalue()))
     finally:
         out.close()
-    sc.addPyFile(dest if ":" in dest else f"file://{dest}")
+    sc.addPyFile(fs.makeQualified(path).toString())
     _SHIPPED.add(sc.applicationId)
