@@ -11,9 +11,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from snapline.llm.common import NO_ID, _powers, batched, cut, mix64, small_batches, text_of
+from snapline.llm.common import NO_ID, _powers, batched, cut, mix64, partitions_for, small_batches, text_of
 
-K, S, SKETCH = 12, 5, 64
+TASK_BYTES = 64 << 20           # of text a task gets at most, about
+
+K, S = 12, 5
+DENSITY = (K - S + 1) // 2      # characters an anchor, about
+LEAST, TOP = 48, 4              # of a sample: anchors a shorter text keeps at least; one in 2**TOP of a long one
 
 
 def anchors(texts: list[str], k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -56,24 +60,100 @@ def anchors(texts: list[str], k: int = K, s: int = S) -> tuple[np.ndarray, np.nd
     return who, at - (end - size)[who], code
 
 
-def sketches(texts: list[str], keep: int = SKETCH) -> list[np.ndarray]:
-    """The ``keep`` smallest distinct anchor hashes of each text, 32 bits each, ascending."""
-    who, _, code = anchors(texts)
-    code = (code >> np.uint64(32)).astype(np.uint64)
-    both = np.unique((who.astype(np.uint64) << np.uint64(32)) | code)
-    cuts = np.searchsorted(both, np.arange(len(texts) + 1, dtype=np.uint64) << np.uint64(32))
-    both = both.astype(np.uint32)
-    return [both[a:min(b, a + keep)] for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
+def sketches(texts: list[str]) -> list[np.ndarray]:
+    """Fingerprint of each text, as 32-bit numbers: a 64-bit digest of all anchors and their
+    places, the level, then the hashes of the text's sample by place and the gaps between them.
+
+    The digest covers every anchor, so texts that differ in one differ in the fingerprint. The
+    sample holds the anchors whose hash begins with as many zero bits as the level: all of them
+    in short texts, one in 2**level in longer ones, where the level keeps about ``LEAST`` to twice
+    as many and stops at ``TOP``; from there on the sample grows with the text. Whether an anchor
+    is in it depends on its own characters alone, so shared passages have shared samples. The
+    empty text has an empty fingerprint.
+    """
+    who, at, code = anchors(texts)
+    order = np.lexsort((at, who))
+    who, at, code = who[order], at[order], code[order]
+    size = np.fromiter((len(t) for t in texts), np.int64, len(texts))
+    level = np.clip(np.floor(np.log2(np.maximum(size, 1) / (DENSITY * LEAST))), 0, TOP).astype(np.uint32)
+    first = np.searchsorted(who, np.arange(len(texts) + 1))
+    mixed = mix64(code + mix64(at.astype(np.uint64) + np.uint64(1)))
+    total = np.concatenate([[np.uint64(0)], np.cumsum(mixed, dtype=np.uint64)])
+    top = (code >> np.uint64(32)).astype(np.uint32)
+    keep = top.astype(np.uint64) < (np.uint64(1) << (np.uint64(32) - level[who].astype(np.uint64)))
+    out = []
+    for i, (a, b) in enumerate(zip(first.tolist(), first[1:].tolist())):
+        if a == b:
+            out.append(np.zeros(0, np.uint32))
+            continue
+        whole = int(total[b]) - int(total[a]) & (1 << 64) - 1
+        k = keep[a:b]
+        gaps = np.diff(at[a:b][k], prepend=0).astype(np.uint32)
+        out.append(np.concatenate([np.array([whole & 0xFFFFFFFF, whole >> 32, level[i]], np.uint32), top[a:b][k], gaps]))
+    return out
+
+
+def _sample(a: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and places of a fingerprint's sample at a level no lower than its own."""
+    n = (len(a) - 3) // 2
+    code, at = a[3:3 + n], np.cumsum(a[3 + n:].astype(np.int64))
+    k = code.astype(np.uint64) < np.uint64(1 << 32 - level)
+    return code[k], at[k]
 
 
-def likeness(a: np.ndarray, b: np.ndarray, keep: int = SKETCH) -> float:
-    """Estimated share of anchors two texts have in common: 1 for equal sketches, 0 when one
-    is empty and the other is not."""
-    x, y = set(a.tolist()), set(b.tolist())
-    if x == y:
+def _pairs(code_a: np.ndarray, code_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in both lists of equal hashes, the first with the first, the second with the second
+    and so on: as many pairs as both lists hold, never all combinations."""
+    def numbered(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(code, kind="stable")
+        s = code[order]
+        start = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, np.int64)
+        rank = np.arange(len(s)) - np.repeat(start, np.diff(np.concatenate([start, [len(s)]])))
+        return order, np.rec.fromarrays([s.astype(np.uint64), rank.astype(np.uint64)])
+
+    oa, ka = numbered(code_a)
+    ob, kb = numbered(code_b)
+    _, ia, ib = np.intersect1d(ka, kb, assume_unique=True, return_indices=True)
+    return oa[ia], ob[ib]
+
+
+def likeness(a: np.ndarray, b: np.ndarray) -> float:
+    """Share of the anchors of both samples (at the higher of both levels) that match by position:
+    equal hashes on a diagonal, that is at a distance of their places, that at least two pairs
+    have; of samples below four anchors every pair counts. 1 for equal fingerprints, 0 when
+    only one is empty or nothing matches."""
+    if len(a) == len(b) and (a == b).all():
         return 1.0
-    union = sorted(x | y)[:keep]
-    return sum(v in x and v in y for v in union) / len(union)
+    if not len(a) or not len(b):
+        return 0.0
+    level = int(max(a[2], b[2]))
+    code_a, at_a = _sample(a, level)
+    code_b, at_b = _sample(b, level)
+    if not len(code_a) or not len(code_b):
+        return 0.0
+    ia, ib = _pairs(code_a, code_b)
+    _, many = np.unique(at_a[ia] - at_b[ib], return_counts=True)
+    matched = int(many[many > 1].sum()) if min(len(code_a), len(code_b)) > 3 else int(many.sum())
+    # Samples can be alike where the digests, of all anchors, are not.
+    return min(matched / (len(code_a) + len(code_b) - matched), 1 - 1e-9)
+
+
+def shared_passages(x: str, y: str, least: int = 2, k: int = K) -> list[tuple[int, int, int]]:
+    """(place in ``x``, place in ``y``, characters) of passages that both texts hold, from runs of
+    at least ``least`` matching anchors, each starting within ``k`` of the one before on one diagonal."""
+    who, at, code = anchors([x, y])
+    a, b = who == 0, who == 1
+    ia, ib = _pairs(code[a], code[b])
+    pa, pb = at[a][ia], at[b][ib]
+    order = np.lexsort((pa, pa - pb))
+    pa, pb = pa[order], pb[order]
+    if not len(pa):
+        return []
+    new = np.concatenate([[True], (np.diff(pa - pb) != 0) | (np.diff(pa) > k)])
+    begin = np.flatnonzero(new)
+    end = np.concatenate([begin[1:], [len(pa)]]) - 1
+    return sorted((int(pa[i]), int(pb[i]), int(pa[j] - pa[i]) + min(k, len(x), len(y)))
+                  for i, j in zip(begin, end) if j - i + 1 >= least)
 
 
 ROWS = T.StructType([
@@ -148,7 +228,8 @@ def _close(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Per document its fingerprint, that of its edited text (the second half replaced by the
     beginning of the next document, descending by id; the last one's next is the first) and how
-    like its fingerprint is to the edited text's and to the next document's.
+    like its fingerprint is to the edited text's and to the next document's (see :func:`sketches`
+    and :func:`likeness`).
 
     One shuffle deals the texts out by ranges of (id, hash of the text) and sorts them; a task then streams
     its rows and holds one open document. Neighbours in different tasks meet through one head
@@ -157,7 +238,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     next one. No rows, no result. Columns other than ``doc_id`` and ``text`` are ignored.
     """
     small_batches(docs.sparkSession)
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length(text_of()))).first()[0] or 0
+    n = partitions_for(size, TASK_BYTES, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     down = F.col("doc_id").desc()
     dealt = (docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"),
                          text_of().alias("text"))

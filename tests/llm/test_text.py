@@ -70,6 +70,50 @@ def test_fingerprints_match_brute_force(spark):
     assert syncmer.fingerprints(df.limit(0)).count() == 0
 
 
+def test_long_texts_that_differ_in_a_passage(spark):
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), 6)) for _ in range(3000)]
+    for _ in range(10):
+        long = list(rng.choice(words, 20_000))
+        other = long[:]
+        at = int(rng.integers(0, 19_900))
+        other[at:at + 50] = rng.choice(words, 50)
+        x, y = syncmer.sketches([" ".join(long), " ".join(other)])
+        assert x.tobytes() != y.tobytes() and 0.97 < syncmer.likeness(x, y) < 1
+        z = syncmer.sketches([" ".join(rng.choice(words, 20_000))])[0]
+        assert syncmer.likeness(x, z) < 0.2
+    assert len(x) > 2 * 1500                                # the sample grows with the text
+    rows = [(1, " ".join(long)), (1, " ".join(other)), (2, " ".join(long))]
+    got = syncmer.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len({r["fingerprint"] for r in got}) == 2 and len(got) == 3
+
+
+def test_samples_by_brute_force():
+    texts = [PROSE * n for n in (1, 3, 9, 40)] + ["ab" * 3000, "short", "x" * 9]
+    who, at, code = syncmer.anchors(texts)
+    for i, (t, s) in enumerate(zip(texts, syncmer.sketches(texts))):
+        mine = sorted(zip(at[who == i].tolist(), code[who == i].tolist()))
+        level = min(4, max(0, math.floor(math.log2(len(t) / (4 * 48)))))
+        want = [(p, c >> 32) for p, c in mine if c >> 64 - level == 0] if level else [(p, c >> 32) for p, c in mine]
+        n = (len(s) - 3) // 2
+        assert s[2] == level and list(zip(np.cumsum(s[3 + n:]).tolist(), s[3:3 + n].tolist())) == want
+
+
+def test_passages_match_by_position():
+    rng = np.random.default_rng(9)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 5))
+    passage = " ".join(word() for _ in range(60))
+    x = " ".join(word() for _ in range(80)) + " " + passage
+    y = passage + " " + " ".join(word() for _ in range(40))
+    found = syncmer.shared_passages(x, y)
+    assert all(x[a:a + n] == y[b:b + n] for a, b, n in found)
+    assert max(n for _, _, n in found) > len(passage) - 30
+    assert syncmer.shared_passages("", y) == []
+    # Moved as a whole, a text stays like itself; a repeated one pairs in order, not in all ways.
+    a, b = syncmer.sketches([passage * 3, "head " + passage * 3])
+    assert syncmer.likeness(a, b) > 0.8
+
+
 # --- quality rules ----------------------------------------------------------------------
 
 def slow_measures(t):
