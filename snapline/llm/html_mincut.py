@@ -39,11 +39,21 @@ OUT_WORDS = frozenset(
     "promotion recommended related replies reply respond search share sharing sidebar signup skip "
     "social sponsor sponsored subscribe tags toolbar topbar widget widgets".split())
 IN_WORDS = frozenset("article body content entry main post story text".split())
+# Class names of what others wrote or sell; an article inside stays theirs.
+FIRM_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising comment comments consent cookie cookies discussion disqus "
+    "gdpr promo promotion recommended related replies reply respond sponsor sponsored".split())
+FIRM_TAGS = frozenset("nav aside footer button menu dialog".split())
+# Evidence of an element fades by this factor with every element it is nested deeper.
+FADE = 0.9
+# A wrapper with at least this share of a page's unlinked text is the page, whatever its class says.
+WRAPPER = 0.6
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|"
                     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
-_ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_READ = frozenset("class id role hidden aria-hidden style".split())
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _NAME = re.compile(r"[a-z]+")
 
@@ -53,9 +63,13 @@ class Element:
     tag: str
     depth: int
     parent: "Element | None"
-    side: int = 0           # nearest evidence: 1 content, -1 boilerplate, 0 none
-    out: bool = False       # inside something that is never main text
+    out: bool = False       # inside something set apart from the text around it
+    firm: bool = False      # by a tag or a name that an article inside does not undo
+    hidden: bool = False
+    own: float | None = None    # its own evidence: 1 main text, -1 boilerplate, None none
+    loose: bool = False     # that evidence is a class name or a form: a wrapper may have it too
     hint: int = 0           # weak evidence of class names
+    lean: float = 0.0       # evidence for what is inside: its own, or its parent's, faded
 
 
 @dataclass
@@ -71,47 +85,86 @@ def _names(raw: str) -> list[str]:
 
 
 def _open(tag: str, attrs: str, parent: Element | None) -> Element:
-    e = Element(tag, parent.depth + 1 if parent else 0, parent,
-                parent.side if parent else 0, parent.out if parent else False)
-    if tag in IN_TAGS:
-        e.side = 1
-    if tag in OUT_TAGS or tag == "header" and e.side <= 0:
-        e.out = True
-    if not attrs or tag in ("html", "body"):
-        return e
-    for name, a, b, c in _ATTR.findall(attrs):
+    e = Element(tag, parent.depth + 1 if parent else 0, parent)
+    if parent:
+        e.out, e.firm, e.hidden, e.lean = parent.out, parent.firm, parent.hidden, parent.lean
+    content = tag in IN_TAGS
+    found: list[tuple[float, bool, bool]] = []          # evidence, firm, loose
+    if tag in OUT_TAGS:
+        found.append((-1.0, tag in FIRM_TAGS, tag not in FIRM_TAGS))
+    elif tag == "header" and e.lean <= 0:
+        found.append((-1.0, False, False))
+    for name, a, b, c in _ATTR.findall(attrs) if attrs and tag not in ("html", "body") else ():
         name, value = name.lower(), a or b or c
+        if name not in _READ:
+            continue
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            e.out = True
+            e.hidden = True
         elif name == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                e.out = True
+                e.hidden = True
         elif name == "role":
             if value.lower() in OUT_ROLES:
-                e.out = True
+                found.append((-1.0, value.lower() != "form", False))
             elif value.lower() in IN_TAGS:
-                e.side = 1
+                content = True
         elif name in ("class", "id"):
             for one in value.split():
                 words = _names(one)
                 bad = [w for w in words if w in OUT_WORDS]
                 good = [w for w in words if w in IN_WORDS]
-                if bad and words and words[0] in OUT_WORDS and not good:
-                    e.out = True            # the name begins with what the element is
+                # The name begins with what the element is; an article's must say nothing else.
+                if bad and words[0] in OUT_WORDS and not good and (len(bad) == len(words) or not content):
+                    found.append((-1.0, any(w in FIRM_WORDS for w in bad), True))
                 elif bad and not good:
-                    e.side = min(e.side, 0) - 1 if e.side <= 0 else -1
+                    if not content:
+                        found.append((-0.5, False, True))
                     e.hint -= 1
                 elif good and not bad:
                     e.hint += 1
-    e.side = max(-1, min(1, e.side))
+    if found:
+        e.own = min(v for v, _, _ in found)
+        e.firm = e.firm or any(f for _, f, _ in found)
+        e.loose = all(l for _, _, l in found)
+    elif content and not e.firm:
+        e.own, e.out = 1.0, False
+    if e.own == -1.0 or e.hidden:
+        e.out = True
+    e.lean = e.own if e.own is not None else (parent.lean * FADE if parent else 0.0)
     return e
 
 
+def _settle(elements: list[Element], blocks: list[Block]) -> None:
+    """Evidence of every element once the whole page is known: that of a wrapper by a class name
+    or a form is left out when most of the page's unlinked text is inside and no article is
+    outside of it. Elements come parents first."""
+    number = {id(e): i for i, e in enumerate(elements)}
+    mass = [0] * len(elements)
+    held = [0] * len(elements)                          # of it in articles
+    for b in blocks:
+        if not b.element.hidden:
+            mass[number[id(b.element)]] += max(0, sum(map(len, b.parts)) - b.linked)
+    for i in range(len(elements) - 1, 0, -1):
+        up = number[id(elements[i].parent)]
+        if elements[i].own == 1.0:
+            held[i] = mass[i]
+        mass[up] += mass[i]
+        held[up] += held[i]
+    for i, e in enumerate(elements):
+        own = e.own
+        if (own is not None and own < 0 and e.loose and not e.firm and mass[i] >= WRAPPER * max(1, mass[0])
+                and held[i] == held[0]):
+            own = None
+        e.lean = own if own is not None else (e.parent.lean * FADE if e.parent else 0.0)
+
+
 def blocks_of(page: str) -> list[Block]:
     """The page's text blocks in order, white space folded, empty ones left out. Unclosed and
     crossed elements are closed as a browser would; a page cut off in a tag ends before it."""
     root = Element("html", 0, None)
     stack = [root]
+    elements = [root]
+    opened: Counter = Counter()                         # open elements by tag
     out: list[Block] = []
     current: Block | None = None
     links = 0
@@ -138,6 +191,7 @@ def blocks_of(page: str) -> list[Block]:
     def close(i: int) -> None:
         nonlocal links, current
         for e in stack[i:]:
+            opened[e.tag] -= 1
             if e.tag == "a":
                 links -= 1
             if e.tag in BLOCK or e.out and not (e.parent and e.parent.out):
@@ -167,9 +221,8 @@ def blocks_of(page: str) -> list[Block]:
         if not tag:
             continue
         if m.group(1):
-            i = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-            if i:
-                close(i)
+            if opened[tag]:
+                close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag))
             elif tag in BLOCK:
                 current = None
             continue
@@ -183,12 +236,10 @@ def blocks_of(page: str) -> list[Block]:
             elif tag == "br":
                 text(" ")
             continue
-        if tag in CLOSES_P:
-            i = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p"), 0)
-            if i:
-                close(i)
-        if tag in SAME:
-            group = SAME[tag].split()
+        if tag in CLOSES_P and opened["p"]:
+            close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p"))
+        group = SAME[tag].split() if tag in SAME else []
+        if any(opened[g] for g in group):
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag in group:
                     close(i)
@@ -200,9 +251,12 @@ def blocks_of(page: str) -> list[Block]:
             current = None
         if tag == "a":
             links += 1
+        opened[tag] += 1
+        elements.append(e)
         stack.append(e)
     for b in out:
         b.text = " ".join("".join(b.parts).split())
+    _settle(elements, out)
     return [b for b in out if b.text]
 
 
@@ -218,9 +272,10 @@ def features(b: Block, place: float) -> list[str]:
             f"place={int(place * 5) if place < 1 else 4}", f"depth={min(b.element.depth, 9) // 3}"]
 
 
-def seed(b: Block) -> int:
-    """Label by structure alone: 1 main text, -1 boilerplate, 0 unknown."""
-    return -1 if b.element.out else b.element.side
+def seed(b: Block) -> float:
+    """Evidence of structure alone: 1 main text, -1 boilerplate, weaker the deeper it is nested;
+    what is hidden is certain."""
+    return -2.0 if b.element.hidden else b.element.lean
 
 
 def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -229,7 +284,8 @@ def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for page in pdf["html"]:
             bs = blocks_of(page)
             for i, b in enumerate(bs):
-                side = seed(b)
+                lean = seed(b)
+                side = 1 if lean >= 0.3 else -1 if lean <= -0.3 else 0
                 if side:
                     seen[("", side)] += 1
                     seen.update((f, side) for f in features(b, i / len(bs)))
@@ -319,9 +375,11 @@ def max_flow_side(gain: list[float], edges: list[tuple[int, int, float]]) -> lis
                 break
 
 
-def label(bs: list[Block], odds: dict[str, float], *, structure: float = 8.0, near: float = 0.6,
+def label(bs: list[Block], odds: dict[str, float], *, structure: float = 5.0, near: float = 0.6,
           family: float = 0.6) -> list[bool]:
-    """Which blocks are main text."""
+    """Which blocks are main text. The classifier weighs up to 4 and structure up to ``structure``
+    (fading with depth), so that a block's text, its neighbours and its parent's other blocks can
+    overrule what its nesting says; nothing but hidden blocks is settled beforehand."""
     gain = []
     for i, b in enumerate(bs):
         own = sum(odds.get(f, 0.0) for f in features(b, i / len(bs)))

@@ -380,3 +380,37 @@ def test_held_out_accuracy(spark):
     assert clean.where("accepted").count() >= 0.97 * clean.count()
     junk = got.where("quality = 0")
     assert junk.where("not accepted").count() >= 0.75 * junk.count()
+
+
+ODDS = {"stop=True": 1.0, "stop=False": -1.0, "comma=True": 0.5, "words=0": -1.0, "words=1": -0.8, "words=4": 1.0,
+        "words=5": 1.0, "links=0": 0.3, "links=3": -1.5, "tag=p": 0.5, "tag=li": -0.5}
+
+
+@pytest.mark.parametrize("wrap", [
+    "<div class='sidebar-right'><article>{}</article></div>", "<form id='aspnetForm'><article>{}</article></form>",
+    "<div class='has-sidebar'>{}</div>", "<div class='page-with-header'>{}</div>", "<form id='aspnetForm'><div>{}</div></form>",
+    "<div class='search-page'><main>{}</main></div>", "<article class='social-policy'>{}</article>",
+    "<div data-note='no longer hidden'>{}</div>", "<div class='has-sidebar'><div class='page-with-header'><div><div>{}</div></div></div></div>"])
+def test_wrappers_keep_their_article(wrap):
+    text = [PROSE * 2, PROSE + "And more, of course.", PROSE * 3]
+    page = ("<body><nav><ul><li><a href=/>Home</a><li><a href=/x>About us</a></ul></nav>"
+            + wrap.format("".join(f"<p>{t}</p>" for t in text))
+            + "<div class='comments'><article><p>" + PROSE + "</p></article></div><footer>All rights reserved</footer></body>")
+    want = "\n\n".join(" ".join(t.split()) for t in text)
+    assert html_mincut.main_text(page, ODDS) == want
+
+
+def test_the_cut_overrules_structure():
+    deep = "<article>" + "<div>" * 9 + "<ul><li>Share<li>Tweet<li>Mail</ul>" + "</div>" * 9 + "".join(
+        f"<p>{PROSE}</p>" for _ in range(3)) + "</article>"
+    assert html_mincut.main_text(deep, ODDS) == "\n\n".join([PROSE.strip()] * 3)
+    alone = "<div class='has-note'><p>Yes.</p></div>".join(f"<p>{PROSE}</p>" for _ in range(3))
+    assert html_mincut.main_text(f"<main>{alone}</main>", ODDS).count("Yes.") == 2
+
+
+def test_deep_nesting_stays_linear():
+    import time
+    t0 = time.time()
+    page = "<div>" * 60_000 + "<p>" + PROSE + "</p>" + "</span>" * 60_000 + "<b>" * 20_000 + "<td>x" * 5
+    bs = html_mincut.blocks_of(page)
+    assert PROSE.strip() in [b.text for b in bs] and time.time() - t0 < 20
