@@ -88,15 +88,24 @@ def sketches(texts: list[str]) -> list[np.ndarray]:
             continue
         whole = int(total[b]) - int(total[a]) & (1 << 64) - 1
         k = keep[a:b]
-        gaps = np.diff(at[a:b][k], prepend=0).astype(np.uint32)
-        out.append(np.concatenate([np.array([whole & 0xFFFFFFFF, whole >> 32, level[i]], np.uint32), top[a:b][k], gaps]))
+        gaps = np.diff(at[a:b][k], prepend=0)
+        wide = bool(len(gaps)) and int(gaps.max()) >> 16 > 0
+        if wide:
+            packed = gaps.astype("<u4")
+        else:
+            packed = np.pad(gaps.astype("<u2"), (0, len(gaps) % 2)).view("<u4")
+        head = np.array([whole & 0xFFFFFFFF, whole >> 32, int(level[i]) | wide << 8], np.uint32)
+        out.append(np.concatenate([head, top[a:b][k], packed]))
     return out
 
 
-def _sample(a: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and places of a fingerprint's sample at a level no lower than its own."""
-    n = (len(a) - 3) // 2
-    code, at = a[3:3 + n], np.cumsum(a[3 + n:].astype(np.int64))
+def sample(a: np.ndarray, level: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and places of a fingerprint's sample; at a higher level than its own, of that level's.
+    Two gaps stand in a number, unless one is wider than 16 bits."""
+    wide, level = int(a[2]) >> 8, max(level, int(a[2]) & 255)
+    n = (len(a) - 3) // 2 if wide else (len(a) - 3) * 2 // 3
+    gaps = a[3 + n:] if wide else np.ascontiguousarray(a[3 + n:]).view("<u2")[:n]
+    code, at = a[3:3 + n], np.cumsum(gaps.astype(np.int64))
     k = code.astype(np.uint64) < np.uint64(1 << 32 - level)
     return code[k], at[k]
 
@@ -126,9 +135,9 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
         return 1.0
     if not len(a) or not len(b):
         return 0.0
-    level = int(max(a[2], b[2]))
-    code_a, at_a = _sample(a, level)
-    code_b, at_b = _sample(b, level)
+    level = max(int(a[2]) & 255, int(b[2]) & 255)
+    code_a, at_a = sample(a, level)
+    code_b, at_b = sample(b, level)
     if not len(code_a) or not len(code_b):
         return 0.0
     ia, ib = _pairs(code_a, code_b)
@@ -160,8 +169,9 @@ ROWS = T.StructType([
     T.StructField("doc_id", T.LongType()),
     T.StructField("n_chars", T.LongType()),
     T.StructField("edited_sha256", T.StringType()),
-    T.StructField("fingerprint", T.BinaryType()),
-    T.StructField("edited_fingerprint", T.BinaryType()),
+    # Both fingerprints in one value: they share the kept half's anchors, which then compress.
+    T.StructField("prints", T.BinaryType()),
+    T.StructField("own", T.IntegerType()),              # bytes of the first of them
     T.StructField("near_edited", T.DoubleType()),
     T.StructField("near_next", T.DoubleType()),
 ])
@@ -177,7 +187,7 @@ def _edit(text: str, following: str) -> str:
 def _row(text: str, sketch: np.ndarray, edited: str, edited_sketch: np.ndarray,
          following: np.ndarray) -> tuple:
     return (len(text), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(),
-            sketch.tobytes(), edited_sketch.tobytes(), likeness(sketch, edited_sketch),
+            sketch.tobytes() + edited_sketch.tobytes(), sketch.nbytes, likeness(sketch, edited_sketch),
             likeness(sketch, following))
 
 
@@ -209,7 +219,7 @@ def _walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame(rows, columns=EDGES.names)
     if held is not None:
         doc, text, sketch = held
-        yield pd.DataFrame([(doc, len(text), None, sketch.tobytes(), None, None, None, part, head,
+        yield pd.DataFrame([(doc, len(text), None, sketch.tobytes(), sketch.nbytes, None, None, part, head,
                              text)], columns=EDGES.names)
 
 
@@ -217,7 +227,7 @@ def _close(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in frames:
         rows = []
         for doc, text, sketch, after, after_sketch in zip(
-                pdf["doc_id"], pdf["tail"], pdf["fingerprint"], pdf["after"],
+                pdf["doc_id"], pdf["tail"], pdf["first"], pdf["after"],
                 pdf["after_sketch"]):
             edited = _edit(text, after)
             rows.append((doc, *_row(text, np.frombuffer(sketch, np.uint32), edited,
@@ -246,9 +256,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
              .repartitionByRange(n, down, F.xxhash64("text"))
              .sortWithinPartitions(down, F.xxhash64("text"), "text"))
     rows = cut(dealt.mapInPandas(_walk, EDGES), "fingerprints")
+    first = F.expr("substring(prints, 1, own)")
     heads = rows.where("head is not null").select(
-        F.col("part").alias("next_part"), F.col("head").alias("after"),
-        F.col("fingerprint").alias("after_sketch"))
+        F.col("part").alias("next_part"), F.col("head").alias("after"), first.alias("after_sketch"))
     # One row per task that had documents.
     order = Window.orderBy("next_part")
     everything = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -256,8 +266,10 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         F.col("next_part").alias("part"),
         F.coalesce(F.lead("next_part").over(order),
                    F.first("next_part").over(everything)).alias("next_part"))
-    tails = (rows.where("tail is not null").select("doc_id", "fingerprint", "tail", "part")
+    tails = (rows.where("tail is not null").select("doc_id", first.alias("first"), "tail", "part")
              .join(follows, "part").join(heads, "next_part"))
     done = rows.where("tail is null").select(*ROWS.names).unionByName(tails.mapInPandas(_close, ROWS))
     done = done.withColumn("doc_id", F.nullif(F.col("doc_id"), F.lit(NO_ID)))
-    return done.withColumns({c: F.translate(F.base64(F.col(c)), "\r\n", "") for c in ("fingerprint", "edited_fingerprint")})
+    text = lambda c: F.translate(F.base64(c), "\r\n", "")
+    return done.select("doc_id", "n_chars", "edited_sha256", text(first).alias("fingerprint"),
+                       text(F.expr("substring(prints, own + 1)")).alias("edited_fingerprint"), "near_edited", "near_next")
