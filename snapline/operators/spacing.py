@@ -12,7 +12,9 @@ blocks, and what a block does is composed:
    chain crosses, over entries only;
 4. every block that was entered walks its chain from its one entry.
 
-A task holds one (key, block) at a time; rows are shuffled narrow, a fixed number of times.
+A task holds one (key, block) at a time; rows are shuffled narrow, a fixed number of times. Steps
+1 and 4 run Python in tasks (a chain through a block is no window function); every step's result
+is a table in the shared folder, so what callers go on with is a plain read.
 """
 
 from __future__ import annotations
@@ -111,5 +113,5 @@ def spaced(df: DataFrame, keys: Sequence[str], order: str, until: Column, *, blo
             at = int(to[at])
         return pdf.iloc[kept]
 
-    return (inside.groupBy(*keys, "_bk").applyInPandas(walk, inside.schema)
-            .select(*keys, F.timestamp_micros("_t").cast(order_type).alias(order)))
+    kept = inside.groupBy(*keys, "_bk").applyInPandas(walk, inside.schema)
+    return _cut(kept.select(*keys, F.timestamp_micros("_t").cast(order_type).alias(order)), "spacing-kept")
