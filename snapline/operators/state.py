@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
-from snapline.operators.sequence import asof_join, with_neighbor
+from snapline.operators.sequence import asof_join, bucket_of, with_neighbor
 from snapline.spec import FeedSpec
 
 
@@ -91,3 +91,30 @@ def reconstruct(history: DataFrame, grid: DataFrame, spec: FeedSpec, cols: list[
                   cols, buckets=spec.buckets, name="_s")
     return j.select(*spec.keys, spec.cycle, F.col("_s." + spec.cycle).alias("changed_at"),
                     *[F.col("_s." + c).alias(c) for c in cols])
+
+
+def dense_grid(history: DataFrame, cycles: DataFrame, spec: FeedSpec, cols: list[str] | None = None, *,
+               bucket_seconds: int = 86400) -> DataFrame:
+    """The state of every key at every cycle of ``cycles`` (one column, the spec's cycle) from
+    its first change on, with ``changed_at``, the change in force.
+
+    A range join of validity intervals with cycles: intervals are cut at the edges of time
+    buckets, so both sides meet on the bucket's number, and the cycle must lie in the interval. A
+    key's rows are spread over its buckets; a row is read once per bucket its interval spans, a
+    current one up to the last cycle. Cycles may repeat; each counts once. Rows or cycles without a
+    time are left out.
+    """
+    cols = list(cols or spec.compared)
+    grid = (cycles.select(F.col(spec.cycle)).filter(F.col(spec.cycle).isNotNull()).distinct()
+            .withColumn("_bk", bucket_of(spec.cycle, bucket_seconds)))
+    ends = grid.agg(F.min("_bk").alias("lo"), F.max("_bk").alias("hi")).first()
+    if ends["hi"] is None:
+        ends = {"lo": 0, "hi": -1}
+    iv = intervals(history.filter(F.col(spec.cycle).isNotNull()), spec, cols)
+    first = F.greatest(bucket_of("valid_from", bucket_seconds), F.lit(ends["lo"]))
+    last = F.least(F.coalesce(bucket_of("valid_to", bucket_seconds), F.lit(ends["hi"])), F.lit(ends["hi"]))
+    cut = (iv.withColumns({"_b0": first, "_b1": last}).filter(F.col("_b0") <= F.col("_b1"))
+           .withColumn("_bk", F.explode(F.sequence("_b0", "_b1"))))
+    at = F.col(spec.cycle)
+    return (cut.join(grid, "_bk").filter((at >= F.col("valid_from")) & (F.col("valid_to").isNull() | (at < F.col("valid_to"))))
+            .select(*spec.keys, at, F.col("valid_from").alias("changed_at"), *cols))

@@ -134,6 +134,11 @@ def q_history_reconstruction(spark, sf):
     return state.reconstruct(kept(spark, sf), deduped(spark, sf), SPEC).drop("changed_at")
 
 
+def q_dense_grid(spark, sf):
+    """Every station at every cycle of the feed, from the change rows."""
+    return state.dense_grid(kept(spark, sf), typed(spark, sf).select(SPEC.cycle), SPEC)
+
+
 RETENTION_AS_OF = date(2024, 1, 30)
 RETENTION_DAYS = 20
 
@@ -372,6 +377,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "state_as_of": q_state_as_of,
     "history_intervals": q_history_intervals,
     "history_reconstruction": q_history_reconstruction,
+    "dense_grid": q_dense_grid,
     "station_dimension": q_station_dimension,
     "history_maintenance": q_history_maintenance,
     "duplicate_audit": q_duplicate_audit,

@@ -173,6 +173,15 @@ SELECT stationcode, request_timestamp AS valid_from,
        {CMP_COLS}
 FROM kept"""
 
+# The newest change at or before each cycle, for every station that has one.
+ORACLE["dense_grid"] = "WITH " + KEPT + f""",
+cycles AS (SELECT DISTINCT request_timestamp AS at FROM typed WHERE request_timestamp IS NOT NULL),
+stations AS (SELECT DISTINCT stationcode FROM kept),
+grid AS (SELECT s.stationcode, c.at FROM stations s, cycles c)
+SELECT g.stationcode, g.at AS request_timestamp, k.request_timestamp AS changed_at,
+       {', '.join('k.' + c for c in CMP)}
+FROM grid g ASOF JOIN kept k ON g.stationcode = k.stationcode AND g.at >= k.request_timestamp"""
+
 ORACLE["station_dimension"] = "WITH " + DEDUP + """
 SELECT stationcode, name, capacity, lat, lon, nom_arrondissement_communes, code_insee_commune,
        station_opening_hours, first_seen, request_timestamp AS last_seen FROM (

@@ -60,3 +60,17 @@ def test_one_pass_equals_the_fold_over_a_long_backlog(spark, seed):
     rest = changes_in_one_pass(feed(spark, [*rows[cut:], ("a", None, 1)]), first, SPEC).collect()
     assert have | {(x["k"], x["t"]) for x in rest if x["t"] is not None} == want
     assert sum(x["t"] is None for x in rest) == 1
+
+
+def test_dense_grid_of_gaps_ties_and_no_rows(spark):
+    from snapline.operators.state import dense_grid
+    h = lambda n: START + timedelta(hours=n)
+    hist = feed(spark, [("a", h(1), 1), ("a", h(60), 2), ("b", h(30), 3), ("c", h(500), 4), ("a", None, 9)])
+    at = [h(0), h(1), h(30), h(59), h(60), h(60), h(100), None]
+    grid = spark.createDataFrame([(t,) for t in at], "t timestamp_ntz")
+    for width in (3600, 86400):
+        got = {(r["k"], r["t"], r["changed_at"], r["v"]) for r in dense_grid(hist, grid, SPEC, bucket_seconds=width).collect()}
+        assert got == {("a", h(1), h(1), 1), ("a", h(30), h(1), 1), ("a", h(59), h(1), 1), ("a", h(60), h(60), 2),
+                       ("a", h(100), h(60), 2), ("b", h(30), h(30), 3), ("b", h(59), h(30), 3), ("b", h(60), h(30), 3),
+                       ("b", h(100), h(30), 3)}
+    assert dense_grid(hist, grid.limit(0), SPEC).collect() == [] and dense_grid(hist.limit(0), grid, SPEC).collect() == []
