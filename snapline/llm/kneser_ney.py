@@ -15,18 +15,51 @@ from snapline.llm.common import batched, cut, small_batches, text_of
 
 ORDER = 4                       # characters of a gram, 16 bits each in one 64-bit code
 BITS = 16
-START, END = "\x01", "\x02"
+START, END, AGAIN = "\x01", "\x02", "\x03"
+PHRASE = 4                      # words of the longest phrase whose repetition is marked
 # Tables of at most this many grams (48 MB) may be sent to every task; beyond it they are joined.
 BROADCAST_GRAMS = 4_000_000
 BROADCAST_IDS = 2_000_000
 COUNTS = T.StructType([T.StructField("gram", T.LongType()), T.StructField("c", T.LongType())])
 
 
+def fold(texts: list[str]) -> list[str]:
+    """Texts with white space folded, and every word that repeats a phrase written as one sign.
+
+    A word is such a repetition when for some p up to ``PHRASE`` the p words that end with it equal
+    the p words before them. It becomes ``AGAIN`` without a space before it, so that a document of
+    one repeated word or phrase is a run of signs, which running text hardly has, and not a string
+    of well-formed words, whose characters a model of characters finds quite likely.
+    """
+    words = [t.split() for t in texts]
+    flat = [w for ws in words for w in ws]
+    if not flat:
+        return [""] * len(texts)
+    code = pd.factorize(np.array(flat, dtype=object))[0]
+    n = np.fromiter(map(len, words), np.int64, len(words))
+    owner = np.repeat(np.arange(len(words)), n)
+    again = np.zeros(len(flat), bool)
+    for p in range(1, PHRASE + 1):
+        same = np.zeros(len(flat) + 1, np.int64)
+        same[p + 1:] = (code[p:] == code[:-p]) & (owner[p:] == owner[:-p])
+        upto = np.cumsum(same)
+        again[p - 1:] |= upto[p:] - upto[:-p] == p
+    out, end = [], np.cumsum(n)
+    touched = np.add.reduceat(np.append(again, False), np.minimum(end - n, len(flat))) > 0
+    for i, ws in enumerate(words):
+        if n[i] and touched[i]:
+            marks = again[end[i] - n[i]:end[i]].tolist()
+            out.append("".join([AGAIN if a else " " + w for a, w in zip(marks, ws)])[1:])
+        else:
+            out.append(" ".join(ws))
+    return out
+
+
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of all grams, text after text, and the number of grams of each text. White space is
-    folded; a text of n characters has n + 1 grams, the last one for its end. Code points beyond
-    16 bits count modulo 2**16."""
-    folded = [" ".join(t.split()) for t in texts]
+    """Codes of all grams, text after text, and the number of grams of each text. Texts are folded
+    (:func:`fold`); one of n characters then has n + 1 grams, the last one for its end. Code points
+    beyond 16 bits count modulo 2**16."""
+    folded = fold(texts)
     size = np.fromiter((len(t) + 1 for t in folded), np.int64, len(folded))
     pad = START * (ORDER - 1)
     raw = "".join([x for t in folded for x in (pad, t, END)])
@@ -182,13 +215,16 @@ def classify(docs: DataFrame, labels: DataFrame, *, text: str = "text", quantile
     from the model, which counts the characters of all others and so grows with them; 0 keeps
     none. A language's threshold is ``margin`` times the ``quantile`` of its held-out documents'
     perplexities, which texts the model has not seen can be measured by; a language without
-    any takes the quantile of all of them. Short texts say little: every text is scored as if ``steady`` more characters of the
+    any takes the quantile of all of them. Thresholds come from held-out documents only: without any,
+    or without a trusted document to count, nothing can be judged, and all documents are accepted,
+    with null perplexity and threshold. With ``hold_out`` 0 the caller chooses to measure the
+    trusted documents that were counted. Short texts say little: every text is scored as if ``steady`` more characters of the
     trusted mean followed.
 
     Two scans of the texts (counts, scores) and one of the trusted ones (thresholds); texts are
     not shuffled while the probability table is small enough to send along, see
     ``BROADCAST_GRAMS``; a larger one is joined by gram with the same result. Null texts are
-    empty texts and accepted; without any trusted document all are accepted, with null perplexity.
+    empty texts and accepted.
     A null language is a language. Repeated rows get equal results. Existing columns of these three names
     are replaced; all others stay. No rows, no result.
     """
@@ -201,16 +237,14 @@ def classify(docs: DataFrame, labels: DataFrame, *, text: str = "text", quantile
     counts = cut(marked.select(text_of(text).alias("text"), (F.col("_trusted") & ~held).alias("trusted"))
                  .mapInPandas(_count, COUNTS).groupBy("gram").agg(F.sum("c").alias("c")), "kn-grams")
     if counts.where("c > 0").isEmpty():
-        return nothing if not hold_out else classify(
-            docs, labels, text=text, quantile=quantile, margin=margin, steady=steady, hold_out=0)
+        return nothing
     table = cut(log_probabilities(counts), "kn-table")
     lang = F.coalesce(F.concat(F.lit("="), F.col("lang")), F.lit("")) if "lang" in docs.columns else F.lit("")
     measured = F.col("_trusted") & held if hold_out else F.col("_trusted")
     good = cut(_with_scores(marked.where(measured).select(lang.alias("_lang"), F.col(text).alias(text)),
                             table, text).drop(text), "kn-trusted")
-    if good.isEmpty():                  # too few to hold any out
-        good = cut(_with_scores(marked.where("_trusted").select(lang.alias("_lang"), F.col(text).alias(text)),
-                                table, text).drop(text), "kn-trusted")
+    if good.isEmpty():
+        return nothing
     mean = good.agg((F.sum("_nll") / F.sum("_n")).alias("m")).first()["m"]
     ppl = F.exp((F.col("_nll") + steady * mean) / (F.col("_n") + steady))
     at = F.percentile_approx(ppl, F.lit(quantile), F.lit(10_000)) * margin
