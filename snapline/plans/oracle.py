@@ -453,6 +453,7 @@ FROM dedup d JOIN f ON d.stationcode = f.stationcode AND d.request_timestamp = f
 
 # Rows that arrive in any order leave the history of the feed in order.
 ORACLE["late_rows"] = ORACLE["stream_silver"]
+ORACLE["silver_snapshots"] = ORACLE["stream_silver"]
 
 # The first batch meets an empty history, so all its rows are stored; every row of the day, and
 # then of the rest, is compared with the newest stored row of the 7 days before its batch's first cycle.

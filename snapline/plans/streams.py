@@ -107,6 +107,26 @@ def q_stream_silver(spark: SparkSession, sf: str) -> DataFrame:
     return _silver(spark, f"{root}/silver").select(*SILVER_OUT)
 
 
+SNAPSHOT_BATCH_DAYS = 5
+
+
+def q_silver_snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    """W2/J1 with state snapshots: the whole feed, some days a load. A load opens the newest
+    snapshot and the days since it, not the look-back. Same rows as ``stream_silver``."""
+    root = _scratch(spark, "silver-snapshots")
+    feed = avail(spark, sf)
+    cycle = F.col("request_timestamp")
+    span = feed.agg(F.min(cycle).alias("lo"), F.max(cycle).alias("hi")).first()
+    at, i = span["lo"] and datetime(span["lo"].year, span["lo"].month, span["lo"].day), 0
+    while at is not None and at <= span["hi"]:
+        end = at + timedelta(days=SNAPSHOT_BATCH_DAYS)
+        load_batch(feed.filter((cycle >= F.lit(at)) & (cycle < F.lit(end))), f"{root}/silver", f"b{i:03d}",
+                   lookback_days=LOOKBACK_DAYS, state=f"{root}/state")
+        at, i = end, i + 1
+    load_batch(feed.filter(cycle.isNull()), f"{root}/silver", "undated", lookback_days=LOOKBACK_DAYS)
+    return _silver(spark, f"{root}/silver").select(*SILVER_OUT)
+
+
 LATE_BATCHES = 3
 
 
@@ -234,6 +254,7 @@ def q_raw_landing(spark: SparkSession, sf: str) -> DataFrame:
 STREAM_QUERIES = {
     "raw_landing": q_raw_landing,
     "stream_silver": q_stream_silver,
+    "silver_snapshots": q_silver_snapshots,
     "late_rows": q_late_rows,
     "silver_faithful": q_silver_faithful,
     "silver_malformed": q_silver_malformed,

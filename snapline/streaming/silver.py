@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from snapline.operators.change import batch_bounds, changes_as_of, changes_in_one_pass, changes_vs_state
 from snapline.operators.dedup import dedup_earliest
 from snapline.operators.envelope import apply_types, split_malformed
-from snapline.operators.merge import BATCH_COL, history_schema, insert_only, read_history, write_history
+from snapline.operators.merge import BATCH_COL, history_schema, insert_only, write_history
 from snapline.operators.state import last_known
 from snapline.schemas import RAW_JSON_OPTIONS
 from snapline.sources.raw import ACCEPTED, QUARANTINED, route_objects
 from snapline.spec import FeedSpec, STATION_SPEC
 from snapline.streaming.sinks import utc_now
+from snapline.streaming.snapshots import drop_snapshots, known_rows, take_snapshot
 
 STAMP = "silver_updated_at"
 
@@ -49,7 +50,7 @@ def accept(raw: DataFrame, on_malformed: str, quarantine: str | None, batch_id:
 def load_batch(raw: DataFrame, path: str, batch_id: str, spec: FeedSpec = STATION_SPEC, *,
                mode: str = "asof", lookback_days: int | None = -1, typed: bool = False,
                as_of: datetime | None = None, clock: Callable[[], datetime] = utc_now,
-               on_malformed: str = KEEP, quarantine: str | None = None) -> int:
+               on_malformed: str = KEEP, quarantine: str | None = None, state: str | None = None) -> int:
     """Load one raw batch into the history at ``path``; returns rows inserted.
 
     ``mode="asof"`` (C2): replay-safe, order-correct within the batch, which may span any time.
@@ -60,6 +61,10 @@ def load_batch(raw: DataFrame, path: str, batch_id: str, spec: FeedSpec = STATIO
     The history is read without this batch id, so a retry recomputes the same rows
     and overwrites its own output. Rows without a cycle are stored too (they have no date),
     unless ``on_malformed`` turns them away (see :func:`accept`).
+
+    With ``state``, a folder, state snapshots are kept there (``streaming/snapshots.py``): the load
+    opens the newest one before its first day and the days since, not the whole look-back, and
+    leaves one for the last day it closes. The rows stored are the same with or without.
     """
     if lookback_days == -1:
         lookback_days = spec.lookback_days
@@ -72,38 +77,38 @@ def load_batch(raw: DataFrame, path: str, batch_id: str, spec: FeedSpec = STATIO
         schema = stored_schema(batch, spec)
         if lo is None:
             return write_history(batch, path, spec, batch_id, as_of=clock())
-        if mode != "asof":
-            rows = _faithful(batch, path, schema, batch_id, spec, lookback_days, as_of or lo, lo)
-            return write_history(rows, path, spec, batch_id, as_of=clock())
-        step = None if lookback_days is None else timedelta(days=lookback_days)
-        if step is None or hi - lo <= step:
-            return _slice_as_of(batch, (lo, hi), path, schema, batch_id, spec, lookback_days, clock)
-        hist = read_history(batch.sparkSession, path, schema, spec, exclude_batch=batch_id,
-                            since=(lo - step).date(), until=hi.date())
-        rows = changes_in_one_pass(batch, hist.drop(STAMP, BATCH_COL), spec, lookback_days, bounds=(lo, hi))
-        return write_history(rows, path, spec, batch_id, as_of=clock())
+        rows = _rows_to_store(batch, (lo, hi), path, schema, batch_id, spec, mode, lookback_days, as_of, state)
+        if state:
+            drop_snapshots(batch.sparkSession, state, lookback_days, lo.date())
+        n = write_history(rows, path, spec, batch_id, as_of=clock())
+        if state:
+            take_snapshot(batch.sparkSession, path, schema, spec, state, lookback_days, hi.date() - timedelta(days=1))
+        return n
     finally:
         batch.unpersist()
 
 
-def _slice_as_of(batch: DataFrame, bounds: tuple, path: str, schema: T.StructType, batch_id: str,
-                 spec: FeedSpec, lookback_days: int | None, clock: Callable) -> int:
-    """Only the date folders the look-back can reach are listed and read."""
+def _rows_to_store(batch: DataFrame, bounds: tuple, path: str, schema: T.StructType, batch_id: str,
+                   spec: FeedSpec, mode: str, lookback_days: int | None, as_of: datetime | None,
+                   state: str | None) -> DataFrame:
+    """Only the date folders that the look-back (or the days since a snapshot) can reach are read."""
     lo, hi = bounds
-    start = None if lookback_days is None else (lo - timedelta(days=lookback_days)).date()
-    hist = read_history(batch.sparkSession, path, schema, spec, exclude_batch=batch_id, since=start,
-                        until=hi.date())
-    rows = changes_as_of(batch, hist.drop(STAMP, BATCH_COL), spec, lookback_days, bounds=bounds)
-    return write_history(rows, path, spec, batch_id, as_of=clock())
+    if mode != "asof":
+        return _faithful(batch, path, schema, batch_id, spec, lookback_days, as_of or lo, lo, state)
+    hist = known_rows(batch.sparkSession, path, schema, spec, state, lookback_days, at=lo,
+                      exclude_batch=batch_id, until=hi.date()).drop(STAMP, BATCH_COL)
+    if lookback_days is None or hi - lo <= timedelta(days=lookback_days):
+        return changes_as_of(batch, hist, spec, lookback_days, bounds=bounds)
+    return changes_in_one_pass(batch, hist, spec, lookback_days, bounds=bounds)
 
 
 def _faithful(batch: DataFrame, path: str, schema: T.StructType, batch_id: str, spec: FeedSpec,
-              lookback_days: int | None, t0: datetime, lo: datetime) -> DataFrame:
-    start = None if lookback_days is None else (t0 - timedelta(days=lookback_days)).date()
-    since = None if start is None else min(start, lo.date())   # the insert-only check needs the batch's dates
-    hist = read_history(batch.sparkSession, path, schema, spec, exclude_batch=batch_id, since=since)
-    state = last_known(hist, spec, as_of=t0, lookback_days=lookback_days, cols=list(spec.compared))
-    cand = changes_vs_state(batch, state, spec)
+              lookback_days: int | None, t0: datetime, lo: datetime, state: str | None) -> DataFrame:
+    # The insert-only check needs the batch's dates, whatever the state is taken as of.
+    hist = known_rows(batch.sparkSession, path, schema, spec, state, lookback_days, at=min(t0, lo),
+                      exclude_batch=batch_id)
+    last = last_known(hist, spec, as_of=t0, lookback_days=lookback_days, cols=list(spec.compared))
+    cand = changes_vs_state(batch, last, spec)
     dates = [r[0] for r in batch.select(spec.date_col).distinct().collect() if r[0] is not None]
     return insert_only(cand, hist, spec, dates=dates)
 
@@ -112,7 +117,7 @@ def silver_sink(path: str, run_id: str, spec: FeedSpec = STATION_SPEC, *, mode:
                 lookback_days: int | None = -1, typed: bool = False,
                 clock: Callable[[], datetime] = utc_now, metrics: list | None = None,
                 on_malformed: str = KEEP, quarantine: str | None = None,
-                prefix: str | None = None) -> Callable[[DataFrame, int], None]:
+                prefix: str | None = None, state: str | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` callable: micro-batches are loaded one after another (a
     stream runs its batches serially), batch id ``<run_id>-<epoch>``.
 
@@ -132,7 +137,7 @@ def silver_sink(path: str, run_id: str, spec: FeedSpec = STATION_SPEC, *, mode:
                  .json(f"{quarantine.rstrip('/')}/misplaced/batch_id={batch_id}"))
             df = routed.filter(F.col("route") == ACCEPTED).drop("_object", "route", "batch_date", "source_file")
         n = load_batch(df, path, batch_id, spec, mode=mode, lookback_days=lookback_days, typed=typed,
-                       clock=clock, on_malformed=on_malformed, quarantine=quarantine)
+                       clock=clock, on_malformed=on_malformed, quarantine=quarantine, state=state)
         if metrics is not None:
             metrics.append((epoch_id, n))
 
