@@ -58,16 +58,23 @@ def bronze(args) -> None:
 def silver(args) -> None:
     from snapline.sources.raw import read_raw
     from snapline.streaming.jobs import start
+    from snapline.streaming.metrics import RunMetrics
     from snapline.streaming.silver import silver_sink
     spark = _session(args)
     raw = read_raw(spark, args.raw_glob, streaming=True, max_files_per_trigger=args.max_per_trigger)
     if args.prefix is None:
         raw = raw.drop("source_file")
     lookback = None if args.lookback_days < 0 else args.lookback_days
+    metrics = RunMetrics(spark, "silver", args.metrics, args.run_id) if args.metrics else None
+    if metrics:
+        spark.streams.addListener(metrics)
     q = start(raw, silver_sink(args.history, args.run_id, mode=args.mode, lookback_days=lookback,
-                               on_malformed=args.on_malformed, quarantine=args.quarantine, prefix=args.prefix),
+                               on_malformed=args.on_malformed, quarantine=args.quarantine, prefix=args.prefix,
+                               metrics=metrics, state=args.state),
               args.checkpoint, name="silver", trigger=_trigger(args))
     q.awaitTermination()
+    if metrics:
+        metrics.wait(q)
 
 
 def _history(spark, path):
@@ -166,6 +173,8 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--once", action="store_true")
     s.add_argument("--on-malformed", choices=["keep", "drop", "quarantine"], default="keep")
     s.add_argument("--quarantine", help="folder for malformed rows and misplaced files")
+    s.add_argument("--metrics", help="folder for one row per micro-batch")
+    s.add_argument("--state", help="folder for state snapshots; loads then open the days since the newest one")
     s.add_argument("--prefix", help="load only objects <prefix>YYYY/MM/DD/<file>.json")
     s.set_defaults(fn=silver)
 

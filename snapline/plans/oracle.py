@@ -507,6 +507,16 @@ SELECT count(DISTINCT CAST(ts AS DATE)) AS n_files, count(*) AS n_rows FROM even
 # Without a look-back the stream's final table equals the sequential change filter.
 ORACLE["stream_resume"] = ORACLE["change_filter_asof"]
 ORACLE["stream_stateful"] = ORACLE["change_filter_asof"]
+ORACLE["distinct_by_range"] = "WITH " + DEDUP + """
+SELECT e.end_date, COUNT(DISTINCT d.request_timestamp) AS n_cycles, COUNT(DISTINCT d.stationcode) AS n_keys,
+       COUNT(*) AS n_rows
+FROM (SELECT DISTINCT request_date AS end_date FROM dedup WHERE request_date IS NOT NULL) e
+JOIN dedup d ON d.request_date BETWEEN e.end_date - 6 AND e.end_date
+GROUP BY e.end_date"""
+ORACLE["run_metrics"] = f"""
+SELECT (WITH {TYPED} SELECT COUNT(*) FROM typed) AS rows_in,
+       (SELECT COUNT(*) FROM ({ORACLE["change_filter_asof"]})) AS inserted,
+       CAST(0 AS BIGINT) AS batches_that_differ"""
 
 ORACLE["topic_watermarks"] = """
 SELECT event_type AS topic, CAST(user_id % 3 AS INTEGER) AS partition, min(event_id) AS low,

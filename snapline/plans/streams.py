@@ -13,6 +13,8 @@ from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from snapline.operators.dedup import dedup_earliest
+from snapline.operators.distinct import day_bitmaps, distinct_counts, number_keys
 from snapline.operators.envelope import apply_types, decode_envelope, encode_envelope
 from snapline.operators.merge import history_schema, partition_dirs, read_history
 from snapline.plans.derived import avail
@@ -22,6 +24,7 @@ from snapline.sources.logs import checkpoint_offsets, committed_files
 from snapline.sources.raw import read_raw
 from snapline.spec import STATION_SPEC
 from snapline.streaming.jobs import run_available
+from snapline.streaming.metrics import RunMetrics, read_metrics
 from snapline.streaming.repair import load_with_repair
 from snapline.streaming.silver import load_batch, silver_sink
 from snapline.sources.feed import open_feed
@@ -107,6 +110,45 @@ def q_stream_silver(spark: SparkSession, sf: str) -> DataFrame:
     return _silver(spark, f"{root}/silver").select(*SILVER_OUT)
 
 
+def q_run_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """The silver stream with a listener that writes a row per micro-batch; totals of
+    that table, and the batches whose inserted rows differ from the rows stored under their id."""
+    root = _scratch(spark, "run-metrics")
+    land_raw_days(spark, sf, f"{root}/raw")
+    listener = RunMetrics(spark, "run-metrics", f"{root}/metrics", "run1")
+    spark.streams.addListener(listener)
+    try:
+        q = run_available(raw_stream(spark, f"{root}/raw", 7 * files_per_day(spark, sf)),
+                          silver_sink(f"{root}/silver", "run1", lookback_days=None, metrics=listener), f"{root}/ck",
+                          name="run-metrics")
+        listener.wait(q)
+    finally:
+        spark.streams.removeListener(listener)
+    told = read_metrics(spark, f"{root}/metrics").withColumn("id", F.format_string("%s-%06d", "run_id", "batch_id"))
+    held = _silver(spark, f"{root}/silver").groupBy(F.col("batch_id").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    return told.join(held, "id", "full").agg(
+        F.coalesce(F.sum("rows_in"), F.lit(0)).alias("rows_in"), F.coalesce(F.sum("inserted"), F.lit(0)).alias("inserted"),
+        F.count_if(F.coalesce("inserted", F.lit(0)) != F.coalesce("n", F.lit(0))).alias("batches_that_differ"))
+
+
+RANGE_DAYS = 7
+
+
+def q_distinct_by_range(spark: SparkSession, sf: str) -> DataFrame:
+    """A1/A2/A5: cycles, keys and rows of every range of seven days that ends on a day of the feed,
+    from a stored table of day bitmaps; the feed is read once, however many ranges are asked."""
+    root = _scratch(spark, "distinct-days")
+    spec = STATION_SPEC
+    rows = dedup_earliest(apply_types(avail(spark, sf)), spec.keys + [spec.cycle], spec.order)
+    number_keys(rows, spec).write.parquet(f"{root}/ids")
+    day_bitmaps(rows, spark.read.parquet(f"{root}/ids"), spec).write.parquet(f"{root}/days")
+    days = spark.read.parquet(f"{root}/days")
+    ends = days.select(F.col(spec.date_col).alias("end_date")).dropna().distinct()
+    reach = days.dropna(subset=[spec.date_col]).withColumn("end_date", F.explode(F.sequence(
+        F.col(spec.date_col), F.date_add(spec.date_col, RANGE_DAYS - 1))))
+    return distinct_counts(reach.join(ends, "end_date"), ["end_date"])
+
+
 SNAPSHOT_BATCH_DAYS = 5
 
 
@@ -255,6 +297,8 @@ STREAM_QUERIES = {
     "raw_landing": q_raw_landing,
     "stream_silver": q_stream_silver,
     "silver_snapshots": q_silver_snapshots,
+    "run_metrics": q_run_metrics,
+    "distinct_by_range": q_distinct_by_range,
     "late_rows": q_late_rows,
     "silver_faithful": q_silver_faithful,
     "silver_malformed": q_silver_malformed,

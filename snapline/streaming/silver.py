@@ -15,6 +15,7 @@ from snapline.operators.state import last_known
 from snapline.schemas import RAW_JSON_OPTIONS
 from snapline.sources.raw import ACCEPTED, QUARANTINED, route_objects
 from snapline.spec import FeedSpec, STATION_SPEC
+from snapline.streaming.metrics import RunMetrics
 from snapline.streaming.sinks import utc_now
 from snapline.streaming.snapshots import drop_snapshots, known_rows, take_snapshot
 
@@ -115,7 +116,7 @@ def _faithful(batch: DataFrame, path: str, schema: T.StructType, batch_id: str,
 
 def silver_sink(path: str, run_id: str, spec: FeedSpec = STATION_SPEC, *, mode: str = "asof",
                 lookback_days: int | None = -1, typed: bool = False,
-                clock: Callable[[], datetime] = utc_now, metrics: list | None = None,
+                clock: Callable[[], datetime] = utc_now, metrics: list | RunMetrics | None = None,
                 on_malformed: str = KEEP, quarantine: str | None = None,
                 prefix: str | None = None, state: str | None = None) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` callable: micro-batches are loaded one after another (a

@@ -25,7 +25,13 @@ def test_bronze_silver_verify(spark, tmp_path):
         "--checkpoint", str(tmp_path / "ck-b"), "--run-id", "b1", "--once")
     raw_glob = str(tmp_path / "raw" / "availability" / "*" / "*" / "*" / "*")
     cli("silver", "--raw-glob", raw_glob, "--history", str(tmp_path / "hist"),
-        "--checkpoint", str(tmp_path / "ck-s"), "--run-id", "s1", "--lookback-days", "-1", "--once")
+        "--checkpoint", str(tmp_path / "ck-s"), "--run-id", "s1", "--lookback-days", "-1", "--once",
+        "--metrics", str(tmp_path / "metrics"), "--state", str(tmp_path / "state"))
+    from snapline.streaming.metrics import read_metrics
+    from snapline.streaming.snapshots import snapshots
+    told = read_metrics(spark, str(tmp_path / "metrics")).collect()
+    assert sum(r["inserted"] for r in told) == 667 and {r["run_id"] for r in told} == {"s1"}
+    assert snapshots(spark, str(tmp_path / "state"), None)
     (v,) = cli("verify", "--history", str(tmp_path / "hist"), "--raw-glob", raw_glob)
     assert v["duplicates"] == 0
     assert v["history_rows"] == 667 and v["keys"] == 15
