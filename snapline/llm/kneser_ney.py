@@ -16,6 +16,7 @@ from snapline.llm.common import batched, cut, small_batches, text_of
 ORDER = 4                       # characters of a gram, 16 bits each in one 64-bit code
 BITS = 16
 START, END, AGAIN = "\x01", "\x02", "\x03"
+PAIR = (1 << (2 * BITS)) - 1    # the last two signs of a gram
 PHRASE = 4                      # words of the longest phrase whose repetition is marked
 # Tables of at most this many grams (48 MB) may be sent to every task; beyond it they are joined.
 BROADCAST_GRAMS = 4_000_000
@@ -78,7 +79,8 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Gram counts of a task: trusted texts count, the grams of others come with count 0."""
+    """Gram counts of a task: trusted texts count, the grams of others come with count 0. A second
+    repetition in a row is never learned: a few mislabelled texts of one word hold thousands."""
     codes: list[np.ndarray] = []
     counts: list[np.ndarray] = []
 
@@ -92,7 +94,8 @@ def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             g, size = grams(texts[lo:hi])
             code, uniq = pd.factorize(g)
             codes.append(uniq)
-            counts.append(np.bincount(code, np.repeat(good[lo:hi], size), len(uniq)))
+            learn = np.repeat(good[lo:hi], size) & ((g & PAIR) != (ord(AGAIN) << BITS | ord(AGAIN)))
+            counts.append(np.bincount(code, learn, len(uniq)))
             if sum(map(len, codes)) > 500_000:
                 m = merged()
                 codes, counts = [m["gram"].to_numpy()], [m["c"].to_numpy()]
@@ -207,15 +210,16 @@ def _with_scores(docs: DataFrame, table: DataFrame, text: str) -> DataFrame:
             .join(scores.withColumnRenamed("digest", "_digest"), "_digest").drop("_digest"))
 
 
-def classify(docs: DataFrame, labels: DataFrame, *, text: str = "text", quantile: float = 0.999,
-             margin: float = 1.1, steady: int = 100, hold_out: int = 4) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, *, text: str = "text", quantile: float = 0.95,
+             margin: float = 1.35, steady: int = 100, hold_out: int = 4) -> DataFrame:
     """``docs`` with ``perplexity``, ``threshold`` and ``accepted``.
 
     One trusted document in ``hold_out`` (by a hash of its id, see :func:`trusted_ids`) is kept
     from the model, which counts the characters of all others and so grows with them; 0 keeps
     none. A language's threshold is ``margin`` times the ``quantile`` of its held-out documents'
     perplexities, which texts the model has not seen can be measured by; a language without
-    any takes the quantile of all of them. Thresholds come from held-out documents only: without any,
+    any takes the quantile of all of them; the quantile leaves room for mislabelled documents and
+    the margin for the clean ones above it. Thresholds come from held-out documents only: without any,
     or without a trusted document to count, nothing can be judged, and all documents are accepted,
     with null perplexity and threshold. With ``hold_out`` 0 the caller chooses to measure the
     trusted documents that were counted. Short texts say little: every text is scored as if ``steady`` more characters of the

@@ -313,7 +313,7 @@ def slow_model(texts, order=4):
     counts[order] = Counter()
     for t in texts:
         s = "\x01" * (order - 1) + slow_fold(t) + "\x02"
-        counts[order].update(s[i:i + order] for i in range(len(s) - order + 1))
+        counts[order].update(s[i:i + order] for i in range(len(s) - order + 1) if s[i:i + order][-2:] != "\x03\x03")
     for k in range(order - 1, 0, -1):
         counts[k] = Counter(g[1:] for g in counts[k + 1])
     disc = [None]
