@@ -119,6 +119,65 @@ def test_period_keeps_every_source_within_one_block(spark, weights):
         assert (np.abs(given - np.array(weights) * t / q) < 1).all()
 
 
+def edf_by_heap(sized):
+    """Slots of every phase, (phase, source) -> slots in order, by a heap over single sources."""
+    import heapq
+    until = {s: -(-b // w) for s, w, b in sized}
+    out = {}
+    for phase, end in enumerate(sorted(set(until.values()))):
+        live = [(s, w) for s, w, b in sized if until[s] >= end]
+        q = sum(w for _, w in live)
+        member, seen = {}, {}
+        for s, w in sorted(live, key=lambda x: (-until[x[0]], x[0])):
+            member[s] = seen[w] = seen.get(w, -1) + 1
+        released = {}
+        for s, w in live:
+            for j in range(w):
+                released.setdefault(j * q // w, []).append((-(-(j + 1) * q // w), w, j, member[s], s))
+        heap = []
+        for t in range(q):
+            for x in released.get(t, []):
+                heapq.heappush(heap, x)
+            due, _, _, _, s = heapq.heappop(heap)
+            assert t < due
+            out.setdefault((phase, s), []).append(t)
+    return out
+
+
+def sized_of(spark, sized):
+    return spark.createDataFrame(sized, "_src string, weight int, n_blocks long")
+
+
+def test_schedule_is_that_of_a_heap_over_single_sources(spark):
+    r = np.random.default_rng(5)
+    for n in (1, 2, 7, 40):
+        sized = [(f"s{i:02}", int(r.integers(1, 9)), int(r.integers(1, 60))) for i in range(n)]
+        runs = pfair.ranked(sized_of(spark, sized)).cache()
+        source = {(x["weight"], x["_member"]): x["_src"] for x in runs.collect()}
+        got = {}
+        for x in sorted(pfair.schedule(runs).collect(), key=lambda x: (x["_phase"], x["_job"])):
+            got.setdefault((x["_phase"], source[x["_weight"], x["_member"]]), []).append(x["slot"])
+        assert got == edf_by_heap(sized)
+
+
+def test_schedule_of_ten_thousand_sources(spark):
+    """A source per domain: one large, thousands of single blocks, every weight kept within a block."""
+    r = np.random.default_rng(6)
+    sized = [("s00000", 300, 40_000)] + [
+        (f"s{i:05}", int(w), int(b)) for i, w, b in zip(range(1, 10_000), r.zipf(2.5, 9999).clip(1, 60), r.zipf(1.8, 9999).clip(1, 500))]
+    runs = pfair.ranked(sized_of(spark, sized)).cache()
+    slots = pfair.schedule(runs).groupBy("_phase").agg(
+        F.count("*").alias("n"), F.countDistinct("slot").alias("d"), F.max("slot").alias("m")).collect()
+    until = {s: -(-b // w) for s, w, b in sized}
+    ends = sorted(set(until.values()))
+    assert len(slots) == len(ends)
+    for x in slots:
+        q = sum(w for s, w, _ in sized if until[s] >= ends[x["_phase"]])
+        assert x["n"] == x["d"] == x["m"] + 1 == q
+    periods = spark.range(ends[-1]).select("id", pfair.phase_of(F.col("id"), ends).alias("p")).collect()
+    assert [x["p"] for x in periods] == list(np.searchsorted(ends, [x["id"] for x in periods], side="right"))
+
+
 def test_mix_places_every_row_once_and_on_target(spark):
     rows = [(i, "big" if i % 3 else "mid" if i % 2 else None, "x", 1, 2) for i in range(900)] + [(7, "tiny", "x", 1, 2)] * 2
     df = spark.createDataFrame(rows, "doc_id long, source string, slot string, until int, first_period int")
