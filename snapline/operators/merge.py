@@ -80,6 +80,17 @@ def read_history(spark: SparkSession, path: str, schema: T.StructType, spec: Fee
     return df
 
 
+def observed_rows(obs: Observation) -> int:
+    """The observed number of rows of a write that has ended."""
+    try:
+        return int(obs.get.get("rows", 0))
+    except Py4JJavaError as e:
+        # The plan was folded to an empty one at run time: nothing was observed, nothing written.
+        if "assertion failed" not in str(e.java_exception):
+            raise
+        return 0
+
+
 def write_history(df: DataFrame, path: str, spec: FeedSpec, batch_id: str | Column,
                   as_of: datetime | None = None, stamp_col: str | None = "silver_updated_at") -> int:
     """Append one batch's rows, replay-safe: output lives under ``(date, batch_id)``
@@ -98,13 +109,7 @@ def write_history(df: DataFrame, path: str, spec: FeedSpec, batch_id: str | Colu
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(spec.date_col, BATCH_COL)
         .parquet(path))
-    try:
-        return int(obs.get.get("rows", 0))
-    except Py4JJavaError as e:
-        # The plan was folded to an empty one at run time: nothing was observed, nothing written.
-        if "assertion failed" not in str(e.java_exception):
-            raise
-        return 0
+    return observed_rows(obs)
 
 
 def _fs(spark: SparkSession, path: str):

@@ -115,6 +115,25 @@ def q_merge_insert_only(spark, sf):
     return insert_only(source, target, SPEC, dates=[d1, d2]).select(*SILVER_OUT)
 
 
+def q_merge_bucketed(spark, sf):
+    """The history up to a day as a bucketed table, then the next load merged into it, twice."""
+    from snapline.operators.bucketed import merge_bucketed, open_bucketed
+    from snapline.operators.merge import history_schema
+    from snapline.session import checkpoint_dir
+    import os
+    import uuid
+    name = f"history_bucketed_{uuid.uuid4().hex[:12]}"
+    k = kept(spark, sf)
+    open_bucketed(spark, name, os.path.join(checkpoint_dir(spark), name), history_schema(k.schema, SPEC), SPEC,
+                  int(spark.conf.get("spark.sql.shuffle.partitions")))
+    d1 = BATCH_DAY.date()
+    merge_bucketed(k.filter(F.col("request_date") <= F.lit(d1)), name, SPEC, "load-0")
+    batch = k.filter(F.col("request_date") >= F.lit(d1))
+    for _ in range(2):                              # the second is a retry and changes nothing
+        merge_bucketed(batch, name, SPEC, "load-1")
+    return spark.table(name).select(*SILVER_OUT, "batch_id")
+
+
 def q_current_state(spark, sf):
     return state.current_state(kept(spark, sf), SPEC, cols=["name"] + COMPARED) \
         .select("stationcode", "request_timestamp", "name", *COMPARED)
@@ -373,6 +392,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "change_filter_step": q_change_filter_step,
     "replay_noop": q_replay_noop,
     "merge_insert_only": q_merge_insert_only,
+    "merge_bucketed": q_merge_bucketed,
     "current_state": q_current_state,
     "state_as_of": q_state_as_of,
     "history_intervals": q_history_intervals,

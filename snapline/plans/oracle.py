@@ -162,6 +162,11 @@ SELECT {SILVER_COLS} FROM source s WHERE NOT EXISTS (
   SELECT 1 FROM target t WHERE t.stationcode = s.stationcode AND t.request_timestamp = s.request_timestamp
     AND t.request_date IN (DATE '2024-01-20', DATE '2024-01-21'))"""
 
+# Every change row once, under the load that first brought it.
+ORACLE["merge_bucketed"] = "WITH " + KEPT + f"""
+SELECT {SILVER_COLS}, CASE WHEN request_date <= DATE '2024-01-20' THEN 'load-0' ELSE 'load-1' END AS batch_id
+FROM kept WHERE request_date IS NOT NULL"""
+
 ORACLE["current_state"] = "WITH " + KEPT + "\n" + _latest("kept", "name, " + CMP_COLS)
 
 ORACLE["state_as_of"] = "WITH " + KEPT + "\n" + _latest(
