@@ -39,6 +39,7 @@ def _scratch(spark: SparkSession, tag: str) -> str:
 
 
 FILE_BYTES = 128 << 20                  # of input a landed file holds at most, about
+GROUP_BYTES = 64 << 10                  # of input whose keys share a row of the state store, about
 LOOKBACK_DAYS = 7                       # of the stream with the reference's look-back
 
 
@@ -244,7 +245,8 @@ def q_stream_stateful(spark: SparkSession, sf: str) -> DataFrame:
     root = _scratch(spark, "stream-stateful")
     land_raw_days(spark, sf, f"{root}/raw")
     typed = apply_types(raw_stream(spark, f"{root}/raw", 7 * files_per_day(spark, sf)))
-    kept = stateful_changes(typed, STATION_SPEC, lookback_days=None)
+    kept = stateful_changes(typed, STATION_SPEC, lookback_days=None,
+                            groups=max(64, _input_bytes(spark, sf) // GROUP_BYTES))
     run_available(kept, "parquet", f"{root}/ck", path=f"{root}/out")
     return spark.read.parquet(f"{root}/out").select(*SILVER_OUT)
 
