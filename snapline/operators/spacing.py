@@ -12,15 +12,16 @@ blocks, and what a block does is composed:
    chain crosses, over entries only;
 4. every block that was entered walks its chain from its one entry.
 
-A task holds one (key, block) at a time; rows are shuffled narrow, a fixed number of times. Steps
-1 and 4 run Python in tasks (a chain through a block is no window function); every step's result
-is a table in the shared folder, so what callers go on with is a plain read.
+A task holds one Arrow batch and one (key, block) at a time; rows are shuffled narrow, a fixed
+number of times. Steps 1 and 4 run Python in tasks (a chain through a block is no window function),
+a call per batch, as there may be very many small blocks; every step's result is a table in the
+shared folder, so what callers go on with is a plain read.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -43,6 +44,31 @@ def _right(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumnsRenamed({k: f"{k}__r" for k in keys})
 
 
+def _per_block(df: DataFrame, keys: Sequence[str], fn: Callable) -> DataFrame:
+    """``fn(rows, starts)`` over the rows of whole (keys, _bk) blocks, sorted by ``_t``; ``starts``
+    has where each block begins, and the number of rows. The schema stays."""
+    by = [*keys, "_bk"]
+
+    def run(batches):
+        import numpy as np
+        rest = []
+        for pdf in batches:
+            pdf = pd.concat([*rest, pdf], ignore_index=True)
+            new = np.zeros(len(pdf), bool)
+            for c in by:
+                was = pdf[c].shift()
+                new |= (pdf[c].ne(was) & ~(pdf[c].isna() & was.isna())).to_numpy()
+            new[:1] = True
+            starts = np.flatnonzero(new)                     # the last block may go on in the next batch
+            if len(starts) > 1:
+                yield fn(pdf.iloc[:starts[-1]].copy(), starts)
+            rest = [pdf.iloc[starts[-1]:]] if len(starts) else []
+        if rest:
+            yield fn(rest[0].copy(), np.array([0, len(rest[0])]))
+
+    return df.repartition(*by).sortWithinPartitions(*by, "_t").mapInPandas(run, df.schema)
+
+
 def spaced(df: DataFrame, keys: Sequence[str], order: str, until: Column, *, block_seconds: int) -> DataFrame:
     """(keys, order) of the kept rows of ``df``: per key the first row by ``order``, then always
     the first row at or after the ``until`` (a later time) of the row kept before.
@@ -60,21 +86,24 @@ def spaced(df: DataFrame, keys: Sequence[str], order: str, until: Column, *, blo
             .withColumns({"_u": F.greatest("_u", F.col("_t") + 1),
                           "_bk": F.floor(F.col("_t") / F.lit(block_seconds * 1_000_000))}))
 
-    def leave(pdf: pd.DataFrame) -> pd.DataFrame:
+    def leave(pdf: pd.DataFrame, starts) -> pd.DataFrame:
         import numpy as np
-        pdf = pdf.sort_values("_t", ignore_index=True)
-        t, u = pdf["_t"].to_numpy(), pdf["_u"].to_numpy()
-        to = np.searchsorted(t, u)
-        to = np.where(to < len(t), to, np.arange(len(t)))         # the block's last of a chain stays
-        while True:
-            further = to[to]
-            if (further == to).all():
-                break
-            to = further
-        pdf["_u"] = u[to]
+        t, u = pdf["_t"].to_numpy(), pdf["_u"].to_numpy().copy()
+        for a, b in zip(starts[:-1], starts[1:]):
+            if b - a == 1:
+                continue
+            to = np.searchsorted(t[a:b], u[a:b])
+            to = np.where(to < b - a, to, np.arange(b - a))       # the block's last of a chain stays
+            while True:
+                further = to[to]
+                if (further == to).all():
+                    break
+                to = further
+            u[a:b] = u[a:b][to]
+        pdf["_u"] = u
         return pdf
 
-    left = _cut(rows.groupBy(*keys, "_bk").applyInPandas(leave, rows.schema), "spacing-blocks")
+    left = _cut(_per_block(rows, keys, leave), "spacing-blocks")
 
     # The first row at or after a time is, on the reversed time line, the newest row not after it.
     back = lambda c: F.timestamp_micros(-F.col(c))
@@ -103,15 +132,18 @@ def spaced(df: DataFrame, keys: Sequence[str], order: str, until: Column, *, blo
     inside = rows.join(entered, _same([*keys, "_bk"], rows, entered)).filter(F.col("_t") >= F.col("_from")).select(
         *keys, "_bk", "_t", "_u")
 
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
+    def walk(pdf: pd.DataFrame, starts) -> pd.DataFrame:
         import numpy as np
-        pdf = pdf.sort_values("_t", ignore_index=True)
-        t, u = pdf["_t"].to_numpy(), pdf["_u"].to_numpy()
-        to, at, kept = np.searchsorted(t, u), 0, []
-        while at < len(t):
-            kept.append(at)
-            at = int(to[at])
+        t, u, kept = pdf["_t"].to_numpy(), pdf["_u"].to_numpy(), []
+        for a, b in zip(starts[:-1], starts[1:]):
+            if b - a == 1:
+                kept.append(a)
+                continue
+            to, at = np.searchsorted(t[a:b], u[a:b]), 0
+            while at < b - a:
+                kept.append(a + at)
+                at = int(to[at])
         return pdf.iloc[kept]
 
-    kept = inside.groupBy(*keys, "_bk").applyInPandas(walk, inside.schema)
+    kept = _per_block(inside, keys, walk)
     return _cut(kept.select(*keys, F.timestamp_micros("_t").cast(order_type).alias(order)), "spacing-kept")

@@ -22,10 +22,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+SPREAD_BYTES = 4 << 20          # of events that one task widens to feed rows, about
+SPREAD_TASKS = 10_000           # beyond, the events are read as the scan splits them
+
+
+def input_bytes(spark: SparkSession, sf_dir: str, name: str = "events") -> int:
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
+def spread_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events, dealt to tasks by id while their rows are narrow. A feed row is many times as
+    wide as its compressed event and costs JSON work, so a scan split by file bytes would give a
+    few tasks too much to sort and compute. Small tables stay as they are read."""
+    e = table(spark, sf_dir, "events")
+    n = -(-input_bytes(spark, sf_dir) // SPREAD_BYTES)
+    return e.repartition(n, "event_id") if 1 < n <= SPREAD_TASKS else e
+
+
 def avail(spark: SparkSession, sf_dir: str, extra: tuple = ()) -> DataFrame:
     """Raw availability messages (decoded form, 18 columns + insert time); ``extra``
     passes events columns through."""
-    e = table(spark, sf_dir, "events")
+    e = spread_events(spark, sf_dir)
     uid, val = F.col("user_id"), F.col("value")
     bikes = F.floor(val / 50)
     ebikes = F.floor(val / 100)

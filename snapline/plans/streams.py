@@ -17,7 +17,7 @@ from snapline.operators.dedup import dedup_earliest
 from snapline.operators.distinct import day_bitmaps, distinct_counts, number_keys
 from snapline.operators.envelope import apply_types, decode_envelope, encode_envelope
 from snapline.operators.merge import history_schema, partition_dirs, read_history
-from snapline.plans.derived import avail
+from snapline.plans.derived import avail, input_bytes
 from snapline.schemas import RAW_JSON_OPTIONS, RAW_SCHEMA, SILVER_OUT
 from snapline.session import checkpoint_dir
 from snapline.sources.logs import checkpoint_offsets, committed_files
@@ -43,11 +43,6 @@ GROUP_BYTES = 64 << 10                  # of input whose keys share a row of the
 LOOKBACK_DAYS = 7                       # of the stream with the reference's look-back
 
 
-def _input_bytes(spark: SparkSession, sf: str) -> int:
-    p = spark._jvm.org.apache.hadoop.fs.Path(f"{sf.rstrip('/')}/events.parquet")
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
-
-
 def land_days(df: DataFrame, day: Column, spread: str, base: str, files_per_day: int,
               since: date | None = None, until: date | None = None) -> list[str]:
     """Write ``df`` as JSON-lines in one job: a folder per day under ``base``, each day's rows
@@ -78,7 +73,7 @@ def land_days(df: DataFrame, day: Column, spread: str, base: str, files_per_day:
 
 def files_per_day(spark: SparkSession, sf: str) -> int:
     """By the input's size, as if all of it fell on one day of a month."""
-    return max(1, -(-_input_bytes(spark, sf) // (30 * FILE_BYTES)))
+    return max(1, -(-input_bytes(spark, sf) // (30 * FILE_BYTES)))
 
 
 def land_raw_days(spark: SparkSession, sf: str, base: str, since: date | None = None,
@@ -246,7 +241,7 @@ def q_stream_stateful(spark: SparkSession, sf: str) -> DataFrame:
     land_raw_days(spark, sf, f"{root}/raw")
     typed = apply_types(raw_stream(spark, f"{root}/raw", 7 * files_per_day(spark, sf)))
     kept = stateful_changes(typed, STATION_SPEC, lookback_days=None,
-                            groups=max(64, _input_bytes(spark, sf) // GROUP_BYTES))
+                            groups=max(64, input_bytes(spark, sf) // GROUP_BYTES))
     run_available(kept, "parquet", f"{root}/ck", path=f"{root}/out")
     return spark.read.parquet(f"{root}/out").select(*SILVER_OUT)
 

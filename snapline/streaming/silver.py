@@ -35,16 +35,19 @@ def stored_schema(batch: DataFrame, spec: FeedSpec) -> T.StructType:
 
 def accept(raw: DataFrame, on_malformed: str, quarantine: str | None, batch_id: str) -> DataFrame:
     """Rows to load under the malformed-row policy: ``keep`` all, ``drop`` rows without any
-    record field, or write them under ``quarantine``/batch_id=... and load the rest."""
+    record field, or write them under ``quarantine``/batch_id=... and load the rest. But for
+    ``keep``, ``raw`` is left persisted: the caller unpersists it after the load."""
     if on_malformed == KEEP:
         return raw
-    good, bad = split_malformed(raw)
+    if on_malformed not in (DROP, QUARANTINE):
+        raise ValueError(f"unknown policy {on_malformed!r}")
+    # Kept, so that a message is decoded once: a condition on decoded fields that reaches the scan
+    # would decode it again for every field, and both halves would do so.
+    good, bad = split_malformed(raw.persist())
     if on_malformed == QUARANTINE:
         if not quarantine:
             raise ValueError("quarantine needs a folder")
         bad.write.mode("overwrite").options(**RAW_JSON_OPTIONS).json(f"{quarantine.rstrip('/')}/batch_id={batch_id}")
-    elif on_malformed != DROP:
-        raise ValueError(f"unknown policy {on_malformed!r}")
     return good
 
 
@@ -69,11 +72,11 @@ def load_batch(raw: DataFrame, path: str, batch_id: str, spec: FeedSpec = STATIO
     """
     if lookback_days == -1:
         lookback_days = spec.lookback_days
-    if not typed:
-        raw = accept(raw, on_malformed, quarantine, batch_id)
-    batch = raw if typed else apply_types(raw, date_col=spec.date_col)
-    batch = dedup_earliest(batch, spec.keys + [spec.cycle], spec.order).persist()
+    rows, batch = raw, None
     try:
+        if not typed:
+            rows = apply_types(accept(raw, on_malformed, quarantine, batch_id), date_col=spec.date_col)
+        batch = dedup_earliest(rows, spec.keys + [spec.cycle], spec.order).persist()
         lo, hi = batch_bounds(batch, spec)
         schema = stored_schema(batch, spec)
         if lo is None:
@@ -86,7 +89,10 @@ def load_batch(raw: DataFrame, path: str, batch_id: str, spec: FeedSpec = STATIO
             take_snapshot(batch.sparkSession, path, schema, spec, state, lookback_days, hi.date() - timedelta(days=1))
         return n
     finally:
-        batch.unpersist()
+        if batch is not None:
+            batch.unpersist()
+        if not typed and on_malformed != KEEP:
+            raw.unpersist()
 
 
 def _rows_to_store(batch: DataFrame, bounds: tuple, path: str, schema: T.StructType, batch_id: str,

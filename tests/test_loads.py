@@ -125,3 +125,33 @@ def test_misplaced_objects_do_not_reach_the_history(spark, tmp_path):
     held = spark.read.schema(RAW_SCHEMA).options(**RAW_JSON_OPTIONS).json(str(tmp_path / "q" / "misplaced"))
     assert [r[0] for r in held.select("stationcode").collect()] == ["s2"]
     assert apply_types(held).count() == 1
+
+
+def test_a_turned_away_message_is_decoded_once(spark, tmp_path):
+    from snapline.operators.envelope import decode_envelope
+    from snapline.streaming.silver import accept
+    good = '{"dataset_id":"ds","request_timestamp":"2024-01-01T00:00:00.000000","record":"{\\"stationcode\\":\\"s1\\",\\"capacity\\":3}"}'
+    m = decode_envelope(spark.createDataFrame([(good, START), ("not json", START)], "value string, timestamp timestamp_ntz"))
+    m = m.withColumn("insert_timestamp", F.lit(None).cast("timestamp_ntz"))
+    kept = accept(m, "drop", None, "b0")
+    try:
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "InMemoryTableScan" in plan and plan.count("from_json") <= 2
+        assert [r["stationcode"] for r in kept.collect()] == ["s1"]
+    finally:
+        m.unpersist()
+    for i, policy in enumerate(("drop", "quarantine")):
+        assert load_batch(m, str(tmp_path / policy), f"b{i}", on_malformed=policy, quarantine=str(tmp_path / "q")) == 1
+        assert not m.storageLevel.useMemory
+    assert spark.read.text(str(tmp_path / "q")).count() == 1
+
+
+def test_events_are_dealt_out_before_they_are_widened(spark, monkeypatch):
+    from snapline.plans import derived
+    from tests.conftest import SF_SMALL
+    whole = derived.avail(spark, SF_SMALL)
+    assert "Exchange" not in whole._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(derived, "SPREAD_BYTES", 4096)
+    dealt = derived.avail(spark, SF_SMALL)
+    assert dealt.rdd.getNumPartitions() == -(-derived.input_bytes(spark, SF_SMALL) // 4096) > 1
+    assert dealt.exceptAll(whole).count() == 0 and dealt.count() == whole.count()

@@ -74,3 +74,33 @@ def test_dense_grid_of_gaps_ties_and_no_rows(spark):
                        ("a", h(100), h(60), 2), ("b", h(30), h(30), 3), ("b", h(59), h(30), 3), ("b", h(60), h(30), 3),
                        ("b", h(100), h(30), 3)}
     assert dense_grid(hist, grid.limit(0), SPEC).collect() == [] and dense_grid(hist.limit(0), grid, SPEC).collect() == []
+
+
+def test_small_blocks_share_a_python_call(spark):
+    from snapline.operators.spacing import _per_block
+    rows = [(f"k{i % 200}" if i % 200 else None, i // 600, i) for i in range(1200)]           # 400 blocks of three rows
+    df = spark.createDataFrame(rows, "k string, _bk long, _t long").withColumn("n", F.lit(0).cast("long"))
+
+    def mark(pdf, starts):
+        assert all(len(set(zip(b["k"], b["_bk"]))) == 1 and b["_t"].is_monotonic_increasing
+                   for b in (pdf.iloc[x:y] for x, y in zip(starts[:-1], starts[1:])))
+        return pdf.assign(n=[len(starts) - 1, *[0] * (len(pdf) - 1)])
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")                      # blocks go over batches
+    try:
+        got = _per_block(df, ["k"], mark).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted((r["k"] or "", r["_bk"], r["_t"]) for r in got) == sorted((k or "", b, t) for k, b, t in rows)
+    assert sum(r["n"] for r in got) == 400 and sum(r["n"] > 0 for r in got) < 60
+
+
+def test_a_call_holds_a_block_that_spans_batches(spark):
+    rows = [("a" if i % 3 else "b", START + timedelta(minutes=i)) for i in range(900)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    try:
+        df = spark.createDataFrame(rows, "k string, t timestamp_ntz")
+        got = spaced(df, ["k"], "t", F.col("t") + F.expr("INTERVAL 95 MINUTES"), block_seconds=6 * 3600).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {(x["k"], x["t"]) for x in got} == walk(rows, lambda t: timedelta(minutes=95))
