@@ -26,19 +26,20 @@ def insert_only(batch: DataFrame, target: DataFrame, spec: FeedSpec,
 
 
 def layout(df: DataFrame, spec: FeedSpec, by_range: bool = False) -> DataFrame:
-    """K4: cluster rows by (date, key) and sort inside files by key so parquet
-    row-group statistics skip by key.
-
-    The hash also takes the hour of the cycle, so one hot key's day is spread over up
-    to 24 tasks while a key stays in few files. No sampling job is needed, which suits
-    micro-batches. ``by_range`` range-partitions on (date, key, cycle) instead, for
-    large backfills where fewer, contiguous files per date matter.
+    """K4: cluster rows by date and sort inside files by key so parquet row-group
+    statistics skip by key.
+
+    Rows are rebalanced by date: AQE splits a large date into tasks of its advisory size,
+    wherever its rows come from, and puts small dates together. A write thus leaves files of
+    that size, one or few a date, not one per date and shuffle partition. No sampling job is
+    needed, which suits micro-batches. ``by_range`` range-partitions on (date, key, cycle)
+    instead, for large backfills where contiguous files per date matter.
     """
     keys = [F.col(k) for k in spec.keys]
     if by_range:
         parted = df.repartitionByRange(F.col(spec.date_col), *keys, F.col(spec.cycle))
     else:
-        parted = df.repartition(F.col(spec.date_col), *keys, F.hour(spec.cycle))
+        parted = df.hint("rebalance", spec.date_col)
     return parted.sortWithinPartitions(spec.date_col, *spec.keys, spec.cycle)
 
 

@@ -58,3 +58,18 @@ def test_compact_and_expire(spark, tmp_path):
     assert after == before[:0] + sorted(set(before))
     assert drop_expired_paths(spark, path, "d", date(2024, 1, 3), 1) == [date(2024, 1, 1)]
     assert read_history(spark, path, schema, SPEC).count() == 9
+
+
+def test_a_write_leaves_a_file_per_date_not_per_shuffle_partition(spark, tmp_path):
+    path = str(tmp_path / "hist")
+    base = datetime(2024, 1, 1)
+    df = rows(spark, [(f"k{i}", base + timedelta(hours=i % 72), base, i) for i in range(600)])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert write_history(df, path, SPEC, "r-0", stamp_col=None) == 600
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = list((tmp_path / "hist").glob("d=*/batch_id=r-0/*.parquet"))
+    assert len(files) == len({f.parent for f in files}) == 3
+    kept = read_history(spark, path, history_schema(df.schema, SPEC), SPEC)
+    assert kept.drop("batch_id").select(*df.columns).exceptAll(df).count() == 0 and kept.count() == 600
