@@ -85,7 +85,9 @@ def asof_join(left: DataFrame, right: DataFrame, keys: list[str], left_time: str
                     F.lit(None).cast(r.schema["_v"].dataType).alias("_v"),
                     F.struct(*[F.col(c) for c in lcols]).alias("_row"))
     u = r.withColumn("_row", F.lit(None).cast(l.schema["_row"].dataType)).unionByName(l)
-    u = u.withColumn("_bk", bucket_of("_t", width))
+    # Dealt out before the aggregation as for the window: combined where the sides come from, it would
+    # sort all rows of a task first, and tasks of few compressed bytes can hold very many narrow rows.
+    u = u.withColumn("_bk", bucket_of("_t", width)).repartition(*keys, "_bk")
     # right rows sort before left rows at the same time, so "<=" holds
     w = (Window.partitionBy(*keys, "_bk").orderBy("_t", "_side")
                .rowsBetween(Window.unboundedPreceding, 0))

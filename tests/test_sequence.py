@@ -57,3 +57,21 @@ def test_asof_join_matches_brute_force(spark):
             cands = [(t, v) for kk, t, v in right if kk == k and t <= lt]
             want[(k, lt)] = max(cands)[1] if cands else None
         assert got == want
+
+
+def test_asof_combines_after_the_rows_are_dealt_out(spark):
+    """Few compressed bytes can be very many narrow rows; no task may sort them before the shuffle."""
+    from datetime import datetime, timedelta
+    from pyspark.sql import functions as F
+    from snapline.operators.sequence import asof_join
+    t0 = datetime(2024, 1, 1)
+    left = spark.createDataFrame([(k, t0 + timedelta(hours=h)) for k in ("a", "b", None) for h in (0, 5, 30, 80)], "k string, t timestamp_ntz")
+    right = spark.createDataFrame([("a", t0 + timedelta(hours=4), 1), ("a", t0 + timedelta(hours=30), 2), (None, t0, 3)],
+                                  "k string, s timestamp_ntz, v int")
+    j = asof_join(left, right, ["k"], "t", "s", ["v"])
+    plan = j._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan
+    assert all("Aggregate" not in x for x in plan.split("REPARTITION_BY_COL")[-1].splitlines())
+    got = {(r["k"], (r["t"] - t0) // timedelta(hours=1)): r["v"] for r in j.select("k", "t", F.col("_asof.v").alias("v")).collect()}
+    assert got == {("a", 0): None, ("a", 5): 1, ("a", 30): 2, ("a", 80): 2, ("b", 0): None, ("b", 5): None, ("b", 30): None,
+                   ("b", 80): None, (None, 0): 3, (None, 5): 3, (None, 30): 3, (None, 80): 3}
